@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from pyspark.sql import DataFrame, functions as F
+
+# A side is broadcast only when it provably has at most this many rows.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Bounded row-count check: reads at most max_rows + 1 rows per task."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint when the row bound holds; otherwise leave the join to a shuffle.
+
+    Streaming inputs are left unchanged (they cannot be counted).
+    """
+    if df.isStreaming:
+        return df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
