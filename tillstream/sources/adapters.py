@@ -108,12 +108,13 @@ def invoice_headers(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def invoices(spark: SparkSession, sf_dir: str, lines: bool = True,
-             stream: bool = False) -> DataFrame:
+             stream: bool = False, items: bool = True) -> DataFrame:
     """Invoice DataFrame (PosInvoice columns + ``key``, ``k``, ``event_time``).
 
     ``lines=False`` skips building the line array (only ``numberOfItems`` is
     computed), which is all the header-only operators need. ``stream=True``
-    reads ``orders`` as a file stream.
+    reads ``orders`` as a file stream; ``items=False`` (header-only) leaves
+    numberOfItems null instead of joining line counts.
     """
     orders = stream_table(spark, sf_dir, "orders") if stream else read_table(spark, sf_dir, "orders")
     h = invoice_headers(orders, _customers(spark, sf_dir))
@@ -124,6 +125,8 @@ def invoices(spark: SparkSession, sf_dir: str, lines: bool = True,
                 "array<struct<itemCode:string,itemDescription:string,itemPrice:double,"
                 "itemQty:int,totalValue:double>>")))
         h = h.withColumn("numberOfItems", F.size("invoiceLineItems"))
+    elif not items:
+        h = h.withColumn("numberOfItems", F.lit(None).cast("int"))
     else:
         lc = _line_counts(spark, sf_dir)
         h = h.join(lc, h.k == lc.l_orderkey, "left").withColumn(
