@@ -1,0 +1,129 @@
+import os
+import time
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tillstream.session import scratch_path, utc
+from tillstream.streaming import jobs
+from tillstream.streaming.loyalty_state import loyalty_stateful
+from tillstream.streaming.sinks import batch_dir_writer, last_emission, read_batches, run_bounded
+from tillstream.plans.streams import STORE_OUT
+from tillstream.schemas import NOTIFICATION
+
+EV_DDL = "storeID string, totalAmount double, event_time timestamp, k long"
+
+
+def _write_files(spark, folder, batches, ddl):
+    """One parquet file per batch, with increasing modification times."""
+    os.makedirs(folder, exist_ok=True)
+    for i, rows in enumerate(batches):
+        tmp = f"{folder}/.stage{i}"
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(tmp)
+        part = [f for f in os.listdir(tmp) if f.endswith(".parquet")][0]
+        dst = f"{folder}/b{i:03d}.parquet"
+        os.rename(f"{tmp}/{part}", dst)
+        os.utime(dst, (time.time() + i, time.time() + i))
+
+
+def _stream(spark, folder, ddl):
+    return (spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1)
+            .option("pathGlobFilter", "b*.parquet").parquet(folder))
+
+
+def test_late_rows_dropped_per_window(spark, tmp_path):
+    t = lambda h, m: datetime(2024, 1, 1, h, m)
+    batches = [
+        [("S", 1.0, t(0, 7), 1), ("S", 2.0, t(0, 58), 2)],
+        [("S", 4.0, t(1, 10), 3)],
+        [("S", 8.0, t(0, 6), 4), ("S", 16.0, t(0, 10), 5)],
+    ]
+    folder = str(tmp_path / "in")
+    _write_files(spark, folder, batches, EV_DDL)
+    root = scratch_path(spark, "late")
+    with utc(spark):
+        q = jobs.store_sales_stream(_stream(spark, folder, EV_DDL))
+        run_bounded(q, f"{root}/ck", "update", batch_dir_writer(f"{root}/out"))
+        out = read_batches(spark, f"{root}/out", STORE_OUT).collect()
+    last = max(r.batch_id for r in out)
+    late = [r for r in out if r.batch_id == last]
+    assert [(r.window_start, r.window_end) for r in late] == [(t(0, 10), t(1, 10))]
+    assert late[0].totalSale == 2.0 + 16.0
+    # the row at 00:06 reached no window
+    assert all(r.totalSale < 8.0 or r.batch_id == last for r in out)
+
+
+def test_final_only_emits_closed_windows_once(spark, tmp_path):
+    t = lambda h, m: datetime(2024, 1, 1, h, m)
+    batches = [[("S", 1.0, t(0, 7), 1)], [("S", 2.0, t(3, 0), 2)]]
+    folder = str(tmp_path / "in")
+    _write_files(spark, folder, batches, EV_DDL)
+    root = scratch_path(spark, "final")
+    with utc(spark):
+        q = jobs.store_sales_stream(_stream(spark, folder, EV_DDL))
+        run_bounded(q, f"{root}/ck", "append", batch_dir_writer(f"{root}/out"))
+        out = read_batches(spark, f"{root}/out", STORE_OUT).collect()
+    keys = [(r.window_start, r.storeID) for r in out]
+    assert len(keys) == len(set(keys)) == 12          # the 00:07 row's windows, each once
+    assert all(r.window_end <= t(2, 58) for r in out)  # watermark = 03:00 - 2 min
+
+
+NOTIF_DDL = ("customerCardNo string, invoiceNumber string, totalAmount double, "
+             "customerType string, event_time timestamp, k long")
+
+
+def test_loyalty_restart_continues_from_checkpoint(spark, tmp_path):
+    t = lambda d: datetime(2024, 1, d)
+    folder = str(tmp_path / "in")
+    root = scratch_path(spark, "restart")
+    b0 = [("C1", "1", 100.0, "PRIME", t(1), 1), ("C1", "2", 50.0, "PRIME", t(2), 2)]
+    b1 = [("C1", "3", 25.0, "PRIME", t(3), 3), ("C2", "4", 10.0, "PRIME", t(3), 4)]
+    _write_files(spark, folder, [b0], NOTIF_DDL)
+    with utc(spark):
+        run_bounded(jobs.loyalty_updates(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck",
+                    "update", batch_dir_writer(f"{root}/out"))
+    _write_files(spark, str(tmp_path / "in2"), [b1], NOTIF_DDL)
+    os.rename(f"{tmp_path}/in2/b000.parquet", f"{folder}/b001.parquet")
+    with utc(spark):  # a new query object on the same checkpoint
+        run_bounded(jobs.loyalty_updates(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck",
+                    "update", batch_dir_writer(f"{root}/out"))
+    out = read_batches(spark, f"{root}/out", NOTIFICATION)
+    final = {r.customerCardNo: r for r in last_emission(out, ["customerCardNo"]).collect()}
+    assert final["C1"].totalLoyaltyPoints == 3.5 and final["C1"].invoiceNumber == "3"
+    assert final["C2"].totalLoyaltyPoints == 0.2
+
+
+def test_stateful_processor_one_row_per_input_across_batches(spark, tmp_path):
+    t = lambda d: datetime(2024, 1, d)
+    folder = str(tmp_path / "in")
+    b0 = [("C1", "2", 50.0, "PRIME", t(2), 2), ("C1", "1", 100.0, "prime", t(1), 1),
+          ("C9", "9", 5.0, "NONPRIME", t(1), 9)]
+    b1 = [("C1", "3", 25.0, "PRIME", t(3), 3)]
+    _write_files(spark, folder, [b0, b1], NOTIF_DDL)
+    root = scratch_path(spark, "tws")
+    with utc(spark):
+        run_bounded(loyalty_stateful(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck", "append",
+                    batch_dir_writer(f"{root}/out"))
+        out = spark.read.parquet(f"{root}/out").orderBy("invoiceNumber").collect()
+    assert [(r.invoiceNumber, r.totalLoyaltyPoints) for r in out] == [
+        ("1", 2.0), ("2", 3.0), ("3", 3.5)]
+
+
+def test_batch_stream_parity_loyalty(spark):
+    from conftest import SF001
+    from tillstream.plans import catalog, streams
+    with utc(spark):
+        a = catalog.loyalty_latest(spark, SF001)
+        b = streams.loyalty_stream_update(spark, SF001)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        c = catalog.loyalty_changelog(spark, SF001)
+        d = streams.loyalty_stateful(spark, SF001)
+        assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
+
+
+def test_fanout_counts(spark):
+    from conftest import SF001
+    from tillstream.plans import streams
+    out = {r.output: r.rows for r in streams.fanout_counts(spark, SF001).collect()}
+    assert set(out) == {"shipment", "hadoop-sink", "loyalty", "store-sales"}
+    assert out["hadoop-sink"] > out["shipment"] > 0
