@@ -64,8 +64,6 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
     2 × chunks rows) are prefix-summed and broadcast as offsets.
     ``value`` must be exact (BIGINT) so chunked sums equal a serial sum.
     """
-    spark = df.sparkSession
-    n = chunks or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_CHUNKS)
     kz, kn = "_kz", "_kn"
     # (null flag, value) stands for the key: a null key is one group, plain equality joins.
     d = df.withColumn(kz, F.coalesce(F.col(key).cast("string"), F.lit(""))) \
@@ -81,7 +79,9 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
         d = d.withColumn(f"_o{i}", e)
         ocols.append(f"_o{i}")
     sort_cols = [kn, kz, *ocols]
-    bounds = _sample_bounds(d, sort_cols, n, sample_rows or SAMPLE_PER_CHUNK * n)
+    total = d.count()
+    n = chunks or max(1, min(MAX_CHUNKS, -(-total // ROWS_PER_CHUNK)))
+    bounds = _sample_bounds(d, sort_cols, n, sample_rows or SAMPLE_PER_CHUNK * n, total)
     types = [d.schema[c].dataType for c in sort_cols]
     d = d.withColumn("_chunk", _bucket_expr(sort_cols, types, bounds))
     part = [kz, kn, "_chunk"]
@@ -90,10 +90,10 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
     local = d.withColumn("_local", F.coalesce(F.sum(value).over(local_w), F.lit(0).cast("long")))
     straddlers = sorted({(b[0], b[1]) for b in bounds})
     if straddlers:
-        is_straddler = F.lit(False)
-        for null_flag, kval in straddlers:
-            is_straddler = is_straddler | ((F.col(kn) == F.lit(null_flag)) & (F.col(kz) == F.lit(kval)))
-        sums = d.where(is_straddler).groupBy(*part).agg(F.sum(value).alias("_ct"))
+        # hash-set membership; a key equal to a straddler's text but with the other
+        # null flag is a harmless extra (its offsets come out 0)
+        sums = (d.where(F.col(kz).isin(sorted({k for _, k in straddlers})))
+                .groupBy(*part).agg(F.sum(value).alias("_ct")))
         prev_w = (Window.partitionBy(kz, kn).orderBy("_chunk")
                   .rowsBetween(Window.unboundedPreceding, -1))
         offsets = sums.select(*part, F.coalesce(F.sum("_ct").over(prev_w), F.lit(0).cast("long"))
@@ -106,15 +106,19 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
                  .drop(*part, *ocols, "_local", "_offset"))
 
 
-MAX_CHUNKS = 256
+# Chunks hold about ROWS_PER_CHUNK rows; their count is capped so the
+# binary-search expression stays small (depth log2(MAX_CHUNKS)).
+ROWS_PER_CHUNK = 1_000_000
+MAX_CHUNKS = 1024
 SAMPLE_PER_CHUNK = 64
 
 
-def _sample_bounds(d: DataFrame, cols: list[str], n: int, sample_rows: int) -> list[tuple]:
+def _sample_bounds(d: DataFrame, cols: list[str], n: int, sample_rows: int,
+                   total: int | None = None) -> list[tuple]:
     """n-1 quantile bounds of the ``cols`` tuple from a sample of bounded size."""
     if n <= 1:
         return []
-    total = d.count()
+    total = d.count() if total is None else total
     if total == 0:
         return []
     frac = min(1.0, sample_rows / total)

@@ -29,6 +29,7 @@ def build_session(master: str = "local[*]", app: str = "tillstream",
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g"))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         b = b.config(k, v)

@@ -39,20 +39,28 @@ def start(df: DataFrame, checkpoint: str, output_mode: str = "append", sink=None
     return w.start()
 
 
-def stream_conf(spark: SparkSession, late_rows_per_window: bool = True):
+def stream_conf(spark: SparkSession, late_rows_per_window: bool = True,
+                state_partitions: int | None = None):
     """Settings for stateful stream runs: RocksDB state, and late-row filtering with
     the current watermark so a late row is dropped per window whose end plus the
-    grace is at or before stream time."""
-    conf = {"spark_sql_streaming_stateStore_providerClass": ROCKSDB}
+    grace is at or before stream time.
+
+    State partitions (= shuffle partitions at a checkpoint's first start, fixed
+    afterwards) default to the cluster's parallelism: one state partition per
+    core, instead of a batch-oriented session setting.
+    """
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    conf = {"spark_sql_streaming_stateStore_providerClass": ROCKSDB,
+            "spark_sql_shuffle_partitions": str(n)}
     if late_rows_per_window:
         conf["spark_sql_streaming_statefulOperator_allowMultiple"] = "false"
     return session_conf(spark, **conf)
 
 
 def run_bounded(df: DataFrame, checkpoint: str, output_mode: str, sink, timeout_s: int = 3600,
-                late_rows_per_window: bool = True):
+                late_rows_per_window: bool = True, state_partitions: int | None = None):
     """Run a stream over everything available now and wait for it to finish."""
-    with stream_conf(df.sparkSession, late_rows_per_window):
+    with stream_conf(df.sparkSession, late_rows_per_window, state_partitions):
         q = start(df, checkpoint, output_mode, sink)
         try:
             q.awaitTermination(timeout_s)
