@@ -127,3 +127,26 @@ def test_fanout_counts(spark):
     out = {r.output: r.rows for r in streams.fanout_counts(spark, SF001).collect()}
     assert set(out) == {"shipment", "hadoop-sink", "loyalty", "store-sales"}
     assert out["hadoop-sink"] > out["shipment"] > 0
+
+
+def test_fanout_from_json_messages(spark, tmp_path, invoices):
+    """Kafka-shaped JSON values in a file stream -> decode -> four outputs."""
+    from tillstream.plans.fanout import run_fanout
+    from tillstream.schemas import POS_INVOICE
+    from tillstream.sources.adapters import invoices_from_messages
+    from tillstream.sources.codec import encode_json
+    folder = tmp_path / "msgs"
+    enc = encode_json(invoices, [f.name for f in POS_INVOICE.fields])
+    enc.coalesce(1).write.json(str(folder))
+    msgs = spark.readStream.schema("key string, value string").json(str(folder))
+    root = scratch_path(spark, "fanout-json")
+    with utc(spark):
+        paths = run_fanout(invoices_from_messages(msgs), root)
+    ship = spark.read.parquet(paths.out("shipment"))
+    hadoop = spark.read.parquet(paths.out("hadoop-sink"))
+    loy = last_emission(spark.read.parquet(paths.out("loyalty")), ["customerCardNo"])
+    store = spark.read.parquet(paths.out("store-sales"))
+    assert sorted(r.invoiceNumber for r in ship.collect()) == ["1", "2", "5"]
+    assert hadoop.count() == 7
+    assert {r.customerCardNo: r.totalLoyaltyPoints for r in loy.collect()} == {"C1": 5.5, "C2": 1.9998}
+    assert store.select("storeID").distinct().count() == 1

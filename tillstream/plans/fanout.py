@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from tillstream.constants import (HADOOP_OUTPUT, LOYALTY_OUTPUT, SHIPMENT_OUTPUT,
+from tillstream.constants import (HADOOP_OUTPUT, INPUT_TOPIC, LOYALTY_OUTPUT, SHIPMENT_OUTPUT,
                                   STORE_SALES_OUTPUT)
 from tillstream.operators import stateless, store_sales
 from tillstream.streaming import jobs
@@ -31,9 +31,33 @@ class FanoutPaths:
         return f"{self.root}/checkpoints/{name}"
 
 
-def stateless_writer(paths: FanoutPaths):
-    ship = batch_dir_writer(paths.out(SHIPMENT_OUTPUT))
-    hadoop = batch_dir_writer(paths.out(HADOOP_OUTPUT))
+def file_writers(paths: FanoutPaths) -> dict:
+    """Each output to ``root/out/<name>/batch_id=N`` (parquet, idempotent per batch)."""
+    return {name: batch_dir_writer(paths.out(name))
+            for name in (SHIPMENT_OUTPUT, HADOOP_OUTPUT, LOYALTY_OUTPUT, STORE_SALES_OUTPUT)}
+
+
+def kafka_writers(servers: str, topics: dict | None = None) -> dict:
+    """Each output produced to its topic as (key, JSON value)."""
+    from tillstream.sources.kafka import kafka_batch_writer
+    names = (SHIPMENT_OUTPUT, HADOOP_OUTPUT, LOYALTY_OUTPUT, STORE_SALES_OUTPUT)
+    topics = {**{n: n for n in names}, **(topics or {})}
+    keys = {LOYALTY_OUTPUT: "customerCardNo", STORE_SALES_OUTPUT: "storeID"}
+    out = {}
+    for n in names:
+        w = kafka_batch_writer(servers, topics[n])
+        if n in keys:
+            def keyed(batch, batch_id, _w=w, _k=keys[n]):
+                _w(batch.withColumn("key", batch[_k]), batch_id)
+            out[n] = keyed
+        else:
+            out[n] = w
+    return out
+
+
+def stateless_writer(writers: dict):
+    ship = writers[SHIPMENT_OUTPUT]
+    hadoop = writers[HADOOP_OUTPUT]
 
     def write(batch: DataFrame, batch_id: int):
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -46,26 +70,44 @@ def stateless_writer(paths: FanoutPaths):
 
 
 def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
-               trigger_seconds: float = 1.0, timeout_s: int = 3600) -> FanoutPaths:
+               trigger_seconds: float = 1.0, timeout_s: int = 3600,
+               writers: dict | None = None, state_partitions: int | None = None):
     """Start the three queries on a streaming invoice DataFrame (with lines,
-    ``event_time`` and ``k``); wait for them when ``available_now``."""
+    ``event_time`` and ``k``). ``root`` holds checkpoints (and file outputs
+    when ``writers`` is not given). With ``available_now`` the call waits for
+    the queries and returns the paths; otherwise it returns the running queries.
+    """
     paths = FanoutPaths(root)
-    with stream_conf(invoices.sparkSession):
+    writers = writers or file_writers(paths)
+    opts = dict(available_now=available_now, trigger_seconds=trigger_seconds)
+    with stream_conf(invoices.sparkSession, state_partitions=state_partitions):
         qs = [
-            start(invoices, paths.ckpt("stateless"), "append", stateless_writer(paths),
-                  available_now=available_now, trigger_seconds=trigger_seconds),
+            start(invoices, paths.ckpt("stateless"), "append", stateless_writer(writers), **opts),
             start(jobs.loyalty_updates(invoices), paths.ckpt(LOYALTY_OUTPUT), "update",
-                  batch_dir_writer(paths.out(LOYALTY_OUTPUT)),
-                  available_now=available_now, trigger_seconds=trigger_seconds),
+                  writers[LOYALTY_OUTPUT], **opts),
             start(jobs.store_sales_stream(store_sales.rekey_by_store(invoices)),
-                  paths.ckpt(STORE_SALES_OUTPUT), "update",
-                  batch_dir_writer(paths.out(STORE_SALES_OUTPUT)),
-                  available_now=available_now, trigger_seconds=trigger_seconds),
+                  paths.ckpt(STORE_SALES_OUTPUT), "update", writers[STORE_SALES_OUTPUT], **opts),
         ]
-        if available_now:
-            for q in qs:
-                q.awaitTermination(timeout_s)
+        if not available_now:
+            return qs
+        for q in qs:
+            q.awaitTermination(timeout_s)
     for q in qs:
-        if available_now and q.exception() is not None:
+        if q.exception() is not None:
             raise q.exception()
     return paths
+
+
+def run_fanout_kafka(spark, servers: str, checkpoint_root: str, input_topic: str = INPUT_TOPIC,
+                     value_format: str = "json", avro_schema: str | None = None,
+                     event_time: str = "timestamp", trigger_seconds: float = 1.0,
+                     max_offsets_per_trigger: int | None = None):
+    """The service form: consume the invoice topic from the earliest offset and
+    produce the four output topics continuously (1 s triggers)."""
+    from tillstream.sources.adapters import invoices_from_messages
+    from tillstream.sources.kafka import kafka_stream
+    msgs = kafka_stream(spark, servers, input_topic,
+                        max_offsets_per_trigger=max_offsets_per_trigger)
+    inv = invoices_from_messages(msgs, value_format, avro_schema, event_time)
+    return run_fanout(inv, checkpoint_root, available_now=False,
+                      trigger_seconds=trigger_seconds, writers=kafka_writers(servers))

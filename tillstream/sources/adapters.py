@@ -162,3 +162,33 @@ def customer_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.col("c_nationkey").cast("string"), 6, "0").alias("pinCode"),
         F.col("c_custkey").cast("string").alias("contactNumber"),
     )
+
+
+def invoices_from_messages(messages: DataFrame, value_format: str = "json",
+                           avro_schema: str | None = None,
+                           event_time: str = "createdTime") -> DataFrame:
+    """Kafka-shaped (key, value[, timestamp, partition, offset]) rows -> invoice rows.
+
+    ``event_time="createdTime"`` uses the invoice's own epoch-millis field;
+    ``"timestamp"`` uses the record (broker) time. The tie key ``k`` is the
+    record offset when present, else the invoice number's hash.
+    """
+    from tillstream.schemas import POS_INVOICE
+    from tillstream.sources.codec import decode_avro, decode_json
+    keep = tuple(c for c in ("key", "timestamp", "partition", "offset") if c in messages.columns)
+    if value_format == "json":
+        inv = decode_json(messages, POS_INVOICE, keep=keep)
+    elif value_format == "avro":
+        inv = decode_avro(messages, avro_schema, keep=keep)
+    else:
+        raise ValueError(f"unknown value format {value_format}")
+    if event_time == "timestamp":
+        ts = F.col("timestamp").cast("timestamp")
+    else:
+        ts = F.timestamp_millis(F.col(event_time))
+    tie = F.col("offset") if "offset" in keep else F.xxhash64("invoiceNumber")
+    inv = inv.withColumn("event_time", ts).withColumn("k", tie)
+    if "key" not in inv.columns:
+        inv = inv.withColumn("key", F.col("customerCardNo"))
+    return inv.withColumn("invoiceLineItems", F.coalesce(
+        "invoiceLineItems", F.array().cast(POS_INVOICE["invoiceLineItems"].dataType)))

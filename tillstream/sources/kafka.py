@@ -53,3 +53,18 @@ def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str,
             .outputMode(output_mode)
             .trigger(processingTime=f"{trigger_seconds} seconds")
             .start())
+
+
+def kafka_batch_writer(servers: str, topic: str, key_col: str = "key",
+                       value_cols: list[str] | None = None):
+    """foreachBatch function producing a batch's rows as JSON values to a topic (acks=all)."""
+    from tillstream.sources.codec import encode_json
+
+    def write(batch: DataFrame, batch_id: int):
+        (encode_json(batch, value_cols, key_col)
+         .write.format("kafka")
+         .option("kafka.bootstrap.servers", servers)
+         .option("kafka.acks", "all")
+         .option("topic", topic)
+         .save())
+    return write
