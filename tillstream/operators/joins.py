@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded row-count check: reads at most max_rows + 1 rows per task."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def row_count(df: DataFrame) -> int:
+    """Exact row count: partial counts per task, one tiny final merge (a plain
+    parquet scan reads only row-group footers). Unlike ``limit(n).count()`` it
+    never funnels rows from every partition into a single task."""
+    return df.count()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the row bound holds; otherwise leave the join to a shuffle.
+    """Broadcast hint when the side has at most ``max_rows`` rows; otherwise the
+    join is left to a shuffle (where AQE may still switch to a broadcast from
+    measured shuffle sizes, and splits skewed partitions).
 
     Streaming inputs are left unchanged (they cannot be counted).
     """
     if df.isStreaming:
         return df
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    return F.broadcast(df) if row_count(df) <= max_rows else df

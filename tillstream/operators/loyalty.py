@@ -52,7 +52,8 @@ def loyalty_reduce(df: DataFrame, time_col: str = "event_time", tie_col: str = "
 
 
 def running_total(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                  chunks: int | None = None, sample_rows: int | None = None) -> DataFrame:
+                  chunks: int | None = None, sample_rows: int | None = None,
+                  rows_per_chunk: int | None = None, max_chunks: int | None = None) -> DataFrame:
     """Running sum of ``value`` per ``key`` in ``order`` (inclusive of the row).
 
     Skew safe and deterministic. Range bounds over (key, order) are taken once
@@ -63,6 +64,10 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
     a bound can straddle chunks: their earlier-chunk totals (at most
     2 × chunks rows) are prefix-summed and broadcast as offsets.
     ``value`` must be exact (BIGINT) so chunked sums equal a serial sum.
+
+    The number of chunks is ``chunks`` or total rows / ``rows_per_chunk``,
+    capped at ``max_chunks`` (the literal search tree costs planning time per
+    bound, not per row).
     """
     kz, kn = "_kz", "_kn"
     # (null flag, value) stands for the key: a null key is one group, plain equality joins.
@@ -80,7 +85,8 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
         ocols.append(f"_o{i}")
     sort_cols = [kn, kz, *ocols]
     total = d.count()
-    n = chunks or max(1, min(MAX_CHUNKS, -(-total // ROWS_PER_CHUNK)))
+    n = chunks or max(1, min(max_chunks or MAX_CHUNKS,
+                             -(-total // (rows_per_chunk or ROWS_PER_CHUNK))))
     bounds = _sample_bounds(d, sort_cols, n, sample_rows or SAMPLE_PER_CHUNK * n, total)
     types = [d.schema[c].dataType for c in sort_cols]
     d = d.withColumn("_chunk", _bucket_expr(sort_cols, types, bounds))

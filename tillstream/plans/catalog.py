@@ -131,12 +131,12 @@ def line_totals(spark, sf_dir):
 
 def invoice_assembly(spark, sf_dir):
     with utc(spark):
-        lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir)) \
-            .withColumn("invoiceNumber", F.col("l_orderkey").cast("string"))
-        inv = enrichment.assemble_invoices(lines)
-        head = _headers(spark, sf_dir).select("invoiceNumber", "customerCardNo", "storeID",
+        # fold on the numeric order key (cheaper to hash than the text number)
+        lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir))
+        inv = enrichment.assemble_invoices(lines, invoice_col="l_orderkey")
+        head = _headers(spark, sf_dir).select("k", "invoiceNumber", "customerCardNo", "storeID",
                                               "deliveryType")
-        j = inv.join(head, "invoiceNumber")
+        j = inv.join(head, inv.l_orderkey == head.k)
         return j.select("invoiceNumber", "customerCardNo", "storeID", "deliveryType",
                         "numberOfItems", F.size("invoiceLineItems").alias("itemArraySize"),
                         "totalAmount", "taxableAmount", "cgst", "sgst", "cess")
