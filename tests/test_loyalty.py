@@ -56,3 +56,20 @@ def test_running_total_chunks_split_the_hot_key(spark):
     sizes = [r["count"] for r in df.groupBy(_bucket_expr(["k", "t"], types, bounds).alias("c"))
              .count().collect()]
     assert len(sizes) >= 7 and max(sizes) < 20000 / 3
+
+
+def test_last_changelog_row_per_card_equals_latest(spark):
+    from conftest import SF001
+    from tillstream.sources import adapters
+    from tillstream.session import utc
+    with utc(spark):
+        inv = adapters.invoices(spark, SF001, lines=False, items=False)
+        cl = loyalty.loyalty_changelog(inv, chunks=5)
+        ranked = cl.join(inv.select("invoiceNumber", "event_time", "k"), "invoiceNumber")
+        last = (ranked.groupBy("customerCardNo")
+                .agg(F.max_by(F.struct("invoiceNumber", "totalAmount", "earnedLoyaltyPoints",
+                                       "totalLoyaltyPoints"), F.struct("event_time", "k")).alias("r"))
+                .select("r.invoiceNumber", "customerCardNo", "r.totalAmount",
+                        "r.earnedLoyaltyPoints", "r.totalLoyaltyPoints"))
+        latest = loyalty.loyalty_latest(inv)
+        assert last.exceptAll(latest).count() == 0 and latest.exceptAll(last).count() == 0

@@ -50,3 +50,15 @@ def test_rekey_by_store_keeps_rows(invoices):
     out = rekey_by_store(invoices)
     assert out.count() == invoices.count()
     assert out.where(F.col("key") != F.col("storeID")).count() == 0
+
+
+def test_intake_metrics_observed_and_summarised(spark, invoices):
+    from pyspark.sql import Observation
+    from tillstream.operators.metrics import intake_summary, observe_intake
+    obs = Observation("intake")
+    observe_intake(invoices, obs).write.format("noop").mode("overwrite").save()
+    m = obs.get
+    assert m["intake_rows"] == 6 and m["null_delivery_type"] == 1
+    assert m["null_customer_type"] == 1 and m["home_deliveries"] == 3 and m["prime_invoices"] == 4
+    assert m["intake_amount"] == 385.99
+    assert intake_summary(invoices).first().asDict() == m
