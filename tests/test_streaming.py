@@ -150,3 +150,16 @@ def test_fanout_from_json_messages(spark, tmp_path, invoices):
     assert hadoop.count() == 7
     assert {r.customerCardNo: r.totalLoyaltyPoints for r in loy.collect()} == {"C1": 5.5, "C2": 1.9998}
     assert store.select("storeID").distinct().count() == 1
+
+
+def test_cli_fanout_over_message_folder(spark, tmp_path, invoices):
+    from tillstream.__main__ import main
+    from tillstream.schemas import POS_INVOICE
+    from tillstream.sources.codec import encode_json
+    msgs = tmp_path / "msgs"
+    encode_json(invoices, [f.name for f in POS_INVOICE.fields]).coalesce(1).write.json(str(msgs))
+    out = tmp_path / "out"
+    main(["fanout", "--messages", str(msgs), "--out", str(out),
+          "--checkpoint", str(tmp_path / "chk"), "--available-now"])
+    assert spark.read.parquet(f"{out}/out/shipment").count() == 3
+    assert spark.read.parquet(f"{out}/out/hadoop-sink").count() == 7
