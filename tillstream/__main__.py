@@ -1,6 +1,6 @@
 """Command line: run the fan-out as a long-running job.
 
-    python -m tillstream fanout --kafka host:9092 --checkpoint hdfs:///chk/pos-fanout
+    python -m tillstream fanout --kafka host:9092 --checkpoint hdfs:///chk/invoice-fanout
     python -m tillstream fanout --messages /data/pos-invoice/ --out /data/pos-out \\
         --checkpoint /data/chk --available-now
 

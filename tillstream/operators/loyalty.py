@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tillstream.functions.money import fixed_to_double
 from tillstream.operators.stateless import earned_points_fixed, prime_filter
+from tillstream.session import checkpoint_root
 
 CARD = "customerCardNo"
 
@@ -53,7 +54,8 @@ def loyalty_reduce(df: DataFrame, time_col: str = "event_time", tie_col: str = "
 
 def running_total(df: DataFrame, key: str, order: list[str], value: str, out: str,
                   chunks: int | None = None, sample_rows: int | None = None,
-                  rows_per_chunk: int | None = None, max_chunks: int | None = None) -> DataFrame:
+                  rows_per_chunk: int | None = None, max_chunks: int | None = None,
+                  materialize: bool = True) -> DataFrame:
     """Running sum of ``value`` per ``key`` in ``order`` (inclusive of the row).
 
     Skew safe and deterministic. Range bounds over (key, order) are taken once
@@ -68,6 +70,11 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
     The number of chunks is ``chunks`` or total rows / ``rows_per_chunk``,
     capped at ``max_chunks`` (the literal search tree costs planning time per
     bound, not per row).
+
+    With ``materialize`` the prepared input (only the columns passed in) is
+    written once as a reliable checkpoint in the shared checkpoint folder, so
+    the sizing, sampling, offset and window passes read it instead of
+    recomputing the upstream plan four times.
     """
     kz, kn = "_kz", "_kn"
     # (null flag, value) stands for the key: a null key is one group, plain equality joins.
@@ -84,6 +91,9 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
         d = d.withColumn(f"_o{i}", e)
         ocols.append(f"_o{i}")
     sort_cols = [kn, kz, *ocols]
+    if materialize:
+        checkpoint_root(d.sparkSession)
+        d = d.checkpoint(eager=True)
     total = d.count()
     n = chunks or max(1, min(max_chunks or MAX_CHUNKS,
                              -(-total // (rows_per_chunk or ROWS_PER_CHUNK))))
