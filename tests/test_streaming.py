@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import scratch_path, utc
 from tillstream.streaming import jobs
-from tillstream.streaming.loyalty_state import loyalty_stateful
+from tillstream.streaming.loyalty_state import loyalty_stateful_writer, loyalty_tagged
 from tillstream.streaming.sinks import batch_dir_writer, last_emission, read_batches, run_bounded
 from tillstream.plans.streams import STORE_OUT
 from tillstream.schemas import NOTIFICATION
@@ -102,8 +102,9 @@ def test_stateful_processor_one_row_per_input_across_batches(spark, tmp_path):
     _write_files(spark, folder, [b0, b1], NOTIF_DDL)
     root = scratch_path(spark, "tws")
     with utc(spark):
-        run_bounded(loyalty_stateful(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck", "append",
-                    batch_dir_writer(f"{root}/out"))
+        tagged, scale = loyalty_tagged(_stream(spark, folder, NOTIF_DDL))
+        run_bounded(tagged, f"{root}/ck", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), scale))
         out = spark.read.parquet(f"{root}/out").orderBy("invoiceNumber").collect()
     assert [(r.invoiceNumber, r.totalLoyaltyPoints) for r in out] == [
         ("1", 2.0), ("2", 3.0), ("3", 3.5)]

@@ -16,7 +16,8 @@ from tillstream.session import scratch_path, utc
 from tillstream.sources import adapters
 from tillstream.sources.codec import decode_json, encode_json
 from tillstream.streaming import jobs
-from tillstream.streaming.loyalty_state import OUTPUT_SCHEMA, loyalty_stateful as _stateful
+from tillstream.streaming.loyalty_state import (OUTPUT_SCHEMA, loyalty_stateful_writer,
+                                                loyalty_tagged)
 from tillstream.streaming.sinks import batch_dir_writer, last_emission, read_batches, run_bounded
 
 STORE_OUT = T.StructType([
@@ -45,8 +46,11 @@ def loyalty_stateful(spark, sf_dir):
     """Per-record stateful processor: one notification per prime invoice."""
     with utc(spark):
         inv = adapters.invoices(spark, sf_dir, lines=False, stream=True, items=False)
-        out = _run(spark, _stateful(inv), "append", "loyalty-stateful", OUTPUT_SCHEMA)
-        return out.drop("batch_id")
+        tagged, scale = loyalty_tagged(inv)
+        root = scratch_path(spark, "loyalty-stateful")
+        run_bounded(tagged, f"{root}/checkpoint", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), scale))
+        return read_batches(spark, f"{root}/out", OUTPUT_SCHEMA).drop("batch_id")
 
 
 def store_sales_stream_update(spark, sf_dir):

@@ -1,10 +1,19 @@
-"""Per-record loyalty processor: read the card's total, add, write, emit.
+"""Per-record loyalty processing: read the card's total, add, write, emit.
 
-One output row per input invoice. State is one BIGINT (points × 10^4) per
-card in the RocksDB state store under the query checkpoint. Rows of a card
-inside one micro-batch are processed in (event time, tie key) order; rows
-arriving in a later batch are added in arrival order. The per-card rows of a
-micro-batch are bounded by the source's per-trigger limit.
+One notification per input invoice, carrying the card's running total. Split
+in two so that no card's rows are ever gathered in memory:
+
+1. a stateful pass-through (``transformWithStateInPandas``) keeps one BIGINT
+   per card (points × 10^4, RocksDB state under the checkpoint). For each
+   micro-batch it tags every row of the card with the total *before* the
+   batch, streams the rows on in Arrow-batch chunks and stores the new total;
+2. in ``foreachBatch`` the running total inside the micro-batch, in (event
+   time, tie key) order, comes from the skew-safe batch ``running_total`` and
+   is added to the prior total.
+
+Rows of one micro-batch are thus ordered by event time; rows arriving in a
+later batch are added after everything earlier (arrival order), as a per-record
+processor would.
 """
 
 from __future__ import annotations
@@ -16,11 +25,22 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tillstream.operators.loyalty import CARD, with_earned
+from tillstream.functions.money import fixed_to_double
+from tillstream.operators.loyalty import CARD, running_total, with_earned
 from tillstream.operators.stateless import prime_filter
 from tillstream.session import ship_package
 
 STATE_SCHEMA = T.StructType([T.StructField("total", T.LongType(), True)])
+# pandas sees names starting with "_" renamed, so plain names are used here
+TAGGED_SCHEMA = T.StructType([
+    T.StructField(CARD, T.StringType()),
+    T.StructField("invoiceNumber", T.StringType()),
+    T.StructField("totalAmount", T.DoubleType()),
+    T.StructField("earned_fixed", T.LongType()),
+    T.StructField("event_us", T.LongType()),
+    T.StructField("tie", T.LongType()),
+    T.StructField("prior_fixed", T.LongType()),
+])
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("invoiceNumber", T.StringType()),
     T.StructField("customerCardNo", T.StringType()),
@@ -28,47 +48,58 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("earnedLoyaltyPoints", T.DoubleType()),
     T.StructField("totalLoyaltyPoints", T.DoubleType()),
 ])
+TAGGED_COLS = [f.name for f in TAGGED_SCHEMA.fields]
 
 
-class RewardsProcessor(StatefulProcessor):
-    """Running loyalty total per card; ``scale`` is the fixed-point scale of earned_fixed."""
-
-    def __init__(self, scale: int):
-        self.scale = scale
+class PriorTotalProcessor(StatefulProcessor):
+    """Tags rows with the card's total before this micro-batch; adds the batch's sum."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.total = handle.getValueState("rewards-store", STATE_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(["event_us", "tie"], kind="stable", na_position="first")
-        prev = self.total.get()[0] if self.total.exists() else 0
-        earned = pdf["earned_fixed"].astype("float64")
-        running = earned.fillna(0).cumsum() + float(prev or 0)
-        self.total.update((int(running.iloc[-1]),))
-        div = float(10 ** self.scale)
-        yield pd.DataFrame({
-            "invoiceNumber": pdf["invoiceNumber"].values,
-            "customerCardNo": pdf[CARD].values,
-            "totalAmount": pdf["totalAmount"].astype("float64").values,
-            "earnedLoyaltyPoints": (earned / div).values,
-            "totalLoyaltyPoints": (running / div).values,
-        })
+        prior = (self.total.get()[0] or 0) if self.total.exists() else 0
+        added = 0
+        for pdf in rows:
+            added += int(pdf["earned_fixed"].fillna(0).astype("int64").sum())
+            out = pdf.reindex(columns=TAGGED_COLS)
+            for c in ("earned_fixed", "event_us", "tie"):
+                out[c] = out[c].astype("Int64")  # nullable: a null amount stays null
+            out["prior_fixed"] = prior
+            yield out
+        self.total.update((prior + added,))
 
     def close(self) -> None:
         pass
 
 
-def loyalty_stateful(invoices: DataFrame, time_col: str = "event_time", tie_col: str = "k",
-                     prime_only: bool = True) -> DataFrame:
-    """Stream (or batch) of invoices -> one notification per invoice with the card's
-    running total. Uses transformWithStateInPandas (needs the RocksDB provider)."""
+def loyalty_tagged(invoices: DataFrame, time_col: str = "event_time", tie_col: str = "k",
+                   prime_only: bool = True) -> tuple[DataFrame, int]:
+    """Stream of invoices -> rows tagged with the card's prior total (stateful part).
+    Returns the DataFrame and the fixed-point scale of the points columns."""
     src = prime_filter(invoices) if prime_only else invoices
     d, scale = with_earned(src)
-    # (pandas sees names starting with "_" renamed, so plain names are used)
     d = d.select(CARD, "invoiceNumber", "totalAmount", F.col("_earned").alias("earned_fixed"),
                  F.unix_micros(F.col(time_col).cast("timestamp")).alias("event_us"),
                  F.col(tie_col).alias("tie"))
     ship_package(invoices.sparkSession)
-    return d.groupBy(CARD).transformWithStateInPandas(
-        RewardsProcessor(scale), OUTPUT_SCHEMA, "Append", "None")
+    tagged = d.groupBy(CARD).transformWithStateInPandas(
+        PriorTotalProcessor(), TAGGED_SCHEMA, "Append", "None")
+    return tagged, scale
+
+
+def notifications_of_batch(tagged: DataFrame, scale: int) -> DataFrame:
+    """Batch step: prior total + running total inside the batch (skew safe)."""
+    r = running_total(tagged, CARD, ["event_us", "tie"], "earned_fixed", "_run")
+    return r.select(
+        "invoiceNumber", CARD, "totalAmount",
+        fixed_to_double("earned_fixed", scale).alias("earnedLoyaltyPoints"),
+        fixed_to_double(F.col("prior_fixed") + F.col("_run"), scale).alias("totalLoyaltyPoints"),
+    )
+
+
+def loyalty_stateful_writer(write, scale: int):
+    """Wrap a foreachBatch function so it receives finished notifications."""
+    def run(batch: DataFrame, batch_id: int):
+        write(notifications_of_batch(batch, scale), batch_id)
+    return run
