@@ -62,12 +62,17 @@ def _store_sales_panes(df, size_minutes, advance_minutes, time_col, store_col, a
                        keep_window):
     pane_ms = advance_minutes * 60_000
     n = size_minutes // advance_minutes
-    panes = (df.select(F.col(store_col).alias(store_col),
-                       F.floor(F.unix_millis(F.col(time_col).cast("timestamp")) / F.lit(pane_ms))
-                       .alias("_pane"),
-                       to_fixed(amount_col).alias("_cents"))
-             .groupBy(store_col, "_pane")
-             .agg(F.sum("_cents").alias("_cents")))
+    rows = df.select(F.col(store_col).alias(store_col),
+                     F.floor(F.unix_millis(F.col(time_col).cast("timestamp")) / F.lit(pane_ms))
+                     .alias("_pane"),
+                     to_fixed(amount_col).alias("_cents"))
+    if n == 1:  # tumbling: a pane is a window, one aggregate
+        agg = (rows.groupBy(store_col, F.col("_pane").alias("_wpane"))
+               .agg(money_sum("_cents", MONEY_SCALE).alias("_total")))
+        start = F.timestamp_millis(F.col("_wpane") * F.lit(pane_ms))
+        end = F.timestamp_millis((F.col("_wpane") + F.lit(1)) * F.lit(pane_ms))
+        return agg.select(*_window_frame(start, end, keep_window, store_col, F.col("_total")))
+    panes = rows.groupBy(store_col, "_pane").agg(F.sum("_cents").alias("_cents"))
     # each pane belongs to the n windows starting at pane-n+1 .. pane
     fanned = panes.select(store_col, "_cents",
                           F.explode(F.sequence(F.col("_pane") - F.lit(n - 1), F.col("_pane")))
