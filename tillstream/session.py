@@ -20,6 +20,9 @@ RECOMMENDED_CONF = {
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # checkpointed intermediate DataFrames (one per running-total call, also per
+    # micro-batch of the stateful loyalty stream) are deleted once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
