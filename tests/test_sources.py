@@ -63,3 +63,15 @@ def test_attach_address_only_for_home_delivery(invoices, spark):
     assert out["1"].city == "City" and out["2"].city == "City"
     assert out["3"] is None and out["6"] is None  # not home deliveries: unchanged
     assert out["5"] is None  # home delivery, card without an address row
+
+
+def test_invoice_totals_match_assembly(spark):
+    from tillstream.operators.enrichment import invoice_totals
+    lines = spark.createDataFrame([("A", 120.0, 2), ("A", 75.5, 1), ("B", 0.1, 3)],
+                                  "invoiceNumber string, itemPrice double, itemQty int")
+    lines = with_line_totals(lines).withColumn("itemCode", F.lit("x")) \
+        .withColumn("itemDescription", F.lit("y"))
+    a = assemble_invoices(lines).drop("invoiceLineItems")
+    b = invoice_totals(lines)
+    assert sorted(map(tuple, a.select(*b.columns).collect())) == sorted(map(tuple, b.collect()))
+    assert {r.invoiceNumber: r.totalAmount for r in b.collect()} == {"A": 315.5, "B": 0.3}

@@ -62,3 +62,16 @@ def test_intake_metrics_observed_and_summarised(spark, invoices):
     assert m["null_customer_type"] == 1 and m["home_deliveries"] == 3 and m["prime_invoices"] == 4
     assert m["intake_amount"] == 385.99
     assert intake_summary(invoices).first().asDict() == m
+
+
+def test_output_schemas_match_declared_records(invoices):
+    from tillstream.schemas import HADOOP_RECORD, NOTIFICATION, STORE
+    from tillstream.operators import store_sales
+
+    def shape(schema):
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+    assert shape(stateless.hadoop_records(invoices).schema) == shape(HADOOP_RECORD)
+    assert shape(stateless.notification(invoices).schema) == shape(NOTIFICATION)
+    ev = invoices.select("storeID", "totalAmount", "event_time")
+    assert shape(store_sales.unwindowed(store_sales.hopping_store_sales(ev)).schema) == shape(STORE)

@@ -52,3 +52,14 @@ def test_tumbling(spark):
                          ("S1", 4.0, datetime(2024, 1, 1, 1, 0), 3)])
     out = {r.window_start.hour: r.totalSale for r in store_sales.tumbling_store_sales(ev).collect()}
     assert out == {0: 3.0, 1: 4.0}
+
+
+def test_batch_closed_windows_equal_stream_final_only(spark):
+    from tillstream.plans import streams
+    from tillstream.session import utc
+    with utc(spark):
+        ev = adapters.store_events(spark, SF001)
+        wm = ev.agg(F.max("event_time") - F.expr("INTERVAL 2 MINUTES")).first()[0]
+        batch = store_sales.closed_windows(store_sales.hopping_store_sales(ev), F.lit(wm).cast("timestamp_ntz"))
+        stream = streams.store_sales_final_only(spark, SF001)
+        assert batch.exceptAll(stream).count() == 0 and stream.exceptAll(batch).count() == 0

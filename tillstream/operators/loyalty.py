@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tillstream.functions.money import fixed_to_double
 from tillstream.operators.stateless import earned_points_fixed, prime_filter
-from tillstream.session import checkpoint_root
+from tillstream.session import cut_lineage
 
 CARD = "customerCardNo"
 
@@ -92,8 +92,7 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
         ocols.append(f"_o{i}")
     sort_cols = [kn, kz, *ocols]
     if materialize:
-        checkpoint_root(d.sparkSession)
-        d = d.checkpoint(eager=True)
+        d = cut_lineage(d)
     total = d.count()
     n = chunks or max(1, min(max_chunks or MAX_CHUNKS,
                              -(-total // (rows_per_chunk or ROWS_PER_CHUNK))))

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.constants import CESS_RATE, CGST_RATE, HOME_DELIVERY, PRIME, SGST_RATE
 from tillstream.functions.predicates import is_home_delivery
-from tillstream.functions.time import millis_of
+from tillstream.functions.time import event_time_from_millis, millis_of
 from tillstream.operators.joins import broadcast_if_small
+from tillstream.operators.stateless import key_by
 from tillstream.schemas import LINE_ITEM
 from tillstream.sources.tables import read_table, stream_table
 
@@ -137,7 +138,7 @@ def invoices(spark: SparkSession, sf_dir: str, lines: bool = True,
     if lines:
         cols.append("invoiceLineItems")
     # The message key is the customer card (what the publisher keys by).
-    return h.select(F.col("customerCardNo").alias("key"), *cols, "k", "event_time")
+    return key_by(h, "customerCardNo").select("key", *cols, "k", "event_time")
 
 
 def store_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
@@ -185,10 +186,10 @@ def invoices_from_messages(messages: DataFrame, value_format: str = "json",
     if event_time == "timestamp":
         ts = F.col("timestamp").cast("timestamp")
     else:
-        ts = F.timestamp_millis(F.col(event_time))
+        ts = event_time_from_millis(event_time)
     tie = F.col("offset") if "offset" in keep else F.xxhash64("invoiceNumber")
     inv = inv.withColumn("event_time", ts).withColumn("k", tie)
     if "key" not in inv.columns:
-        inv = inv.withColumn("key", F.col("customerCardNo"))
+        inv = key_by(inv, "customerCardNo")
     return inv.withColumn("invoiceLineItems", F.coalesce(
         "invoiceLineItems", F.array().cast(POS_INVOICE["invoiceLineItems"].dataType)))
