@@ -151,19 +151,60 @@ def _sample_bounds(d: DataFrame, cols: list[str], n: int, sample_rows: int,
     return picked
 
 
+def _sql_literal(v, t) -> str:
+    """SQL text of a bound value as a literal of Spark type ``t``."""
+    ts = t.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {ts})"
+    if isinstance(t, T.StringType):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(t, T.BooleanType):
+        return "true" if v else "false"
+    if isinstance(t, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return f"CAST({int(v)} AS {ts})"
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        if v != v:
+            txt = "NaN"
+        elif v in (float("inf"), float("-inf")):
+            txt = "Infinity" if v > 0 else "-Infinity"
+        else:
+            txt = repr(float(v))
+        return f"CAST('{txt}' AS {ts})"
+    if isinstance(t, T.DecimalType):
+        return f"CAST('{v}' AS {ts})"
+    raise TypeError(f"unsupported order column type {ts}")
+
+
+def _le_sql(cols: list[str], types: list, bound: tuple) -> str:
+    """(cols) <= bound in lexicographic order with nulls first, on primitive columns."""
+    expr = None
+    for c, t, v in reversed(list(zip(cols, types, bound))):
+        q = f"`{c}`"
+        if v is None:
+            lt, eq = "false", f"{q} IS NULL"
+        else:
+            lit = _sql_literal(v, t)
+            lt, eq = f"({q} IS NULL OR {q} < {lit})", f"{q} = {lit}"
+        expr = f"({lt} OR {eq})" if expr is None else f"({lt} OR ({eq} AND {expr}))"
+    return expr
+
+
 def _bucket_expr(cols: list[str], types: list, bounds: list[tuple]) -> F.Column:
-    """Index of the first bound >= row (len(bounds) if none), by binary search."""
-    row = F.struct(*cols)
-    lits = [F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(b, types, cols)])
-            for b in bounds]
+    """Index of the first bound >= row (len(bounds) if none), by binary search.
+
+    Built as one SQL expression (one call into the JVM) of primitive
+    comparisons, depth log2(len(bounds))."""
+    if not bounds:
+        return F.lit(0)
 
-    def build(lo: int, hi: int) -> F.Column:  # answer in [lo, hi]
+    def build(lo: int, hi: int) -> str:  # answer in [lo, hi]
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(row <= lits[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
+        return (f"CASE WHEN {_le_sql(cols, types, bounds[mid])} "
+                f"THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END")
 
-    return build(0, len(bounds))
+    return F.expr(build(0, len(bounds)))
 
 
 def loyalty_changelog(df: DataFrame, time_col: str = "event_time", tie_col: str = "k",
