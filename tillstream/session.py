@@ -93,18 +93,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``tillstream`` importable in Python workers (for the pandas-backed
-    operators) by adding a zip of the package to the context once. Where the
-    package is installed on the executors this is harmless."""
-    sc = spark.sparkContext
-    if sc.getConf().get("spark.tillstream.shipped", "") == "1" or getattr(sc, "_tillstream_zip", None):
-        return
-    import shutil
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    base = os.path.join(tempfile.mkdtemp(prefix="tillstream-py-"), "tillstream")
-    archive = shutil.make_archive(base, "zip", os.path.dirname(pkg), "tillstream")
-    sc.addPyFile(archive)
-    sc._tillstream_zip = archive

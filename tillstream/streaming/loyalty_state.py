@@ -18,9 +18,11 @@ processor would.
 
 from __future__ import annotations
 
+import sys
 from typing import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -28,7 +30,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tillstream.functions.money import fixed_to_double
 from tillstream.operators.loyalty import CARD, running_total, with_earned
 from tillstream.operators.stateless import prime_filter
-from tillstream.session import ship_package
+
+# The processor is pickled by value, so Python workers (and the driver-side
+# runner that reads the processor) need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE_SCHEMA = T.StructType([T.StructField("total", T.LongType(), True)])
 # pandas sees names starting with "_" renamed, so plain names are used here
@@ -82,7 +87,6 @@ def loyalty_tagged(invoices: DataFrame, time_col: str = "event_time", tie_col: s
     d = d.select(CARD, "invoiceNumber", "totalAmount", F.col("_earned").alias("earned_fixed"),
                  F.unix_micros(F.col(time_col).cast("timestamp")).alias("event_us"),
                  F.col(tie_col).alias("tie"))
-    ship_package(invoices.sparkSession)
     tagged = d.groupBy(CARD).transformWithStateInPandas(
         PriorTotalProcessor(), TAGGED_SCHEMA, "Append", "None")
     return tagged, scale
