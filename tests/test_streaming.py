@@ -164,3 +164,21 @@ def test_cli_fanout_over_message_folder(spark, tmp_path, invoices):
           "--checkpoint", str(tmp_path / "chk"), "--available-now"])
     assert spark.read.parquet(f"{out}/out/shipment").count() == 3
     assert spark.read.parquet(f"{out}/out/hadoop-sink").count() == 7
+
+
+def test_intake_metrics_observed_per_micro_batch(spark, tmp_path, invoices):
+    from tillstream.operators.metrics import observe_intake
+    from tillstream.schemas import POS_INVOICE
+    from tillstream.sources.adapters import invoices_from_messages
+    from tillstream.sources.codec import encode_json
+    folder = tmp_path / "msgs"
+    encode_json(invoices, [f.name for f in POS_INVOICE.fields]).coalesce(1).write.json(str(folder))
+    msgs = spark.readStream.schema("key string, value string").json(str(folder))
+    root = scratch_path(spark, "observe")
+    with utc(spark):
+        observed = observe_intake(invoices_from_messages(msgs), "intake")
+        q = run_bounded(observed, f"{root}/ck", "append", batch_dir_writer(f"{root}/out"))
+    seen = [p["observedMetrics"]["intake"] for p in q.recentProgress
+            if p.get("observedMetrics", {}).get("intake")]
+    assert sum(m["intake_rows"] for m in seen) == 6
+    assert sum(m["null_delivery_type"] for m in seen) == 1
