@@ -15,9 +15,11 @@ def test_latest_and_total_per_card(invoices):
     assert out["C2"].totalLoyaltyPoints == 1.9998
 
 
-def test_reduce_equals_aggregate(invoices):
+def test_reduce_over_notifications_equals_aggregate(invoices):
+    from tillstream.operators.stateless import notification, prime_filter
+    notes = notification(prime_filter(invoices), keep=("event_time", "k"))
     a = sorted(map(tuple, loyalty.loyalty_latest(invoices).collect()))
-    b = sorted(map(tuple, loyalty.loyalty_reduce(invoices).collect()))
+    b = sorted(map(tuple, loyalty.loyalty_reduce(notes).collect()))
     assert a == b
 
 

@@ -38,18 +38,33 @@ def _latest_and_total(df: DataFrame, time_col: str, tie_col: str) -> DataFrame:
 def loyalty_latest(df: DataFrame, time_col: str = "event_time", tie_col: str = "k",
                    prime_only: bool = True) -> DataFrame:
     """Keyed aggregate, final state: per card the newest invoice's columns and the
-    total of earned points (0.0 start). One partial+final hash aggregate: a hot
-    card is combined map-side, never gathered in one task."""
+    total of earned points (0.0 start). A partial + final aggregate (sort based,
+    as the newest-row buffer holds text): a hot card is combined map-side, never
+    gathered in one task. Works on batch and streaming (update mode) inputs."""
     src = prime_filter(df) if prime_only else df
     return _latest_and_total(src, time_col, tie_col)
 
 
-def loyalty_reduce(df: DataFrame, time_col: str = "event_time", tie_col: str = "k",
-                   prime_only: bool = True) -> DataFrame:
-    """Keyed reduce over notifications: the newer value wins and its total is the
-    older total plus its own earned points. The first value is seeded with its
-    earned points, so the final state equals ``loyalty_latest``."""
-    return loyalty_latest(df, time_col, tie_col, prime_only)
+def loyalty_reduce(notifications: DataFrame, time_col: str = "event_time",
+                   tie_col: str = "k") -> DataFrame:
+    """Keyed reduce over notification records (invoiceNumber, customerCardNo,
+    totalAmount, earnedLoyaltyPoints + order columns): the newer value wins and
+    its total is the older total plus its own earned points. The first value is
+    seeded with its earned points, so the final state equals ``loyalty_latest``
+    of the invoices the notifications came from."""
+    _, scale = earned_points_fixed()
+    e = F.round(F.col("earnedLoyaltyPoints") * F.lit(10 ** scale)).cast("long")
+    d = notifications.withColumn("_earned", e)
+    newest = F.max_by(F.struct("invoiceNumber", "totalAmount", "_earned"),
+                      F.struct(time_col, tie_col))
+    agg = d.groupBy(CARD).agg(newest.alias("_last"),
+                              F.coalesce(F.sum("_earned"), F.lit(0).cast("long")).alias("_total"))
+    return agg.select(
+        F.col("_last.invoiceNumber").alias("invoiceNumber"), F.col(CARD),
+        F.col("_last.totalAmount").alias("totalAmount"),
+        fixed_to_double("_last._earned", scale).alias("earnedLoyaltyPoints"),
+        fixed_to_double("_total", scale).alias("totalLoyaltyPoints"),
+    )
 
 
 def running_total(df: DataFrame, key: str, order: list[str], value: str, out: str,

@@ -76,8 +76,11 @@ def loyalty_latest(spark, sf_dir):
 
 
 def loyalty_reduce(spark, sf_dir):
+    """Invoice -> notification (prime only) -> keyed reduce, as composed upstream."""
     with utc(spark):
-        return loyalty.loyalty_reduce(_headers(spark, sf_dir))
+        notes = stateless.notification(stateless.prime_filter(_headers(spark, sf_dir)),
+                                       keep=("event_time", "k"))
+        return loyalty.loyalty_reduce(notes)
 
 
 def loyalty_changelog(spark, sf_dir):

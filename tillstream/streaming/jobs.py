@@ -11,29 +11,17 @@ emits each window once, after it closes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tillstream.constants import (MONEY_SCALE, WINDOW_ADVANCE_MINUTES, WINDOW_GRACE_MINUTES,
-                                  WINDOW_SIZE_MINUTES)
-from tillstream.functions.money import fixed_to_double, money_sum, to_fixed
-from tillstream.operators.loyalty import CARD, with_earned
-from tillstream.operators.stateless import prime_filter
+from tillstream.constants import WINDOW_ADVANCE_MINUTES, WINDOW_GRACE_MINUTES, WINDOW_SIZE_MINUTES
+from tillstream.operators.loyalty import loyalty_latest
+from tillstream.operators.store_sales import windowed_store_sales
 
 
 def loyalty_updates(invoices: DataFrame, time_col: str = "event_time", tie_col: str = "k",
                     prime_only: bool = True) -> DataFrame:
-    src = prime_filter(invoices) if prime_only else invoices
-    d, scale = with_earned(src)
-    last = F.max_by(F.struct("invoiceNumber", "totalAmount", "_earned"),
-                    F.struct(time_col, tie_col))
-    agg = d.groupBy(CARD).agg(last.alias("_last"),
-                              F.coalesce(F.sum("_earned"), F.lit(0).cast("long")).alias("_total"))
-    return agg.select(
-        F.col("_last.invoiceNumber").alias("invoiceNumber"), F.col(CARD),
-        F.col("_last.totalAmount").alias("totalAmount"),
-        fixed_to_double("_last._earned", scale).alias("earnedLoyaltyPoints"),
-        fixed_to_double("_total", scale).alias("totalLoyaltyPoints"),
-    )
+    """The keyed aggregate on a stream; run it in update mode for the changelog."""
+    return loyalty_latest(invoices, time_col, tie_col, prime_only)
 
 
 def store_sales_stream(events: DataFrame, size_minutes: int = WINDOW_SIZE_MINUTES,
@@ -41,13 +29,9 @@ def store_sales_stream(events: DataFrame, size_minutes: int = WINDOW_SIZE_MINUTE
                        grace_minutes: int = WINDOW_GRACE_MINUTES, time_col: str = "event_time",
                        store_col: str = "storeID", amount_col: str = "totalAmount",
                        keep_window: bool = True) -> DataFrame:
-    size, adv = f"{size_minutes} minutes", f"{advance_minutes} minutes"
-    w = F.window(time_col, size) if size == adv else F.window(time_col, size, adv)
-    agg = (events.withWatermark(time_col, f"{grace_minutes} minutes")
-           .groupBy(w.alias("window"), F.col(store_col).alias(store_col))
-           .agg(money_sum(to_fixed(amount_col), MONEY_SCALE).alias("totalSale")))
-    cols = [store_col, "totalSale"]
-    if keep_window:
-        cols = [F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                F.col("window.end").cast("timestamp_ntz").alias("window_end")] + cols
-    return agg.select(*cols)
+    """Windowed store sales with a watermark of the grace period (``F.window``
+    form: state is kept per window and store)."""
+    return windowed_store_sales(
+        events.withWatermark(time_col, f"{grace_minutes} minutes"), size_minutes,
+        advance_minutes, time_col=time_col, store_col=store_col, amount_col=amount_col,
+        keep_window=keep_window, method="window")
