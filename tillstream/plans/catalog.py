@@ -116,11 +116,7 @@ def line_enrichment(spark, sf_dir):
         li = read_table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("itemCode"),
             F.col("l_quantity").cast("int").alias("itemQty"))
-        products = read_table(spark, sf_dir, "part").select(
-            F.col("p_partkey").cast("string").alias("itemCode"),
-            F.col("p_name").alias("itemDescription"),
-            F.col("p_retailprice").alias("itemPrice"))
-        return enrichment.enrich_lines(li, products).select(
+        return enrichment.enrich_lines(li, adapters.products(spark, sf_dir)).select(
             "l_orderkey", "l_linenumber", "itemCode", "itemDescription", "itemPrice", "itemQty")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillstream.constants import CESS_RATE, CGST_RATE, HOME_DELIVERY, PRIME, SGST_RATE
 from tillstream.functions.predicates import is_home_delivery
 from tillstream.functions.time import event_time_from_millis, millis_of
+from tillstream.operators.enrichment import enrich_lines
 from tillstream.operators.joins import broadcast_if_small
 from tillstream.operators.stateless import key_by
 from tillstream.schemas import LINE_ITEM
@@ -35,21 +36,23 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cust.join(broadcast_if_small(geo), cust.c_nationkey == geo.n_nationkey, "left")
 
 
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as the product dimension: itemCode, itemDescription, itemPrice."""
+    return read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("itemCode"),
+        F.col("p_name").alias("itemDescription"),
+        F.col("p_retailprice").alias("itemPrice"))
+
+
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line: l_orderkey plus the LineItem fields (lineitem ⋈ part)."""
+    """One row per line: l_orderkey plus the LineItem fields (lineitem + product lookup)."""
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    j = li.join(part, li.l_partkey == part.p_partkey, "left")
-    return j.select(
-        "l_orderkey",
-        "l_linenumber",
+        "l_orderkey", "l_linenumber",
         F.col("l_partkey").cast("string").alias("itemCode"),
-        F.col("p_name").alias("itemDescription"),
-        F.col("p_retailprice").alias("itemPrice"),
         F.col("l_quantity").cast("int").alias("itemQty"),
-        F.col("l_extendedprice").alias("totalValue"),
-    )
+        F.col("l_extendedprice").alias("totalValue"))
+    return enrich_lines(li, products(spark, sf_dir)).select(
+        "l_orderkey", "l_linenumber", *[f.name for f in LINE_ITEM.fields])
 
 
 def _nested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
