@@ -115,9 +115,17 @@ def running_total(df: DataFrame, key: str, order: list[str], value: str, out: st
     types = [d.schema[c].dataType for c in sort_cols]
     d = d.withColumn("_chunk", _bucket_expr(sort_cols, types, bounds))
     part = [kz, kn, "_chunk"]
+    # Chunks are equal-row ranges, so ranging the window input on (chunk, key)
+    # gives each task about one chunk (hashing could stack a hot key's chunks in
+    # one task). Results do not depend on this assignment, only on _chunk.
+    ranged = d
+    if bounds:
+        n_parts = max(n, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        ranged = d.repartitionByRange(n_parts, "_chunk", kn, kz)
     local_w = (Window.partitionBy(*part).orderBy(*ocols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.withColumn("_local", F.coalesce(F.sum(value).over(local_w), F.lit(0).cast("long")))
+    local = ranged.withColumn("_local",
+                              F.coalesce(F.sum(value).over(local_w), F.lit(0).cast("long")))
     straddlers = sorted({(b[0], b[1]) for b in bounds})
     if straddlers:
         # hash-set membership; a key equal to a straddler's text but with the other
