@@ -75,3 +75,31 @@ def test_output_schemas_match_declared_records(invoices):
     assert shape(stateless.notification(invoices).schema) == shape(NOTIFICATION)
     ev = invoices.select("storeID", "totalAmount", "event_time")
     assert shape(store_sales.unwindowed(store_sales.hopping_store_sales(ev)).schema) == shape(STORE)
+
+
+def test_flat_and_nested_flatten_agree(spark):
+    from conftest import SF001
+    from tillstream.session import utc
+    from tillstream.sources import adapters
+    with utc(spark):
+        nested = stateless.hadoop_records(adapters.invoices(spark, SF001, lines=True), keep=("key",))
+        flat = stateless.hadoop_records_from_lines(
+            adapters.invoices(spark, SF001, lines=False), adapters.invoice_lines(spark, SF001),
+            keep=("key",))
+        assert nested.columns == flat.columns
+        assert nested.exceptAll(flat).count() == 0 and flat.exceptAll(nested).count() == 0
+
+
+def test_nested_line_totals_equal_flat(spark):
+    from conftest import SF001
+    from tillstream.operators.enrichment import recompute_item_totals, with_line_totals
+    from tillstream.session import utc
+    from tillstream.sources import adapters
+    with utc(spark):
+        inv = recompute_item_totals(adapters.invoices(spark, SF001, lines=True))
+        nested = inv.select("invoiceNumber", F.explode("invoiceLineItems").alias("li")).select(
+            "invoiceNumber", "li.itemCode", "li.itemPrice", "li.itemQty", "li.totalValue")
+        flat = with_line_totals(adapters.invoice_lines(spark, SF001)).select(
+            F.col("l_orderkey").cast("string").alias("invoiceNumber"), "itemCode", "itemPrice",
+            "itemQty", "totalValue")
+        assert nested.exceptAll(flat).count() == 0 and flat.exceptAll(nested).count() == 0

@@ -45,6 +45,32 @@ def hadoop_records(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                                  for c in HADOOP_COLUMNS])
 
 
+def hadoop_records_from_lines(headers: DataFrame, lines: DataFrame, header_key: str = "k",
+                              line_key: str = "l_orderkey",
+                              keep: tuple[str, ...] = ()) -> DataFrame:
+    """The same records from invoice headers and flat line rows (the table form).
+
+    A join on the invoice key instead of nesting lines into arrays and
+    exploding them: no invoice's lines are ever gathered into one value, and a
+    hot invoice key is a skewed join partition that AQE can split. Equal to
+    ``hadoop_records`` of the nested invoices (an invoice without lines emits
+    nothing in both).
+    """
+    home = is_home_delivery("deliveryType")
+    addr = F.col("deliveryAddress")
+    h = headers.select(
+        *keep, F.col(header_key).alias("_hk"),
+        "invoiceNumber", "createdTime", "storeID", "posID", "customerType", "paymentMethod",
+        "deliveryType",
+        F.when(home, addr.getField("city")).alias("city"),
+        F.when(home, addr.getField("state")).alias("state"),
+        F.when(home, addr.getField("pinCode")).alias("pinCode"))
+    item_cols = [c for c in HADOOP_COLUMNS if c in lines.columns]
+    j = h.join(lines.select(F.col(line_key).alias("_lk"), *item_cols),
+               F.col("_hk") == F.col("_lk"), "inner")
+    return j.select(*keep, *HADOOP_COLUMNS)
+
+
 def mask_invoice(df: DataFrame) -> DataFrame:
     """Remove personal data: card number always; address line and contact number
     of home deliveries. Other columns, including the line array, are unchanged."""

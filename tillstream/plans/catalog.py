@@ -43,9 +43,10 @@ def prime_filter(spark, sf_dir):
 
 
 def hadoop_flatten(spark, sf_dir):
+    """Flattened line records from the tables: headers ⋈ lines (no arrays built)."""
     with utc(spark):
-        inv = adapters.invoices(spark, sf_dir, lines=True)
-        return stateless.hadoop_records(inv, keep=("key",))
+        return stateless.hadoop_records_from_lines(
+            _headers(spark, sf_dir), adapters.invoice_lines(spark, sf_dir), keep=("key",))
 
 
 def mask_invoice(spark, sf_dir):
@@ -121,11 +122,12 @@ def line_enrichment(spark, sf_dir):
 
 
 def line_totals(spark, sf_dir):
+    """Line totals (price × qty) of every invoice's lines, on flat line rows."""
     with utc(spark):
-        inv = enrichment.recompute_item_totals(adapters.invoices(spark, sf_dir, lines=True))
-        x = inv.select("invoiceNumber", F.explode("invoiceLineItems").alias("li"))
-        return x.select("invoiceNumber", "li.itemCode", "li.itemPrice", "li.itemQty",
-                        "li.totalValue")
+        lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir))
+        head = _headers(spark, sf_dir).select("k", "invoiceNumber")
+        j = lines.join(head, lines.l_orderkey == head.k)
+        return j.select("invoiceNumber", "itemCode", "itemPrice", "itemQty", "totalValue")
 
 
 def invoice_assembly(spark, sf_dir):
