@@ -119,6 +119,10 @@ def invoices(spark: SparkSession, sf_dir: str, lines: bool = True,
     computed), which is all the header-only operators need. ``stream=True``
     reads ``orders`` as a file stream; ``items=False`` (header-only) leaves
     numberOfItems null instead of joining line counts.
+
+    Streaming reads join the static tables (customers, line arrays) in every
+    micro-batch, which suits the bounded test runs this adapter serves; a live
+    service receives whole invoices as messages (``invoices_from_messages``).
     """
     orders = stream_table(spark, sf_dir, "orders") if stream else read_table(spark, sf_dir, "orders")
     h = invoice_headers(orders, _customers(spark, sf_dir))
