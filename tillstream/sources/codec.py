@@ -70,11 +70,16 @@ def decode_avro(df: DataFrame, schema_json: str, value_col: str = "value",
 
 
 def encode_avro(df: DataFrame, value_cols: list[str] | None = None,
-                key_col: str | None = "key") -> DataFrame:
-    """Rows -> (key, Avro value) without registry framing. Requires spark-avro."""
+                key_col: str | None = "key", schema_json: str | None = None) -> DataFrame:
+    """Rows -> (key, Avro value) without registry framing. Requires spark-avro.
+
+    Pass the same ``schema_json`` the readers use (e.g. from
+    ``avro_schema_json``); without it Spark derives one whose unions list the
+    type before null."""
     from pyspark.sql.avro.functions import to_avro
     cols = value_cols or [c for c in df.columns if c != key_col]
-    out = [to_avro(F.struct(*cols)).alias("value")]
+    v = to_avro(F.struct(*cols), schema_json) if schema_json else to_avro(F.struct(*cols))
+    out = [v.alias("value")]
     if key_col:
         out.insert(0, F.col(key_col).cast("string").alias("key"))
     return df.select(*out)
