@@ -74,13 +74,14 @@ def run_bounded(df: DataFrame, checkpoint: str, output_mode: str, sink, timeout_
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read what ``batch_dir_writer`` wrote (with a batch_id column), or an empty frame."""
+    from pyspark.errors import AnalysisException
     full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jpath):
+    try:
+        df = spark.read.schema(full).parquet(path)
+        df.schema  # resolves the path: a stream that emitted nothing wrote no folder
+        return df
+    except AnalysisException:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(path)
 
 
 def last_emission(df: DataFrame, keys: list[str]) -> DataFrame:
