@@ -19,7 +19,7 @@ FLAT_INVOICE = ["key", "invoiceNumber", "createdTime", "customerCardNo", "totalA
                 "addressLine", "city", "state", "pinCode", "contactNumber"]
 
 
-def _flat(df: DataFrame) -> DataFrame:
+def flat_invoice(df: DataFrame) -> DataFrame:
     return stateless.flatten_address(df).select(*FLAT_INVOICE)
 
 
@@ -29,17 +29,17 @@ def _headers(spark, sf_dir):
 
 def invoice_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     with utc(spark):
-        return _flat(_headers(spark, sf_dir))
+        return flat_invoice(_headers(spark, sf_dir))
 
 
 def shipment_filter(spark, sf_dir):
     with utc(spark):
-        return _flat(stateless.shipment_filter(_headers(spark, sf_dir)))
+        return flat_invoice(stateless.shipment_filter(_headers(spark, sf_dir)))
 
 
 def prime_filter(spark, sf_dir):
     with utc(spark):
-        return _flat(stateless.prime_filter(_headers(spark, sf_dir)))
+        return flat_invoice(stateless.prime_filter(_headers(spark, sf_dir)))
 
 
 def hadoop_flatten(spark, sf_dir):
@@ -51,7 +51,7 @@ def hadoop_flatten(spark, sf_dir):
 
 def mask_invoice(spark, sf_dir):
     with utc(spark):
-        return _flat(stateless.mask_invoice(_headers(spark, sf_dir)))
+        return flat_invoice(stateless.mask_invoice(_headers(spark, sf_dir)))
 
 
 def notification_projection(spark, sf_dir):
@@ -149,7 +149,7 @@ def address_enrichment(spark, sf_dir):
             "struct<addressLine:string,city:string,state:string,pinCode:string,"
             "contactNumber:string>"))
         addr = adapters.customer_addresses(spark, sf_dir)
-        return _flat(enrichment.attach_address(raw, addr, on="customerCardNo"))
+        return flat_invoice(enrichment.attach_address(raw, addr, on="customerCardNo"))
 
 
 BATCH_QUERIES = {

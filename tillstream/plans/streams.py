@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tillstream.constants import (HADOOP_OUTPUT, LOYALTY_OUTPUT, SHIPMENT_OUTPUT,
                                   STORE_SALES_OUTPUT)
-from tillstream.plans.catalog import FLAT_INVOICE, _flat
+from tillstream.plans.catalog import FLAT_INVOICE, flat_invoice
 from tillstream.plans.fanout import run_fanout
 from tillstream.schemas import NOTIFICATION, POS_INVOICE
 from tillstream.session import scratch_path, utc
@@ -75,7 +75,7 @@ def invoice_decode_json(spark, sf_dir):
         inv = adapters.invoices(spark, sf_dir, lines=True)
         enc = encode_json(inv, [f.name for f in POS_INVOICE.fields])
         dec = decode_json(enc, POS_INVOICE)
-        return _flat(dec.withColumn("numberOfItems", F.size("invoiceLineItems")))
+        return flat_invoice(dec.withColumn("numberOfItems", F.size("invoiceLineItems")))
 
 
 def loyalty_encode_json(spark, sf_dir):

@@ -87,7 +87,9 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 def last_emission(df: DataFrame, keys: list[str]) -> DataFrame:
     """Latest emitted row per key of a changelog (highest batch id).
 
-    A partial + final hash aggregate: hot keys are combined map-side."""
+    A key is emitted at most once per batch, so each column's value at the
+    highest batch id is one row: one ``max_by`` per column. Partial + final
+    aggregate (hash based when the values are fixed-width, as for store
+    sales); hot keys are combined map-side."""
     vals = [c for c in df.columns if c not in keys and c != "batch_id"]
-    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("batch_id")).alias("_v"))
-    return agg.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
+    return df.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in vals])
