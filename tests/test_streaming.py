@@ -182,3 +182,44 @@ def test_intake_metrics_observed_per_micro_batch(spark, tmp_path, invoices):
             if p.get("observedMetrics", {}).get("intake")]
     assert sum(m["intake_rows"] for m in seen) == 6
     assert sum(m["null_delivery_type"] for m in seen) == 1
+
+
+def test_late_data_matches_per_window_model(spark, tmp_path):
+    """Random batches vs a brute-force model: a row of batch N adds to window w
+    iff w.end > (max event time of batches before N) - grace."""
+    import random
+    from datetime import timedelta
+    rng = random.Random(11)
+    base = datetime(2024, 1, 1)
+    grace, size, adv = 2, 60, 5
+    batches, k = [], 0
+    for b in range(4):
+        rows = []
+        for _ in range(rng.randint(1, 6)):
+            k += 1
+            minute = rng.randint(0, 180) if b else rng.randint(60, 120)
+            rows.append((rng.choice(["S1", "S2"]), float(rng.randint(1, 50)),
+                         base + timedelta(minutes=minute, seconds=rng.randint(0, 59)), k))
+        batches.append(rows)
+    folder = str(tmp_path / "in")
+    _write_files(spark, folder, batches, EV_DDL)
+    root = scratch_path(spark, "late-model")
+    with utc(spark):
+        q = jobs.store_sales_stream(_stream(spark, folder, EV_DDL))
+        run_bounded(q, f"{root}/ck", "update", batch_dir_writer(f"{root}/out"))
+        got = {(r.window_start, r.storeID): r.totalSale for r in
+               last_emission(read_batches(spark, f"{root}/out", STORE_OUT),
+                             ["window_start", "window_end", "storeID"]).collect()}
+    expect, seen_max = {}, None
+    for rows in batches:
+        wm = seen_max - timedelta(minutes=grace) if seen_max else None
+        for store, amount, ts, _ in rows:
+            pane = int((ts - datetime(1970, 1, 1)).total_seconds() // (adv * 60))
+            for start_pane in range(pane - size // adv + 1, pane + 1):
+                start = datetime(1970, 1, 1) + timedelta(minutes=start_pane * adv)
+                end = start + timedelta(minutes=size)
+                if wm is None or end > wm:
+                    expect[(start, store)] = expect.get((start, store), 0.0) + amount
+        bmax = max(r[2] for r in rows)
+        seen_max = bmax if seen_max is None else max(seen_max, bmax)
+    assert got == expect
