@@ -223,3 +223,35 @@ def test_late_data_matches_per_window_model(spark, tmp_path):
         bmax = max(r[2] for r in rows)
         seen_max = bmax if seen_max is None else max(seen_max, bmax)
     assert got == expect
+
+
+def test_stateful_loyalty_matches_model_over_random_batches(spark, tmp_path):
+    import random
+    from datetime import timedelta
+    rng = random.Random(5)
+    batches, n = [], 0
+    for _ in range(3):
+        rows = []
+        for _ in range(rng.randint(1, 8)):
+            n += 1
+            rows.append((rng.choice(["C1", "C2", "C3"]), str(n), float(rng.randint(1, 9999)) / 100,
+                         "PRIME", datetime(2024, 1, 1) + timedelta(days=rng.randint(0, 5)), n))
+        batches.append(rows)
+    folder = str(tmp_path / "in")
+    _write_files(spark, folder, batches, NOTIF_DDL)
+    root = scratch_path(spark, "tws-model")
+    with utc(spark):
+        tagged, scale = loyalty_tagged(_stream(spark, folder, NOTIF_DDL))
+        run_bounded(tagged, f"{root}/ck", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), scale))
+        got = {r.invoiceNumber: r.totalLoyaltyPoints for r in spark.read.parquet(f"{root}/out").collect()}
+    expect, totals = {}, {}
+    for rows in batches:
+        before = dict(totals)
+        for card, inv, amount, _, ts, tie in rows:
+            e4 = round(amount * 100) * 2
+            same = sum(round(a * 100) * 2 for c, _, a, _, t, k in rows
+                       if c == card and (t, k) <= (ts, tie))
+            expect[inv] = (before.get(card, 0) + same) / 10000.0
+            totals[card] = totals.get(card, 0) + e4
+    assert got == expect
