@@ -255,3 +255,25 @@ def test_stateful_loyalty_matches_model_over_random_batches(spark, tmp_path):
             expect[inv] = (before.get(card, 0) + same) / 10000.0
             totals[card] = totals.get(card, 0) + e4
     assert got == expect
+
+
+def test_store_sales_restart_continues_window_state(spark, tmp_path):
+    from tillstream.operators import store_sales
+    t = lambda h, m: datetime(2024, 1, 1, h, m)
+    b0 = [("S1", 1.0, t(0, 7), 1), ("S2", 2.0, t(0, 30), 2)]
+    b1 = [("S1", 4.0, t(0, 40), 3), ("S1", 8.0, t(0, 50), 4)]
+    folder = str(tmp_path / "in")
+    root = scratch_path(spark, "sales-restart")
+    _write_files(spark, folder, [b0], EV_DDL)
+    with utc(spark):
+        run_bounded(jobs.store_sales_stream(_stream(spark, folder, EV_DDL)), f"{root}/ck",
+                    "update", batch_dir_writer(f"{root}/out"))
+    _write_files(spark, str(tmp_path / "in2"), [b1], EV_DDL)
+    os.rename(f"{tmp_path}/in2/b000.parquet", f"{folder}/b001.parquet")
+    with utc(spark):
+        run_bounded(jobs.store_sales_stream(_stream(spark, folder, EV_DDL)), f"{root}/ck",
+                    "update", batch_dir_writer(f"{root}/out"))
+        final = last_emission(read_batches(spark, f"{root}/out", STORE_OUT),
+                              ["window_start", "window_end", "storeID"])
+        batch = store_sales.hopping_store_sales(spark.createDataFrame(b0 + b1, EV_DDL))
+        assert final.exceptAll(batch).count() == 0 and batch.exceptAll(final).count() == 0
