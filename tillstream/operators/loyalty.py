@@ -20,11 +20,11 @@ def with_earned(df: DataFrame) -> tuple[DataFrame, int]:
     return df.withColumn("_earned", e), scale
 
 
-def _latest_and_total(df: DataFrame, time_col: str, tie_col: str) -> DataFrame:
-    d, scale = with_earned(df)
-    last = F.max_by(F.struct("invoiceNumber", "totalAmount", "_earned"),
-                    F.struct(time_col, tie_col))
-    agg = d.groupBy(CARD).agg(last.alias("_last"),
+def _newest_and_total(d: DataFrame, scale: int, time_col: str, tie_col: str) -> DataFrame:
+    """Per card: the newest row's invoice columns and the total of ``_earned``."""
+    newest = F.max_by(F.struct("invoiceNumber", "totalAmount", "_earned"),
+                      F.struct(time_col, tie_col))
+    agg = d.groupBy(CARD).agg(newest.alias("_last"),
                               F.coalesce(F.sum("_earned"), F.lit(0).cast("long")).alias("_total"))
     return agg.select(
         F.col("_last.invoiceNumber").alias("invoiceNumber"),
@@ -42,7 +42,8 @@ def loyalty_latest(df: DataFrame, time_col: str = "event_time", tie_col: str = "
     as the newest-row buffer holds text): a hot card is combined map-side, never
     gathered in one task. Works on batch and streaming (update mode) inputs."""
     src = prime_filter(df) if prime_only else df
-    return _latest_and_total(src, time_col, tie_col)
+    d, scale = with_earned(src)
+    return _newest_and_total(d, scale, time_col, tie_col)
 
 
 def loyalty_reduce(notifications: DataFrame, time_col: str = "event_time",
@@ -54,17 +55,7 @@ def loyalty_reduce(notifications: DataFrame, time_col: str = "event_time",
     of the invoices the notifications came from."""
     _, scale = earned_points_fixed()
     e = F.round(F.col("earnedLoyaltyPoints") * F.lit(10 ** scale)).cast("long")
-    d = notifications.withColumn("_earned", e)
-    newest = F.max_by(F.struct("invoiceNumber", "totalAmount", "_earned"),
-                      F.struct(time_col, tie_col))
-    agg = d.groupBy(CARD).agg(newest.alias("_last"),
-                              F.coalesce(F.sum("_earned"), F.lit(0).cast("long")).alias("_total"))
-    return agg.select(
-        F.col("_last.invoiceNumber").alias("invoiceNumber"), F.col(CARD),
-        F.col("_last.totalAmount").alias("totalAmount"),
-        fixed_to_double("_last._earned", scale).alias("earnedLoyaltyPoints"),
-        fixed_to_double("_total", scale).alias("totalLoyaltyPoints"),
-    )
+    return _newest_and_total(notifications.withColumn("_earned", e), scale, time_col, tie_col)
 
 
 def running_total(df: DataFrame, key: str, order: list[str], value: str, out: str,

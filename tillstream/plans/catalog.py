@@ -6,6 +6,8 @@ Every query reads the whole driver tables. Column names match the SQL in
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.operators import enrichment, loyalty, metrics, stateless, store_sales
@@ -19,6 +21,15 @@ FLAT_INVOICE = ["key", "invoiceNumber", "createdTime", "customerCardNo", "totalA
                 "addressLine", "city", "state", "pinCode", "contactNumber"]
 
 
+def in_utc(query):
+    """Build the query with the session time zone set to UTC (fixed into the plan)."""
+    @functools.wraps(query)
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with utc(spark):
+            return query(spark, sf_dir)
+    return build
+
+
 def flat_invoice(df: DataFrame) -> DataFrame:
     return stateless.flatten_address(df).select(*FLAT_INVOICE)
 
@@ -27,129 +38,129 @@ def _headers(spark, sf_dir):
     return adapters.invoices(spark, sf_dir, lines=False)
 
 
+@in_utc
 def invoice_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with utc(spark):
-        return flat_invoice(_headers(spark, sf_dir))
+    return flat_invoice(_headers(spark, sf_dir))
 
 
+@in_utc
 def shipment_filter(spark, sf_dir):
-    with utc(spark):
-        return flat_invoice(stateless.shipment_filter(_headers(spark, sf_dir)))
+    return flat_invoice(stateless.shipment_filter(_headers(spark, sf_dir)))
 
 
+@in_utc
 def prime_filter(spark, sf_dir):
-    with utc(spark):
-        return flat_invoice(stateless.prime_filter(_headers(spark, sf_dir)))
+    return flat_invoice(stateless.prime_filter(_headers(spark, sf_dir)))
 
 
+@in_utc
 def hadoop_flatten(spark, sf_dir):
     """Flattened line records from the tables: headers ⋈ lines (no arrays built)."""
-    with utc(spark):
-        return stateless.hadoop_records_from_lines(
-            _headers(spark, sf_dir), adapters.invoice_lines(spark, sf_dir), keep=("key",))
+    return stateless.hadoop_records_from_lines(
+        _headers(spark, sf_dir), adapters.invoice_lines(spark, sf_dir), keep=("key",))
 
 
+@in_utc
 def mask_invoice(spark, sf_dir):
-    with utc(spark):
-        return flat_invoice(stateless.mask_invoice(_headers(spark, sf_dir)))
+    return flat_invoice(stateless.mask_invoice(_headers(spark, sf_dir)))
 
 
+@in_utc
 def notification_projection(spark, sf_dir):
-    with utc(spark):
-        return stateless.notification(stateless.prime_filter(_headers(spark, sf_dir)),
-                                      keep=("key",))
+    return stateless.notification(stateless.prime_filter(_headers(spark, sf_dir)),
+                                  keep=("key",))
 
 
+@in_utc
 def rekey_by_store(spark, sf_dir):
-    with utc(spark):
-        return store_sales.rekey_by_store(_headers(spark, sf_dir)).select(
-            "key", "invoiceNumber", "createdTime", "storeID", "totalAmount")
+    return store_sales.rekey_by_store(_headers(spark, sf_dir)).select(
+        "key", "invoiceNumber", "createdTime", "storeID", "totalAmount")
 
 
+@in_utc
 def intake_metrics(spark, sf_dir):
-    with utc(spark):
-        return metrics.intake_summary(_headers(spark, sf_dir))
+    return metrics.intake_summary(_headers(spark, sf_dir))
 
 
+@in_utc
 def loyalty_latest(spark, sf_dir):
-    with utc(spark):
-        return loyalty.loyalty_latest(_headers(spark, sf_dir))
+    return loyalty.loyalty_latest(_headers(spark, sf_dir))
 
 
+@in_utc
 def loyalty_reduce(spark, sf_dir):
     """Invoice -> notification (prime only) -> keyed reduce, as composed upstream."""
-    with utc(spark):
-        notes = stateless.notification(stateless.prime_filter(_headers(spark, sf_dir)),
-                                       keep=("event_time", "k"))
-        return loyalty.loyalty_reduce(notes)
+    notes = stateless.notification(stateless.prime_filter(_headers(spark, sf_dir)),
+                                   keep=("event_time", "k"))
+    return loyalty.loyalty_reduce(notes)
 
 
+@in_utc
 def loyalty_changelog(spark, sf_dir):
-    with utc(spark):
-        return loyalty.loyalty_changelog(_headers(spark, sf_dir))
+    return loyalty.loyalty_changelog(_headers(spark, sf_dir))
 
 
+@in_utc
 def store_sales_hopping(spark, sf_dir):
-    with utc(spark):
-        return store_sales.hopping_store_sales(adapters.store_events(spark, sf_dir))
+    return store_sales.hopping_store_sales(adapters.store_events(spark, sf_dir))
 
 
+@in_utc
 def store_sales_hopping_direct(spark, sf_dir):
     """Same result through F.window (row expansion) instead of panes; for the bench."""
-    with utc(spark):
-        return store_sales.hopping_store_sales(adapters.store_events(spark, sf_dir),
-                                               method="window")
+    return store_sales.hopping_store_sales(adapters.store_events(spark, sf_dir),
+                                           method="window")
 
 
+@in_utc
 def store_sales_tumbling(spark, sf_dir):
-    with utc(spark):
-        return store_sales.tumbling_store_sales(adapters.store_events(spark, sf_dir))
+    return store_sales.tumbling_store_sales(adapters.store_events(spark, sf_dir))
 
 
+@in_utc
 def store_sales_unwindowed(spark, sf_dir):
-    with utc(spark):
-        return store_sales.unwindowed(
-            store_sales.hopping_store_sales(adapters.store_events(spark, sf_dir)))
+    return store_sales.unwindowed(
+        store_sales.hopping_store_sales(adapters.store_events(spark, sf_dir)))
 
 
+@in_utc
 def line_enrichment(spark, sf_dir):
-    with utc(spark):
-        li = read_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("itemCode"),
-            F.col("l_quantity").cast("int").alias("itemQty"))
-        return enrichment.enrich_lines(li, adapters.products(spark, sf_dir)).select(
-            "l_orderkey", "l_linenumber", "itemCode", "itemDescription", "itemPrice", "itemQty")
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("itemCode"),
+        F.col("l_quantity").cast("int").alias("itemQty"))
+    return enrichment.enrich_lines(li, adapters.products(spark, sf_dir)).select(
+        "l_orderkey", "l_linenumber", "itemCode", "itemDescription", "itemPrice", "itemQty")
 
 
+@in_utc
 def line_totals(spark, sf_dir):
     """Line totals (price × qty) of every invoice's lines, on flat line rows."""
-    with utc(spark):
-        lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir))
-        head = _headers(spark, sf_dir).select("k", "invoiceNumber")
-        j = lines.join(head, lines.l_orderkey == head.k)
-        return j.select("invoiceNumber", "itemCode", "itemPrice", "itemQty", "totalValue")
+    lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir))
+    head = _headers(spark, sf_dir).select("k", "invoiceNumber")
+    j = lines.join(head, lines.l_orderkey == head.k)
+    return j.select("invoiceNumber", "itemCode", "itemPrice", "itemQty", "totalValue")
 
 
+@in_utc
 def invoice_assembly(spark, sf_dir):
-    with utc(spark):
-        # fold on the numeric order key (cheaper to hash than the text number)
-        lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir))
-        inv = enrichment.assemble_invoices(lines, invoice_col="l_orderkey")
-        head = _headers(spark, sf_dir).select("k", "invoiceNumber", "customerCardNo", "storeID",
-                                              "deliveryType")
-        j = inv.join(head, inv.l_orderkey == head.k)
-        return j.select("invoiceNumber", "customerCardNo", "storeID", "deliveryType",
-                        "numberOfItems", F.size("invoiceLineItems").alias("itemArraySize"),
-                        "totalAmount", "taxableAmount", "cgst", "sgst", "cess")
-
-
+    # fold on the numeric order key (cheaper to hash than the text number)
+    lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir))
+    inv = enrichment.assemble_invoices(lines, invoice_col="l_orderkey")
+    head = _headers(spark, sf_dir).select("k", "invoiceNumber", "customerCardNo", "storeID",
+                                          "deliveryType")
+    j = inv.join(head, inv.l_orderkey == head.k)
+    return j.select("invoiceNumber", "customerCardNo", "storeID", "deliveryType",
+                    "numberOfItems", F.size("invoiceLineItems").alias("itemArraySize"),
+                    "totalAmount", "taxableAmount", "cgst", "sgst", "cess")
+
+
+@in_utc
 def address_enrichment(spark, sf_dir):
-    with utc(spark):
-        raw = _headers(spark, sf_dir).withColumn("deliveryAddress", F.lit(None).cast(
-            "struct<addressLine:string,city:string,state:string,pinCode:string,"
-            "contactNumber:string>"))
-        addr = adapters.customer_addresses(spark, sf_dir)
-        return flat_invoice(enrichment.attach_address(raw, addr, on="customerCardNo"))
+    raw = _headers(spark, sf_dir).withColumn("deliveryAddress", F.lit(None).cast(
+        "struct<addressLine:string,city:string,state:string,pinCode:string,"
+        "contactNumber:string>"))
+    addr = adapters.customer_addresses(spark, sf_dir)
+    return flat_invoice(enrichment.attach_address(raw, addr, on="customerCardNo"))
 
 
 BATCH_QUERIES = {
