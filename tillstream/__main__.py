@@ -32,6 +32,8 @@ def main(argv=None):
     f.add_argument("--out", help="output root for --messages mode")
     f.add_argument("--value-format", default="json", choices=["json", "avro"])
     f.add_argument("--avro-schema", help="Avro schema text for --value-format avro")
+    f.add_argument("--key-format", default="string", choices=["string", "avro"],
+                   help="record keys as text or registry-framed Avro MessageKey")
     f.add_argument("--event-time", default=None,
                    help="'timestamp' (record time, Kafka default) or 'createdTime'")
     f.add_argument("--trigger-seconds", type=float, default=1.0)
@@ -50,7 +52,7 @@ def main(argv=None):
         if a.kafka:
             qs = run_fanout_kafka(spark, a.kafka, a.checkpoint, a.topic, a.value_format,
                                   a.avro_schema, a.event_time or "timestamp", a.trigger_seconds,
-                                  a.max_offsets_per_trigger)
+                                  a.max_offsets_per_trigger, a.key_format)
         else:
             msgs = spark.readStream.schema("key string, value string").json(a.messages)
             inv = invoices_from_messages(msgs, a.value_format, a.avro_schema,

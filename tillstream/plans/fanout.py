@@ -101,13 +101,13 @@ def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
 def run_fanout_kafka(spark, servers: str, checkpoint_root: str, input_topic: str = INPUT_TOPIC,
                      value_format: str = "json", avro_schema: str | None = None,
                      event_time: str = "timestamp", trigger_seconds: float = 1.0,
-                     max_offsets_per_trigger: int | None = None):
+                     max_offsets_per_trigger: int | None = None, key_format: str = "string"):
     """The service form: consume the invoice topic from the earliest offset and
     produce the four output topics continuously (1 s triggers)."""
     from tillstream.sources.adapters import invoices_from_messages
     from tillstream.sources.kafka import kafka_stream
     msgs = kafka_stream(spark, servers, input_topic,
                         max_offsets_per_trigger=max_offsets_per_trigger)
-    inv = invoices_from_messages(msgs, value_format, avro_schema, event_time)
+    inv = invoices_from_messages(msgs, value_format, avro_schema, event_time, key_format)
     return run_fanout(inv, checkpoint_root, available_now=False,
                       trigger_seconds=trigger_seconds, writers=kafka_writers(servers))

@@ -174,15 +174,20 @@ def customer_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def invoices_from_messages(messages: DataFrame, value_format: str = "json",
                            avro_schema: str | None = None,
-                           event_time: str = "createdTime") -> DataFrame:
+                           event_time: str = "createdTime",
+                           key_format: str = "string") -> DataFrame:
     """Kafka-shaped (key, value[, timestamp, partition, offset]) rows -> invoice rows.
 
-    ``event_time="createdTime"`` uses the invoice's own epoch-millis field;
+    ``key_format="avro"`` decodes registry-framed Avro keys from ``key_bytes``
+    (as ``kafka_stream`` provides); ``event_time="createdTime"`` uses the
+    invoice's own epoch-millis field;
     ``"timestamp"`` uses the record (broker) time. The tie key ``k`` is the
     record offset when present, else the invoice number's hash.
     """
     from tillstream.schemas import POS_INVOICE
-    from tillstream.sources.codec import decode_avro, decode_json
+    from tillstream.sources.codec import decode_avro, decode_avro_key, decode_json
+    if key_format == "avro":  # registry-framed Avro MessageKey records
+        messages = decode_avro_key(messages)
     keep = tuple(c for c in ("key", "timestamp", "partition", "offset") if c in messages.columns)
     if value_format == "json":
         inv = decode_json(messages, POS_INVOICE, keep=keep)

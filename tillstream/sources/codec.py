@@ -83,3 +83,15 @@ def encode_avro(df: DataFrame, value_cols: list[str] | None = None,
     if key_col:
         out.insert(0, F.col(key_col).cast("string").alias("key"))
     return df.select(*out)
+
+
+def decode_avro_key(df: DataFrame, key_col: str = "key_bytes",
+                    registry_framed: bool = True) -> DataFrame:
+    """Avro ``MessageKey`` record (one nullable string field ``key``) -> ``key`` STRING."""
+    from pyspark.sql.avro.functions import from_avro
+    from tillstream.schemas import MESSAGE_KEY
+    k = F.col(key_col)
+    if registry_framed:
+        k = F.expr(f"substring({key_col}, {REGISTRY_HEADER_BYTES + 1})")
+    schema = avro_schema_json(MESSAGE_KEY, "MessageKey")
+    return df.withColumn("key", from_avro(k, schema).getField("key"))

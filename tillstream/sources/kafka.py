@@ -23,7 +23,9 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str = INPUT_TOPIC,
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in options.items():
         r = r.option(k, v)
-    return r.load().withColumn("key", F.col("key").cast("string"))
+    # raw key bytes are kept for Avro-encoded keys (see adapters.invoices_from_messages)
+    return (r.load().withColumn("key_bytes", F.col("key"))
+            .withColumn("key", F.col("key").cast("string")))
 
 
 def kafka_partition_batch(spark: SparkSession, servers: str, topic: str, partition: int = 0,
@@ -38,6 +40,7 @@ def kafka_partition_batch(spark: SparkSession, servers: str, topic: str, partiti
             .option("startingOffsets", start)
             .option("endingOffsets", end)
             .load()
+            .withColumn("key_bytes", F.col("key"))
             .withColumn("key", F.col("key").cast("string")))
 
 
