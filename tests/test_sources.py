@@ -98,3 +98,18 @@ def test_avro_round_trip_when_package_present(spark, invoices):
     enc = encode_avro(notes, cols, schema_json=schema)
     dec = decode_avro(enc, schema, registry_framed=False)
     assert dec.select("key", *cols).exceptAll(notes.select("key", *cols)).count() == 0
+
+
+def test_messages_with_record_time_and_offsets(spark, invoices):
+    from datetime import datetime
+    from tillstream.sources.adapters import invoices_from_messages
+    cols = [f.name for f in POS_INVOICE.fields]
+    enc = encode_json(invoices, cols).withColumn(
+        "timestamp", F.lit(datetime(2024, 5, 1, 12, 0)).cast("timestamp")) \
+        .withColumn("offset", F.monotonically_increasing_id())
+    inv = invoices_from_messages(enc, event_time="timestamp")
+    rows = inv.select("event_time", "k", "key").collect()
+    assert {r.event_time for r in rows} == {datetime(2024, 5, 1, 12, 0)}
+    assert len({r.k for r in rows}) == 6 and all(r.key for r in rows)
+    by_created = invoices_from_messages(encode_json(invoices, cols))
+    assert by_created.where("event_time IS NULL").count() == 0
