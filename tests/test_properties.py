@@ -43,3 +43,58 @@ def test_panes_equal_window_form(spark, ev, size, adv):
     a = store_sales.windowed_store_sales(df, size, adv, method="panes")
     b = store_sales.windowed_store_sales(df, size, adv, method="window")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+TYPES = st.sampled_from(["HOME-DELIVERY", "home-delivery", "Home-Delivery", "TAKEAWAY", None])
+CTYPES = st.sampled_from(["PRIME", "prime", "NONPRIME", None])
+LINE = st.tuples(st.integers(1, 50), st.integers(1, 5000), st.integers(1, 4))
+INVOICE = st.tuples(TYPES, CTYPES, st.booleans(), st.lists(LINE, max_size=4),
+                    st.integers(0, 99999))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(invs=st.lists(INVOICE, min_size=1, max_size=12))
+def test_stateless_operators_match_python_model(spark, invs):
+    from conftest import INVOICE_DDL, make_invoice
+    from pyspark.sql import functions as F
+    from tillstream.operators import stateless
+
+    rows, flat_lines = [], []
+    for i, (dt, ct, has_addr, lines, cents) in enumerate(invs):
+        addr = ("l", f"city{i}", "st", "000001", "555") if has_addr else None
+        li = [(str(code), f"item{code}", price / 100, qty, price * qty / 100)
+              for code, price, qty in lines]
+        rows.append(make_invoice(i, f"C{i % 3}", cents / 100, ct, dt, addr, li, minute=i))
+        flat_lines += [(i,) + x for x in li]
+    inv = spark.createDataFrame(rows, INVOICE_DDL)
+    home = {i for i, (dt, *_rest) in enumerate(invs) if dt is not None and dt.upper() == "HOME-DELIVERY"}
+    prime = {i for i, (_, ct, *_r) in enumerate(invs) if ct is not None and ct.upper() == "PRIME"}
+
+    assert {int(r.invoiceNumber) for r in stateless.shipment_filter(inv).collect()} == home
+    assert {int(r.invoiceNumber) for r in stateless.prime_filter(inv).collect()} == prime
+
+    recs = stateless.hadoop_records(inv).collect()
+    assert len(recs) == sum(len(x[3]) for x in invs)
+    for r in recs:
+        i = int(r.invoiceNumber)
+        assert (r.city is not None) == (i in home and invs[i][2])
+
+    lines_df = spark.createDataFrame(
+        flat_lines, "l_orderkey long, itemCode string, itemDescription string, itemPrice double, "
+                    "itemQty int, totalValue double")
+    flat = stateless.hadoop_records_from_lines(inv, lines_df)
+    nested = stateless.hadoop_records(inv)
+    assert flat.exceptAll(nested).count() == 0 and nested.exceptAll(flat).count() == 0
+
+    for r in stateless.mask_invoice(inv).collect():
+        i = int(r.invoiceNumber)
+        assert r.customerCardNo is None
+        if r.deliveryAddress is not None:
+            masked = i in home
+            assert (r.deliveryAddress.addressLine is None) == masked
+            assert (r.deliveryAddress.contactNumber is None) == masked
+            assert r.deliveryAddress.city == f"city{i}"
+
+    notes = {int(r.invoiceNumber): r.earnedLoyaltyPoints
+             for r in stateless.notification(inv).collect()}
+    assert notes == {i: (x[4] * 2) / 10000.0 for i, x in enumerate(invs)}
