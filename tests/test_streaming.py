@@ -277,3 +277,22 @@ def test_store_sales_restart_continues_window_state(spark, tmp_path):
                               ["window_start", "window_end", "storeID"])
         batch = store_sales.hopping_store_sales(spark.createDataFrame(b0 + b1, EV_DDL))
         assert final.exceptAll(batch).count() == 0 and batch.exceptAll(final).count() == 0
+
+
+def test_fanout_partitioned_hadoop_output(spark, tmp_path, invoices):
+    from tillstream.plans.fanout import FanoutPaths, file_writers, run_fanout
+    from tillstream.schemas import POS_INVOICE
+    from tillstream.sources.adapters import invoices_from_messages
+    from tillstream.sources.codec import encode_json
+    folder = tmp_path / "msgs"
+    encode_json(invoices, [f.name for f in POS_INVOICE.fields]).coalesce(1).write.json(str(folder))
+    msgs = spark.readStream.schema("key string, value string").json(str(folder))
+    root = scratch_path(spark, "fanout-part")
+    with utc(spark):
+        paths = FanoutPaths(root)
+        run_fanout(invoices_from_messages(msgs), root,
+                   writers=file_writers(paths, {"hadoop-sink": ("storeID",)}))
+    local = paths.out("hadoop-sink").removeprefix("file:")
+    batch_dir = [d for d in os.listdir(local) if d.startswith("batch_id=")][0]
+    assert os.listdir(f"{local}/{batch_dir}").count("storeID=S1") == 1
+    assert spark.read.parquet(paths.out("hadoop-sink")).count() == 7

@@ -31,9 +31,12 @@ class FanoutPaths:
         return f"{self.root}/checkpoints/{name}"
 
 
-def file_writers(paths: FanoutPaths) -> dict:
-    """Each output to ``root/out/<name>/batch_id=N`` (parquet, idempotent per batch)."""
-    return {name: batch_dir_writer(paths.out(name))
+def file_writers(paths: FanoutPaths, partition_by: dict | None = None) -> dict:
+    """Each output to ``root/out/<name>/batch_id=N`` (parquet, idempotent per batch);
+    ``partition_by`` maps an output name to partition columns, e.g.
+    ``{"hadoop-sink": ("storeID",)}`` for a store-partitioned line archive."""
+    partition_by = partition_by or {}
+    return {name: batch_dir_writer(paths.out(name), partition_by=tuple(partition_by.get(name, ())))
             for name in (SHIPMENT_OUTPUT, HADOOP_OUTPUT, LOYALTY_OUTPUT, STORE_SALES_OUTPUT)}
 
 
