@@ -39,6 +39,8 @@ def main(argv=None):
     f.add_argument("--trigger-seconds", type=float, default=1.0)
     f.add_argument("--max-offsets-per-trigger", type=int, default=None)
     f.add_argument("--available-now", action="store_true", help="process what exists, then stop")
+    f.add_argument("--partition-hadoop-by", nargs="*", default=(),
+                   help="partition columns of the hadoop-sink files (--messages mode)")
     a = p.parse_args(argv)
 
     b = SparkSession.builder.appName("tillstream-fanout")
@@ -57,7 +59,8 @@ def main(argv=None):
             msgs = spark.readStream.schema("key string, value string").json(a.messages)
             inv = invoices_from_messages(msgs, a.value_format, a.avro_schema,
                                          a.event_time or "createdTime")
-            writers = file_writers(FanoutPaths(a.out or a.checkpoint))
+            writers = file_writers(FanoutPaths(a.out or a.checkpoint),
+                                   {"hadoop-sink": tuple(a.partition_hadoop_by)})
             qs = run_fanout(inv, a.checkpoint, available_now=a.available_now,
                             trigger_seconds=a.trigger_seconds, writers=writers)
     if isinstance(qs, list):
