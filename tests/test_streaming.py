@@ -296,3 +296,27 @@ def test_fanout_partitioned_hadoop_output(spark, tmp_path, invoices):
     batch_dir = [d for d in os.listdir(local) if d.startswith("batch_id=")][0]
     assert os.listdir(f"{local}/{batch_dir}").count("storeID=S1") == 1
     assert spark.read.parquet(paths.out("hadoop-sink")).count() == 7
+
+
+def test_kafka_writers_key_each_output(spark, monkeypatch, invoices):
+    """The per-topic glue: loyalty keyed by card, store-sales by store, JSON values."""
+    import tillstream.sources.kafka as K
+    from tillstream.plans.fanout import kafka_writers
+    from tillstream.sources.codec import encode_json
+    captured = {}
+
+    def fake_writer(servers, topic, key_col="key", value_cols=None):
+        def write(batch, batch_id):
+            captured[topic] = encode_json(batch, value_cols, key_col).collect()
+        return write
+
+    monkeypatch.setattr(K, "kafka_batch_writer", fake_writer)
+    w = kafka_writers("broker:9092", {"loyalty": "rewards"})
+    notes = invoices.select("invoiceNumber", "customerCardNo", "totalAmount")
+    w["loyalty"](notes, 0)
+    w["store-sales"](invoices.select("storeID", "totalAmount"), 0)
+    w["shipment"](invoices.select("key", "invoiceNumber"), 0)
+    assert set(captured) == {"rewards", "store-sales", "shipment"}
+    assert {r.key for r in captured["rewards"]} == {"C1", "C2", "C3"}
+    assert {r.key for r in captured["store-sales"]} == {"S1"}
+    assert all(r.value.startswith("{") for r in captured["shipment"])
