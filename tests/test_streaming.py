@@ -320,3 +320,16 @@ def test_kafka_writers_key_each_output(spark, monkeypatch, invoices):
     assert {r.key for r in captured["rewards"]} == {"C1", "C2", "C3"}
     assert {r.key for r in captured["store-sales"]} == {"S1"}
     assert all(r.value.startswith("{") for r in captured["shipment"])
+
+
+def test_cli_store_sales_without_window_bounds(spark, tmp_path, invoices):
+    from tillstream.__main__ import main
+    from tillstream.schemas import POS_INVOICE
+    from tillstream.sources.codec import encode_json
+    msgs = tmp_path / "msgs"
+    encode_json(invoices, [f.name for f in POS_INVOICE.fields]).coalesce(1).write.json(str(msgs))
+    out = tmp_path / "out"
+    main(["fanout", "--messages", str(msgs), "--out", str(out), "--checkpoint",
+          str(tmp_path / "chk"), "--available-now", "--drop-window-bounds"])
+    cols = spark.read.parquet(f"{out}/out/store-sales").columns
+    assert cols == ["storeID", "totalSale", "batch_id"]

@@ -39,6 +39,8 @@ def main(argv=None):
     f.add_argument("--trigger-seconds", type=float, default=1.0)
     f.add_argument("--max-offsets-per-trigger", type=int, default=None)
     f.add_argument("--available-now", action="store_true", help="process what exists, then stop")
+    f.add_argument("--drop-window-bounds", action="store_true",
+                   help="store-sales records without window_start/window_end")
     f.add_argument("--partition-hadoop-by", nargs="*", default=(),
                    help="partition columns of the hadoop-sink files (--messages mode)")
     a = p.parse_args(argv)
@@ -54,7 +56,8 @@ def main(argv=None):
         if a.kafka:
             qs = run_fanout_kafka(spark, a.kafka, a.checkpoint, a.topic, a.value_format,
                                   a.avro_schema, a.event_time or "timestamp", a.trigger_seconds,
-                                  a.max_offsets_per_trigger, a.key_format)
+                                  a.max_offsets_per_trigger, a.key_format,
+                                  not a.drop_window_bounds)
         else:
             msgs = spark.readStream.schema("key string, value string").json(a.messages)
             inv = invoices_from_messages(msgs, a.value_format, a.avro_schema,
@@ -62,7 +65,8 @@ def main(argv=None):
             writers = file_writers(FanoutPaths(a.out or a.checkpoint),
                                    {"hadoop-sink": tuple(a.partition_hadoop_by)})
             qs = run_fanout(inv, a.checkpoint, available_now=a.available_now,
-                            trigger_seconds=a.trigger_seconds, writers=writers)
+                            trigger_seconds=a.trigger_seconds, writers=writers,
+                            store_window_bounds=not a.drop_window_bounds)
     if isinstance(qs, list):
         spark.streams.awaitAnyTermination()
 

@@ -74,10 +74,12 @@ def stateless_writer(writers: dict):
 
 def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
                trigger_seconds: float = 1.0, timeout_s: int = 3600,
-               writers: dict | None = None, state_partitions: int | None = None):
+               writers: dict | None = None, state_partitions: int | None = None,
+               store_window_bounds: bool = True):
     """Start the three queries on a streaming invoice DataFrame (with lines,
     ``event_time`` and ``k``). ``root`` holds checkpoints (and file outputs
-    when ``writers`` is not given). With ``available_now`` the call waits for
+    when ``writers`` is not given). ``store_window_bounds=False`` emits store
+    sales as (storeID, totalSale) only, like the original record. With ``available_now`` the call waits for
     the queries and returns the paths; otherwise it returns the running queries.
     """
     paths = FanoutPaths(root)
@@ -88,7 +90,8 @@ def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
             start(invoices, paths.ckpt("stateless"), "append", stateless_writer(writers), **opts),
             start(jobs.loyalty_updates(invoices), paths.ckpt(LOYALTY_OUTPUT), "update",
                   writers[LOYALTY_OUTPUT], **opts),
-            start(jobs.store_sales_stream(store_sales.rekey_by_store(invoices)),
+            start(jobs.store_sales_stream(store_sales.rekey_by_store(invoices),
+                                          keep_window=store_window_bounds),
                   paths.ckpt(STORE_SALES_OUTPUT), "update", writers[STORE_SALES_OUTPUT], **opts),
         ]
         if not available_now:
@@ -104,7 +107,8 @@ def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
 def run_fanout_kafka(spark, servers: str, checkpoint_root: str, input_topic: str = INPUT_TOPIC,
                      value_format: str = "json", avro_schema: str | None = None,
                      event_time: str = "timestamp", trigger_seconds: float = 1.0,
-                     max_offsets_per_trigger: int | None = None, key_format: str = "string"):
+                     max_offsets_per_trigger: int | None = None, key_format: str = "string",
+                     store_window_bounds: bool = True):
     """The service form: consume the invoice topic from the earliest offset and
     produce the four output topics continuously (1 s triggers)."""
     from tillstream.sources.adapters import invoices_from_messages
@@ -113,4 +117,5 @@ def run_fanout_kafka(spark, servers: str, checkpoint_root: str, input_topic: str
                         max_offsets_per_trigger=max_offsets_per_trigger)
     inv = invoices_from_messages(msgs, value_format, avro_schema, event_time, key_format)
     return run_fanout(inv, checkpoint_root, available_now=False,
-                      trigger_seconds=trigger_seconds, writers=kafka_writers(servers))
+                      trigger_seconds=trigger_seconds, writers=kafka_writers(servers),
+                      store_window_bounds=store_window_bounds)
