@@ -333,3 +333,19 @@ def test_cli_store_sales_without_window_bounds(spark, tmp_path, invoices):
           str(tmp_path / "chk"), "--available-now", "--drop-window-bounds"])
     cols = spark.read.parquet(f"{out}/out/store-sales").columns
     assert cols == ["storeID", "totalSale", "batch_id"]
+
+
+def test_fanout_with_per_record_loyalty(spark, tmp_path, invoices):
+    from tillstream.plans.fanout import run_fanout
+    from tillstream.schemas import POS_INVOICE
+    from tillstream.sources.adapters import invoices_from_messages
+    from tillstream.sources.codec import encode_json
+    folder = tmp_path / "msgs"
+    encode_json(invoices, [f.name for f in POS_INVOICE.fields]).coalesce(1).write.json(str(folder))
+    msgs = spark.readStream.schema("key string, value string").json(str(folder))
+    root = scratch_path(spark, "fanout-tws")
+    with utc(spark):
+        paths = run_fanout(invoices_from_messages(msgs), root, loyalty_mode="stateful")
+    loy = spark.read.parquet(paths.out("loyalty")).orderBy("invoiceNumber").collect()
+    assert [(r.invoiceNumber, r.totalLoyaltyPoints) for r in loy] == [
+        ("1", 4.0), ("2", 5.0), ("4", 1.9998), ("6", 5.5)]

@@ -39,6 +39,8 @@ def main(argv=None):
     f.add_argument("--trigger-seconds", type=float, default=1.0)
     f.add_argument("--max-offsets-per-trigger", type=int, default=None)
     f.add_argument("--available-now", action="store_true", help="process what exists, then stop")
+    f.add_argument("--loyalty-mode", default="aggregate", choices=["aggregate", "stateful"],
+                   help="keyed-aggregate changelog or one notification per invoice")
     f.add_argument("--drop-window-bounds", action="store_true",
                    help="store-sales records without window_start/window_end")
     f.add_argument("--partition-hadoop-by", nargs="*", default=(),
@@ -57,7 +59,7 @@ def main(argv=None):
             qs = run_fanout_kafka(spark, a.kafka, a.checkpoint, a.topic, a.value_format,
                                   a.avro_schema, a.event_time or "timestamp", a.trigger_seconds,
                                   a.max_offsets_per_trigger, a.key_format,
-                                  not a.drop_window_bounds)
+                                  not a.drop_window_bounds, a.loyalty_mode)
         else:
             msgs = spark.readStream.schema("key string, value string").json(a.messages)
             inv = invoices_from_messages(msgs, a.value_format, a.avro_schema,
@@ -66,7 +68,8 @@ def main(argv=None):
                                    {"hadoop-sink": tuple(a.partition_hadoop_by)})
             qs = run_fanout(inv, a.checkpoint, available_now=a.available_now,
                             trigger_seconds=a.trigger_seconds, writers=writers,
-                            store_window_bounds=not a.drop_window_bounds)
+                            store_window_bounds=not a.drop_window_bounds,
+                            loyalty_mode=a.loyalty_mode)
     if isinstance(qs, list):
         spark.streams.awaitAnyTermination()
 

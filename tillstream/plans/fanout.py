@@ -17,6 +17,7 @@ from tillstream.constants import (HADOOP_OUTPUT, INPUT_TOPIC, LOYALTY_OUTPUT, SH
                                   STORE_SALES_OUTPUT)
 from tillstream.operators import stateless, store_sales
 from tillstream.streaming import jobs
+from tillstream.streaming.loyalty_state import loyalty_stateful_writer, loyalty_tagged
 from tillstream.streaming.sinks import batch_dir_writer, start, stream_conf
 
 
@@ -72,14 +73,27 @@ def stateless_writer(writers: dict):
     return write
 
 
+def _loyalty_query(invoices, paths, writers, mode, opts):
+    if mode == "aggregate":
+        return start(jobs.loyalty_updates(invoices), paths.ckpt(LOYALTY_OUTPUT), "update",
+                     writers[LOYALTY_OUTPUT], **opts)
+    if mode == "stateful":
+        tagged, scale = loyalty_tagged(invoices)
+        return start(tagged, paths.ckpt(LOYALTY_OUTPUT), "append",
+                     loyalty_stateful_writer(writers[LOYALTY_OUTPUT], scale), **opts)
+    raise ValueError(f"unknown loyalty mode {mode}")
+
+
 def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
                trigger_seconds: float = 1.0, timeout_s: int = 3600,
                writers: dict | None = None, state_partitions: int | None = None,
-               store_window_bounds: bool = True):
+               store_window_bounds: bool = True, loyalty_mode: str = "aggregate"):
     """Start the three queries on a streaming invoice DataFrame (with lines,
     ``event_time`` and ``k``). ``root`` holds checkpoints (and file outputs
     when ``writers`` is not given). ``store_window_bounds=False`` emits store
-    sales as (storeID, totalSale) only, like the original record. With ``available_now`` the call waits for
+    sales as (storeID, totalSale) only, like the original record.
+    ``loyalty_mode``: "aggregate" (keyed aggregate, update-mode changelog) or
+    "stateful" (per-record processor: one notification per prime invoice). With ``available_now`` the call waits for
     the queries and returns the paths; otherwise it returns the running queries.
     """
     paths = FanoutPaths(root)
@@ -88,8 +102,7 @@ def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
     with stream_conf(invoices.sparkSession, state_partitions=state_partitions):
         qs = [
             start(invoices, paths.ckpt("stateless"), "append", stateless_writer(writers), **opts),
-            start(jobs.loyalty_updates(invoices), paths.ckpt(LOYALTY_OUTPUT), "update",
-                  writers[LOYALTY_OUTPUT], **opts),
+            _loyalty_query(invoices, paths, writers, loyalty_mode, opts),
             start(jobs.store_sales_stream(store_sales.rekey_by_store(invoices),
                                           keep_window=store_window_bounds),
                   paths.ckpt(STORE_SALES_OUTPUT), "update", writers[STORE_SALES_OUTPUT], **opts),
@@ -108,7 +121,7 @@ def run_fanout_kafka(spark, servers: str, checkpoint_root: str, input_topic: str
                      value_format: str = "json", avro_schema: str | None = None,
                      event_time: str = "timestamp", trigger_seconds: float = 1.0,
                      max_offsets_per_trigger: int | None = None, key_format: str = "string",
-                     store_window_bounds: bool = True):
+                     store_window_bounds: bool = True, loyalty_mode: str = "aggregate"):
     """The service form: consume the invoice topic from the earliest offset and
     produce the four output topics continuously (1 s triggers)."""
     from tillstream.sources.adapters import invoices_from_messages
@@ -118,4 +131,4 @@ def run_fanout_kafka(spark, servers: str, checkpoint_root: str, input_topic: str
     inv = invoices_from_messages(msgs, value_format, avro_schema, event_time, key_format)
     return run_fanout(inv, checkpoint_root, available_now=False,
                       trigger_seconds=trigger_seconds, writers=kafka_writers(servers),
-                      store_window_bounds=store_window_bounds)
+                      store_window_bounds=store_window_bounds, loyalty_mode=loyalty_mode)
