@@ -103,3 +103,10 @@ def test_nested_line_totals_equal_flat(spark):
             F.col("l_orderkey").cast("string").alias("invoiceNumber"), "itemCode", "itemPrice",
             "itemQty", "totalValue")
         assert nested.exceptAll(flat).count() == 0 and flat.exceptAll(nested).count() == 0
+
+
+def test_bad_amounts_are_skipped_not_fatal(spark):
+    from tillstream.functions.money import money_sum, to_fixed
+    df = spark.createDataFrame([(1.25,), (float("nan"),), (float("inf"),), (1e300,), (None,)],
+                               "a double")
+    assert df.agg(money_sum(to_fixed("a"), 2).alias("s")).first().s == 1.25

@@ -25,9 +25,18 @@ def factor_parts(factor: str) -> tuple[int, int]:
     return int(d.scaleb(exp)), exp
 
 
+# Largest amount carried: keeps sums of many amounts far from BIGINT overflow.
+MAX_ABS_AMOUNT = 1e13
+
+
 def to_fixed(col, scale: int = MONEY_SCALE) -> Column:
-    """DOUBLE amount -> BIGINT count of 10^-scale units (rounded half up)."""
-    return F.round(_c(col) * F.lit(10 ** scale)).cast("long")
+    """DOUBLE amount -> BIGINT count of 10^-scale units (rounded half up).
+
+    NaN, infinite or out-of-range amounts become null (skipped by sums) rather
+    than failing the job on an ANSI cast."""
+    c = _c(col)
+    return F.when(F.abs(c) <= F.lit(MAX_ABS_AMOUNT),
+                  F.round(c * F.lit(10 ** scale)).cast("long"))
 
 
 def scaled(fixed, factor: str) -> tuple[Column, int]:
