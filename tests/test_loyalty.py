@@ -75,3 +75,21 @@ def test_last_changelog_row_per_card_equals_latest(spark):
                         "r.earnedLoyaltyPoints", "r.totalLoyaltyPoints"))
         latest = loyalty.loyalty_latest(inv)
         assert last.exceptAll(latest).count() == 0 and latest.exceptAll(last).count() == 0
+
+
+def test_running_total_keys_with_sql_special_characters(spark):
+    hot = "${spark.sql.shuffle.partitions}"  # SQL text would substitute this conf value
+    keys = [hot, "a'b", "back\\slash", "new\nline", "ünï", "", None, "$x", "\\u0041"]
+    # "4" is what the hot key's text becomes after substitution in the test session;
+    # a few "4" rows spread over time would be split by such a bound unnoticed
+    rows = [(hot if i % 2 else keys[i % len(keys)], i % 7, i, i % 5) for i in range(400)]
+    rows += [("4", t, 1000 + t, 1) for t in range(0, 7, 3)]
+    df = spark.createDataFrame(rows, "key string, t int, tie int, v bigint")
+    got = {r.tie: r.run for r in loyalty.running_total(df, "key", ["t", "tie"], "v", "run",
+                                                        chunks=40).collect()}
+    expect = {}
+    for k in keys + ["4"]:
+        grp = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2]))
+        for r, s in zip(grp, accumulate(r[3] for r in grp)):
+            expect[r[2]] = s
+    assert got == expect

@@ -171,7 +171,10 @@ def _sql_literal(v, t) -> str:
     if v is None:
         return f"CAST(NULL AS {ts})"
     if isinstance(t, T.StringType):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        # escape backslash and quote; "$" as \u0024 so SQL variable substitution
+        # (which runs before parsing) cannot touch a value such as "${x}"
+        txt = v.replace("\\", "\\\\").replace("'", "\\'").replace("$", "\\u0024")
+        return "'" + txt + "'"
     if isinstance(t, T.BooleanType):
         return "true" if v else "false"
     if isinstance(t, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
