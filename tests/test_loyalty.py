@@ -93,3 +93,23 @@ def test_running_total_keys_with_sql_special_characters(spark):
         for r, s in zip(grp, accumulate(r[3] for r in grp)):
             expect[r[2]] = s
     assert got == expect
+
+
+def test_running_total_double_order_with_nan(spark):
+    import math
+    vals = [float("nan"), -1.5, 0.0, 2.25, None, float("inf"), -float("inf")]
+    rows = [("K" if i % 3 else "J", vals[i % len(vals)], i, 1 + i % 4) for i in range(300)]
+    df = spark.createDataFrame(rows, "key string, d double, tie int, v bigint")
+    got = {r.tie: r.run for r in loyalty.running_total(df, "key", ["d", "tie"], "v", "run",
+                                                        chunks=25).collect()}
+
+    def order(r):
+        d = r[1]
+        return (d is not None, d is not None and math.isnan(d), 0 if d is None or math.isnan(d) else d, r[2])
+
+    expect = {}
+    for k in ("K", "J"):
+        grp = sorted((r for r in rows if r[0] == k), key=order)
+        for r, s in zip(grp, accumulate(r[3] for r in grp)):
+            expect[r[2]] = s
+    assert got == expect

@@ -142,6 +142,15 @@ MAX_CHUNKS = 1024
 SAMPLE_PER_CHUNK = 64
 
 
+def _spark_order(v):
+    """Sort key matching Spark's ascending order: nulls first, NaN above all numbers."""
+    if v is None:
+        return (0, 0, 0)
+    if isinstance(v, float) and v != v:
+        return (1, 1, 0)
+    return (1, 0, v)
+
+
 def _sample_bounds(d: DataFrame, cols: list[str], n: int, sample_rows: int,
                    total: int | None = None) -> list[tuple]:
     """n-1 quantile bounds of the ``cols`` tuple from a sample of bounded size."""
@@ -155,7 +164,7 @@ def _sample_bounds(d: DataFrame, cols: list[str], n: int, sample_rows: int,
             .limit(2 * sample_rows).collect()]
     if not rows:
         return []
-    rows.sort(key=lambda r: tuple((v is not None, v) for v in r))  # nulls first, as Spark
+    rows.sort(key=lambda r: tuple(_spark_order(v) for v in r))
     picked, last = [], None
     for i in range(1, n):
         b = rows[min(len(rows) - 1, (i * len(rows)) // n)]
