@@ -127,7 +127,8 @@ def run_fanout_kafka(spark, servers: str, checkpoint_root: str, input_topic: str
     from tillstream.sources.adapters import invoices_from_messages
     from tillstream.sources.kafka import kafka_stream
     msgs = kafka_stream(spark, servers, input_topic,
-                        max_offsets_per_trigger=max_offsets_per_trigger)
+                        max_offsets_per_trigger=max_offsets_per_trigger,
+                        min_partitions=spark.sparkContext.defaultParallelism)
     inv = invoices_from_messages(msgs, value_format, avro_schema, event_time, key_format)
     return run_fanout(inv, checkpoint_root, available_now=False,
                       trigger_seconds=trigger_seconds, writers=kafka_writers(servers),

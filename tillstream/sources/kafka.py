@@ -13,14 +13,19 @@ from tillstream.constants import INPUT_TOPIC
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str = INPUT_TOPIC,
                  starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,
-                 **options) -> DataFrame:
-    """Unbounded read: key, value (binary), topic, partition, offset, timestamp."""
+                 min_partitions: int | None = None, **options) -> DataFrame:
+    """Unbounded read: key, value (binary), topic, partition, offset, timestamp.
+
+    ``min_partitions`` splits the offset ranges of large topic partitions over
+    several tasks, so one hot partition is not read by a single task."""
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
          .option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        r = r.option("minPartitions", str(min_partitions))
     for k, v in options.items():
         r = r.option(k, v)
     # raw key bytes are kept for Avro-encoded keys (see adapters.invoices_from_messages)
