@@ -151,6 +151,9 @@ def test_fanout_from_json_messages(spark, tmp_path, invoices):
     assert hadoop.count() == 7
     assert {r.customerCardNo: r.totalLoyaltyPoints for r in loy.collect()} == {"C1": 5.5, "C2": 1.9998}
     assert store.select("storeID").distinct().count() == 1
+    intake = [p["observedMetrics"]["intake"] for p in paths.queries[0].recentProgress
+              if p.get("observedMetrics", {}).get("intake")]
+    assert sum(m["intake_rows"] for m in intake) == 6
 
 
 def test_cli_fanout_over_message_folder(spark, tmp_path, invoices):

@@ -8,7 +8,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from tillstream.constants import (HADOOP_OUTPUT, INPUT_TOPIC, LOYALTY_OUTPUT, SHIPMENT_OUTPUT,
                                   STORE_SALES_OUTPUT)
 from tillstream.operators import stateless, store_sales
+from tillstream.operators.metrics import observe_intake
 from tillstream.streaming import jobs
 from tillstream.streaming.loyalty_state import loyalty_stateful_writer, loyalty_tagged
 from tillstream.streaming.sinks import batch_dir_writer, start, stream_conf
@@ -24,6 +25,7 @@ from tillstream.streaming.sinks import batch_dir_writer, start, stream_conf
 @dataclass
 class FanoutPaths:
     root: str
+    queries: list = field(default_factory=list)
 
     def out(self, name: str) -> str:
         return f"{self.root}/out/{name}"
@@ -87,7 +89,8 @@ def _loyalty_query(invoices, paths, writers, mode, opts):
 def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
                trigger_seconds: float = 1.0, timeout_s: int = 3600,
                writers: dict | None = None, state_partitions: int | None = None,
-               store_window_bounds: bool = True, loyalty_mode: str = "aggregate"):
+               store_window_bounds: bool = True, loyalty_mode: str = "aggregate",
+               observe: bool = True):
     """Start the three queries on a streaming invoice DataFrame (with lines,
     ``event_time`` and ``k``). ``root`` holds checkpoints (and file outputs
     when ``writers`` is not given). ``store_window_bounds=False`` emits store
@@ -100,8 +103,10 @@ def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
     writers = writers or file_writers(paths)
     opts = dict(available_now=available_now, trigger_seconds=trigger_seconds)
     with stream_conf(invoices.sparkSession, state_partitions=state_partitions):
+        # intake metrics per micro-batch (query progress / listeners), instead of a log line per record
+        observed = observe_intake(invoices, "intake") if observe else invoices
         qs = [
-            start(invoices, paths.ckpt("stateless"), "append", stateless_writer(writers), **opts),
+            start(observed, paths.ckpt("stateless"), "append", stateless_writer(writers), **opts),
             _loyalty_query(invoices, paths, writers, loyalty_mode, opts),
             start(jobs.store_sales_stream(store_sales.rekey_by_store(invoices),
                                           keep_window=store_window_bounds),
@@ -114,6 +119,7 @@ def run_fanout(invoices: DataFrame, root: str, available_now: bool = True,
     for q in qs:
         if q.exception() is not None:
             raise q.exception()
+    paths.queries = qs
     return paths
 
 
