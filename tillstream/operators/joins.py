@@ -5,12 +5,22 @@ from pyspark.sql import DataFrame, functions as F
 # A side is broadcast only when it provably has at most this many rows.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
+# Row counts already measured in this process, keyed by (plan, input files):
+# the same plan over the same files has the same count.
+_COUNTS: dict = {}
+
 
 def row_count(df: DataFrame) -> int:
     """Exact row count: partial counts per task, one tiny final merge (a plain
     parquet scan reads only row-group footers). Unlike ``limit(n).count()`` it
-    never funnels rows from every partition into a single task."""
-    return df.count()
+    never funnels rows from every partition into a single task. Remembered per
+    plan and input file list, so repeated builds over the same tables do not
+    re-run it."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+           tuple(sorted(df.inputFiles())))
+    if key not in _COUNTS:
+        _COUNTS[key] = df.count()
+    return _COUNTS[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -13,8 +13,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Table schemas already read in this process (footer reads are the main fixed
+# cost of building a query over small tables).
+_SCHEMAS: dict = {}
+
+
+def table_schema(spark: SparkSession, sf_dir: str, name: str):
+    key = (spark.sparkContext.applicationId, table_path(sf_dir, name))
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(key[1]).schema
+    return _SCHEMAS[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """The table with its (remembered) schema: no schema inference per build."""
+    path = table_path(sf_dir, name)
+    return spark.read.schema(table_schema(spark, sf_dir, name)).parquet(path)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
@@ -25,8 +39,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     schema is taken from its footer and the file is selected with a glob.
     """
     path = table_path(sf_dir, name)
-    schema = read_table(spark, sf_dir, name).schema
-    r = spark.readStream.schema(schema)
+    r = spark.readStream.schema(table_schema(spark, sf_dir, name))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     local = path[len("file:"):] if path.startswith("file:") else path
