@@ -63,7 +63,8 @@ class PriorTotalProcessor(StatefulProcessor):
         self.total = handle.getValueState("rewards-store", STATE_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        prior = (self.total.get()[0] or 0) if self.total.exists() else 0
+        held = self.total.get()  # None when the card has no state yet (one state call)
+        prior = (held[0] or 0) if held else 0
         added = 0
         for pdf in rows:
             added += int(pdf["earned_fixed"].fillna(0).astype("int64").sum())
