@@ -352,3 +352,19 @@ def test_fanout_with_per_record_loyalty(spark, tmp_path, invoices):
     loy = spark.read.parquet(paths.out("loyalty")).orderBy("invoiceNumber").collect()
     assert [(r.invoiceNumber, r.totalLoyaltyPoints) for r in loy] == [
         ("1", 4.0), ("2", 5.0), ("4", 1.9998), ("6", 5.5)]
+
+
+def test_stateful_loyalty_null_amount(spark, tmp_path):
+    t = lambda d: datetime(2024, 1, d)
+    folder = str(tmp_path / "in")
+    b0 = [("C1", "1", 100.0, "PRIME", t(1), 1), ("C1", "2", None, "PRIME", t(2), 2)]
+    b1 = [("C1", "3", 50.0, "PRIME", t(3), 3)]
+    _write_files(spark, folder, [b0, b1], NOTIF_DDL)
+    root = scratch_path(spark, "tws-null")
+    with utc(spark):
+        tagged, scale = loyalty_tagged(_stream(spark, folder, NOTIF_DDL))
+        run_bounded(tagged, f"{root}/ck", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), scale))
+        out = spark.read.parquet(f"{root}/out").orderBy("invoiceNumber").collect()
+    assert [(r.invoiceNumber, r.earnedLoyaltyPoints, r.totalLoyaltyPoints) for r in out] == [
+        ("1", 2.0, 2.0), ("2", None, 2.0), ("3", 1.0, 3.0)]
