@@ -34,17 +34,21 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str = INPUT_TOPIC,
 
 
 def kafka_partition_batch(spark: SparkSession, servers: str, topic: str, partition: int = 0,
-                          from_offset: int = 0, until_offset: int | None = None) -> DataFrame:
-    """Bounded read of one topic partition from an offset, keys included."""
+                          from_offset: int = 0, until_offset: int | None = None,
+                          min_partitions: int | None = None) -> DataFrame:
+    """Bounded read of one topic partition from an offset, keys included.
+    ``min_partitions`` splits the offset range over several tasks."""
     start = f'{{"{topic}":{{"{partition}":{from_offset}}}}}'
     end = (f'{{"{topic}":{{"{partition}":{until_offset}}}}}' if until_offset is not None
            else "latest")
-    return (spark.read.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("assign", f'{{"{topic}":[{partition}]}}')
-            .option("startingOffsets", start)
-            .option("endingOffsets", end)
-            .load()
+    r = (spark.read.format("kafka")
+         .option("kafka.bootstrap.servers", servers)
+         .option("assign", f'{{"{topic}":[{partition}]}}')
+         .option("startingOffsets", start)
+         .option("endingOffsets", end))
+    if min_partitions:
+        r = r.option("minPartitions", str(min_partitions))
+    return (r.load()
             .withColumn("key_bytes", F.col("key"))
             .withColumn("key", F.col("key").cast("string")))
 
