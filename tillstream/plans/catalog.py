@@ -10,6 +10,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillstream.constants import WINDOW_GRACE_MINUTES
 from tillstream.operators import enrichment, loyalty, metrics, stateless, store_sales
 from tillstream.session import utc
 from tillstream.sources import adapters
@@ -123,6 +124,20 @@ def store_sales_unwindowed(spark, sf_dir):
         store_sales.hopping_store_sales(adapters.store_events(spark, sf_dir)))
 
 
+@in_utc
+def store_sales_final_batch(spark, sf_dir):
+    """Final-only windows on a table: those closed by its watermark (max event time
+    minus the grace period), as a stream would emit them in append mode."""
+    ev = adapters.store_events(spark, sf_dir)
+    # one value, as epoch microseconds (no local-time conversion on the driver)
+    newest = ev.agg(F.max(F.unix_micros("event_time")).alias("m")).first().m
+    if newest is None:
+        return store_sales.hopping_store_sales(ev).limit(0)
+    grace_us = WINDOW_GRACE_MINUTES * 60 * 1_000_000
+    watermark = F.timestamp_micros(F.lit(newest - grace_us)).cast("timestamp_ntz")
+    return store_sales.closed_windows(store_sales.hopping_store_sales(ev), watermark)
+
+
 @in_utc
 def line_enrichment(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select(
@@ -178,6 +193,7 @@ BATCH_QUERIES = {
     "store_sales_hopping": store_sales_hopping,
     "store_sales_tumbling": store_sales_tumbling,
     "store_sales_unwindowed": store_sales_unwindowed,
+    "store_sales_final_batch": store_sales_final_batch,
     "line_enrichment": line_enrichment,
     "line_totals": line_totals,
     "invoice_assembly": invoice_assembly,
