@@ -1,8 +1,10 @@
 """Registered queries of this subpackage and their DuckDB SQL."""
 
+from tillstream.llm.langid import op4_language_id
 from tillstream.llm.simhash_dedup import op1_simhash_dedup
 
 QUERIES = {
+    "op4_language_id": op4_language_id,
     "op1_simhash_dedup": op1_simhash_dedup,
 }
 
