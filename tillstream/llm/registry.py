@@ -1,9 +1,11 @@
 """Registered queries of this subpackage and their DuckDB SQL."""
 
+from tillstream.llm.decontaminate import op5_benchmark_decontamination
 from tillstream.llm.langid import op4_language_id
 from tillstream.llm.simhash_dedup import op1_simhash_dedup
 
 QUERIES = {
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op4_language_id": op4_language_id,
     "op1_simhash_dedup": op1_simhash_dedup,
 }
