@@ -2,13 +2,19 @@
 
 from tillstream.llm.decontaminate import op5_benchmark_decontamination
 from tillstream.llm.langid import op4_language_id
+from tillstream.llm.mixing import OP9_SQL, op9_mix_sources
+from tillstream.llm.secrets import op6_secret_scan
 from tillstream.llm.simhash_dedup import op1_simhash_dedup
 
 QUERIES = {
-    "op5_benchmark_decontamination": op5_benchmark_decontamination,
-    "op4_language_id": op4_language_id,
     "op1_simhash_dedup": op1_simhash_dedup,
+    "op4_language_id": op4_language_id,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_secret_scan": op6_secret_scan,
+    "op9_mix_sources": op9_mix_sources,
 }
 
 #: Queries that SQL can express; the others are tested against brute force.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_mix_sources": OP9_SQL,
+}
