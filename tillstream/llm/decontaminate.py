@@ -64,23 +64,26 @@ def _shingles(words: Column, k: int) -> Column:
 
 
 def _items(benchmark: DataFrame, k: int) -> DataFrame:
-    """Distinct items: item_id (least of equal ones), size k of a shingle, hashes hs."""
+    """Distinct items: item (hash of the words), item_id (least of equal ones), size k of a
+    shingle, hashes hs, and their number m.
+    """
     items = (benchmark.select("item_id", _words("text").alias("w")).filter("size(w) > 0")
-             .groupBy("w").agg(F.min("item_id").alias("item_id")))
+             .groupBy("w").agg(F.min("item_id").alias("item_id"))
+             .withColumn("item", F.xxhash64("w")))
     sized = None
     for size in range(1, k + 1):
         of_size = F.size("w") >= k if size == k else F.size("w") == size
         part = items.filter(of_size).select(
-            "item_id", F.lit(size).alias("k"), _shingles(F.col("w"), size).alias("hs"))
+            "item", "item_id", F.lit(size).alias("k"), _shingles(F.col("w"), size).alias("hs"))
         sized = part if sized is None else sized.union(part)
     return staged(sized.withColumn("m", F.size("hs")), "benchmark-items")
 
 
 def _anchors(items: DataFrame, similarity: float) -> DataFrame:
     """The rarest shingles of every item: k, h, place in the item, shingles m of the item."""
-    at = items.select("item_id", "k", "m", F.posexplode("hs").alias("place", "h"))
+    at = items.select("item", "k", "m", F.posexplode("hs").alias("place", "h"))
     seen = at.groupBy("k", "h").agg(F.count("*").alias("often"))
-    ranked = (at.join(seen, ["k", "h"]).groupBy("item_id", "k", "m")
+    ranked = (at.join(seen, ["k", "h"]).groupBy("item", "k", "m")
               .agg(F.sort_array(F.collect_list(F.struct("often", "h", "place"))).alias("s")))
     # o shared shingles of m give a similarity of at most o / m
     needed = F.col("m") - F.ceil(F.col("m") * similarity - 1e-9) + 1
@@ -188,17 +191,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle_words: int = SHINGLE_WO
 
     distinct = windows.select("k", "m", "hs", F.xxhash64("hs").alias("window")).distinct()
     in_windows = staged(_weighted(distinct, ["k", "m", "window"]), "window-shingles")
-    in_items = staged(_weighted(items, ["k", "m", "item_id"]), "item-shingles")
+    in_items = staged(_weighted(items, ["k", "m", "item"]), "item-shingles")
     prints = simhash(in_windows, ["k", "m", "window"])
-    item_prints = simhash(in_items, ["k", "m", "item_id"]).select(
-        "k", "m", "item_id", F.col("fp").alias("r_fp"), F.col("total").alias("r_total"))
+    item_prints = simhash(in_items, ["k", "m", "item"]).select(
+        "k", "m", "item", F.col("fp").alias("r_fp"), F.col("total").alias("r_total"))
     near = staged(within_radius(prints, staged(item_prints, "item-prints"), radius, ["k", "m"])
-                  .select("k", "m", "window", "total", "item_id", "r_total", "bits"), "window-pairs")
+                  .select("k", "m", "window", "total", "item", "r_total", "bits"), "window-pairs")
 
     shared = (near.join(in_windows, ["k", "m", "window"])
-              .join(small_side(in_items.select("item_id", "k", "h", F.col("c").alias("r_c")),
-                               BROADCAST_ROWS), ["item_id", "k", "h"])
-              .groupBy("k", "m", "window", "item_id", "bits")
+              .join(small_side(in_items.select("item", "k", "h", F.col("c").alias("r_c")),
+                               BROADCAST_ROWS), ["item", "k", "h"])
+              .groupBy("k", "m", "window", "item", "bits")
               .agg(F.sum(F.least("c", "r_c")).alias("both"),
                    F.first(F.col("total") + F.col("r_total")).alias("sizes")))
     ratio = F.col("both") / (F.col("sizes") - F.col("both"))
@@ -208,7 +211,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle_words: int = SHINGLE_WO
                              "similarity"), F.struct("similarity", -F.col("start")))
     return (windows.withColumn("window", F.xxhash64("hs")).drop("hs")
             .join(verified, ["k", "m", "window"])
-            .groupBy("doc_id", "th", "item_id").agg(best.alias("b"))
+            .groupBy("doc_id", "th", "item").agg(best.alias("b"))
+            .join(small_side(items.select("item", "item_id"), BROADCAST_ROWS), "item")
             .select("doc_id", "th", "item_id", "b.*"))
 
 
