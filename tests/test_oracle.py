@@ -37,4 +37,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    own = {**E.BATCH_QUERIES, **E.STREAM_QUERIES}
+    assert set(own) <= set(E.oracle_sql())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import scratch_path, utc
 from tillstream.streaming import jobs
-from tillstream.streaming.loyalty_state import loyalty_stateful_writer, loyalty_tagged
+from tillstream.streaming.loyalty_state import loyalty_rows, loyalty_stateful_writer
 from tillstream.streaming.sinks import batch_dir_writer, last_emission, read_batches, run_bounded
 from tillstream.plans.streams import STORE_OUT
 from tillstream.schemas import NOTIFICATION
@@ -102,9 +102,9 @@ def test_stateful_processor_one_row_per_input_across_batches(spark, tmp_path):
     _write_files(spark, folder, [b0, b1], NOTIF_DDL)
     root = scratch_path(spark, "tws")
     with utc(spark):
-        tagged, scale = loyalty_tagged(_stream(spark, folder, NOTIF_DDL))
-        run_bounded(tagged, f"{root}/ck", "append",
-                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), scale))
+        run_bounded(loyalty_rows(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), f"{root}/totals",
+                                            every=2))
         out = spark.read.parquet(f"{root}/out").orderBy("invoiceNumber").collect()
     assert [(r.invoiceNumber, r.totalLoyaltyPoints) for r in out] == [
         ("1", 2.0), ("2", 3.0), ("3", 3.5)]
@@ -233,7 +233,7 @@ def test_stateful_loyalty_matches_model_over_random_batches(spark, tmp_path):
     from datetime import timedelta
     rng = random.Random(5)
     batches, n = [], 0
-    for _ in range(3):
+    for _ in range(5):
         rows = []
         for _ in range(rng.randint(1, 8)):
             n += 1
@@ -244,19 +244,18 @@ def test_stateful_loyalty_matches_model_over_random_batches(spark, tmp_path):
     _write_files(spark, folder, batches, NOTIF_DDL)
     root = scratch_path(spark, "tws-model")
     with utc(spark):
-        tagged, scale = loyalty_tagged(_stream(spark, folder, NOTIF_DDL))
-        run_bounded(tagged, f"{root}/ck", "append",
-                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), scale))
+        run_bounded(loyalty_rows(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), f"{root}/totals",
+                                            every=2))
         got = {r.invoiceNumber: r.totalLoyaltyPoints for r in spark.read.parquet(f"{root}/out").collect()}
     expect, totals = {}, {}
     for rows in batches:
         before = dict(totals)
         for card, inv, amount, _, ts, tie in rows:
-            e4 = round(amount * 100) * 2
-            same = sum(round(a * 100) * 2 for c, _, a, _, t, k in rows
+            same = sum(round(a * 100) for c, _, a, _, t, k in rows
                        if c == card and (t, k) <= (ts, tie))
-            expect[inv] = (before.get(card, 0) + same) / 10000.0
-            totals[card] = totals.get(card, 0) + e4
+            expect[inv] = (before.get(card, 0) + same) / 100 * 0.02
+            totals[card] = totals.get(card, 0) + round(amount * 100)
     assert got == expect
 
 
@@ -308,7 +307,7 @@ def test_kafka_writers_key_each_output(spark, monkeypatch, invoices):
     from tillstream.sources.codec import encode_json
     captured = {}
 
-    def fake_writer(servers, topic, key_col="key", value_cols=None):
+    def fake_writer(servers, topic, key_col="key", value_cols=None, **_):
         def write(batch, batch_id):
             captured[topic] = encode_json(batch, value_cols, key_col).collect()
         return write
@@ -362,9 +361,152 @@ def test_stateful_loyalty_null_amount(spark, tmp_path):
     _write_files(spark, folder, [b0, b1], NOTIF_DDL)
     root = scratch_path(spark, "tws-null")
     with utc(spark):
-        tagged, scale = loyalty_tagged(_stream(spark, folder, NOTIF_DDL))
-        run_bounded(tagged, f"{root}/ck", "append",
-                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), scale))
+        run_bounded(loyalty_rows(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), f"{root}/totals",
+                                            every=2))
         out = spark.read.parquet(f"{root}/out").orderBy("invoiceNumber").collect()
     assert [(r.invoiceNumber, r.earnedLoyaltyPoints, r.totalLoyaltyPoints) for r in out] == [
         ("1", 2.0, 2.0), ("2", None, 2.0), ("3", 1.0, 3.0)]
+
+
+def test_time_limit_raises_and_stops_the_query(spark, tmp_path):
+    import pytest
+    folder = str(tmp_path / "in")
+    _write_files(spark, folder, [[("S", 1.0, datetime(2024, 1, 1), 1)]], EV_DDL)
+
+    def slow(batch, batch_id):
+        time.sleep(5)
+    root = scratch_path(spark, "limit")
+    with pytest.raises(TimeoutError):
+        run_bounded(_stream(spark, folder, EV_DDL), f"{root}/ck", "append", slow, timeout_s=1)
+    assert not spark.streams.active
+
+
+def test_read_batches_hides_only_a_missing_path(spark, tmp_path):
+    import pytest
+    assert read_batches(spark, str(tmp_path / "nothing"), STORE_OUT).count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="x.parquet"):
+        read_batches(spark, str(tmp_path / "bad"), STORE_OUT).count()
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from tillstream import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext = Context()
+        conf = Context()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
+def _messages(spark, tmp_path, invoices):
+    """Messages with their place in the topic: (key, value, timestamp, partition, offset)."""
+    from tillstream.schemas import POS_INVOICE
+    from tillstream.sources.codec import encode_json
+    rows = encode_json(invoices, [f.name for f in POS_INVOICE.fields])
+    rows = rows.withColumn("timestamp", F.lit("2024-01-01 00:00:00")).withColumn(
+        "partition", F.lit(0)).withColumn("offset", F.get_json_object("value", "$.invoiceNumber").cast("long"))
+    rows.coalesce(1).write.json(str(tmp_path / "msgs"))
+    return spark.readStream.schema("key string, value string, timestamp timestamp, partition int, "
+                                   "offset long").json(str(tmp_path / "msgs"))
+
+
+def test_output_records_have_only_their_own_columns(spark, tmp_path, invoices):
+    from tillstream.plans.fanout import run_fanout
+    from tillstream.schemas import HADOOP_COLUMNS, INVOICE_COLUMNS, NOTIFICATION_COLUMNS
+    from tillstream.sources.adapters import invoices_from_messages
+    root = scratch_path(spark, "records")
+    with utc(spark):
+        inv = invoices_from_messages(_messages(spark, tmp_path, invoices))
+        assert {"partition", "offset", "timestamp"} <= set(inv.columns)
+        paths = run_fanout(inv, root, query_prefix="test")
+    assert [q.name for q in paths.queries] == ["test-stateless", "test-loyalty", "test-store-sales"]
+    columns = lambda n: [c for c in spark.read.parquet(paths.out(n)).columns if c != "batch_id"]
+    assert columns("shipment") == ["key", *INVOICE_COLUMNS]
+    assert columns("hadoop-sink") == ["key", *HADOOP_COLUMNS]
+    assert columns("loyalty") == NOTIFICATION_COLUMNS
+    assert columns("store-sales") == ["window_start", "window_end", "storeID", "totalSale"]
+
+
+def test_late_older_invoice_is_the_latest_to_arrive(spark, tmp_path, invoices):
+    from tillstream.plans.fanout import run_fanout
+    from tillstream.sources.adapters import invoices_from_messages
+    late = invoices.withColumn("createdTime", -F.col("createdTime"))  # later offsets, older times
+    root = scratch_path(spark, "arrival")
+    with utc(spark):
+        paths = run_fanout(invoices_from_messages(_messages(spark, tmp_path, late)), root,
+                           outputs=("loyalty",))
+    loy = last_emission(spark.read.parquet(paths.out("loyalty")), ["customerCardNo"]).collect()
+    assert {r.customerCardNo: r.invoiceNumber for r in loy} == {"C1": "6", "C2": "4"}
+
+
+def test_service_settings(spark, monkeypatch):
+    """Windows, topics, client options, query names and formats reach source, sinks and queries."""
+    import tillstream.plans.fanout as P
+    import tillstream.sources.adapters as A
+    import tillstream.sources.kafka as K
+    seen = {}
+    monkeypatch.setattr(K, "kafka_stream", lambda *a, **k: seen.setdefault("source", k))
+    monkeypatch.setattr(A, "invoices_from_messages", lambda *a, **k: "invoices")
+    monkeypatch.setattr(K, "kafka_batch_writer",
+                        lambda servers, topic, **k: seen.setdefault(topic, k) and None)
+    monkeypatch.setattr(P, "run_fanout", lambda inv, root, **k: seen.setdefault("run", k))
+    P.run_fanout_kafka(spark, "b:9092", "/chk", output_format="avro",
+                       topics={"loyalty": "rewards"}, kafka_options={"kafka.security.protocol": "SSL"},
+                       schema_ids={"loyalty": 7, "shipment": 1, "hadoop-sink": 2, "store-sales": 3},
+                       key_schema_id=9, query_prefix="app", window_size_minutes=30, grace_minutes=1)
+    assert seen["source"]["kafka.security.protocol"] == "SSL"
+    assert seen["source"]["max_offsets_per_trigger"] == P.MAX_OFFSETS_PER_TRIGGER
+    assert seen["rewards"] == {"value_format": "avro", "schema_id": 7, "key_schema_id": 9,
+                               "options": {"kafka.security.protocol": "SSL"}}
+    assert seen["run"]["window_size_minutes"] == 30 and seen["run"]["grace_minutes"] == 1
+    assert seen["run"]["query_prefix"] == "app"
+    assert K.sink_options("b", "t", {"kafka.acks": "1"}) == {
+        "kafka.bootstrap.servers": "b", "kafka.acks": "1", "topic": "t"}
+    assert K.sink_options("b", "t")["kafka.acks"] == "all"
+
+
+def test_registry_header(spark):
+    import pytest
+    from tillstream.sources.codec import registry_frame
+    df = spark.createDataFrame([(bytearray(b"xy"),)], "v binary")
+    assert bytes(df.select(registry_frame(F.col("v"), 0x01020304).alias("f")).first().f) == (
+        b"\x00\x01\x02\x03\x04xy")
+    with pytest.raises(ValueError):
+        registry_frame(F.col("v"), -1)
+
+
+def test_cli_window_settings_and_format(spark, tmp_path, invoices):
+    from tillstream.__main__ import main
+    from tillstream.schemas import POS_INVOICE
+    from tillstream.sources.codec import encode_json
+    msgs = tmp_path / "msgs"
+    encode_json(invoices, [f.name for f in POS_INVOICE.fields]).coalesce(1).write.json(str(msgs))
+    out = tmp_path / "out"
+    main(["fanout", "--messages", str(msgs), "--out", str(out), "--checkpoint",
+          str(tmp_path / "chk"), "--available-now", "--window-size-minutes", "30",
+          "--window-advance-minutes", "30", "--output-format", "json"])
+    rows = spark.read.json(f"{out}/out/store-sales").collect()
+    assert len(rows) == 1 and rows[0].window_end[11:16] == "00:30"
+
+
+def test_now_millis(spark):
+    from tillstream.functions import now_millis
+    a = time.time() * 1000
+    got = spark.range(1).select(now_millis().alias("t")).first().t
+    assert a - 5000 <= got <= time.time() * 1000 + 5000

@@ -14,8 +14,6 @@ CESS_RATE = "0.00125"
 WINDOW_SIZE_MINUTES = 60             # store-sales hopping window
 WINDOW_ADVANCE_MINUTES = 5
 WINDOW_GRACE_MINUTES = 2
-REWARDS_STORE = "rewards-store"      # names of the two durable state stores
-SALES_STORE = "sales-store"
 # Output names of the fan-out.
 INPUT_TOPIC = "pos-invoice"
 SHIPMENT_OUTPUT = "shipment"
@@ -23,7 +21,3 @@ LOYALTY_OUTPUT = "loyalty"
 HADOOP_OUTPUT = "hadoop-sink"
 STORE_SALES_OUTPUT = "store-sales"
 # ---------------------------------------------------------------------------
-
-# Money is carried as a fixed-point integer with this many decimals (cents), so
-# sums are exact and do not depend on the order in which partitions combine.
-MONEY_SCALE = 2

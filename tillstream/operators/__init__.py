@@ -4,7 +4,6 @@ from tillstream.operators.enrichment import (
     assemble_invoices, attach_address, enrich_lines, invoice_totals, recompute_item_totals,
     with_line_totals, with_taxes,
 )
-from tillstream.operators.joins import broadcast_if_small
 from tillstream.operators.loyalty import (
     loyalty_changelog, loyalty_latest, loyalty_reduce, running_total,
 )
@@ -20,7 +19,7 @@ from tillstream.operators.store_sales import (
 
 __all__ = [
     "assemble_invoices", "attach_address", "enrich_lines", "invoice_totals",
-    "recompute_item_totals", "with_line_totals", "with_taxes", "broadcast_if_small",
+    "recompute_item_totals", "with_line_totals", "with_taxes",
     "loyalty_changelog", "loyalty_latest", "loyalty_reduce", "running_total",
     "intake_summary", "observe_intake", "flatten_address", "hadoop_records",
     "hadoop_records_from_lines", "key_by", "mask_invoice", "notification", "prime_filter",

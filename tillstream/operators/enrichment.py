@@ -5,27 +5,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.constants import CESS_RATE, CGST_RATE, MONEY_SCALE, SGST_RATE
-from tillstream.functions.money import money_sum, to_fixed
+from tillstream.constants import CESS_RATE, CGST_RATE, SGST_RATE
+from tillstream.functions.money import money_sum
 from tillstream.functions.predicates import is_home_delivery
-from tillstream.operators.joins import broadcast_if_small
 from tillstream.schemas import LINE_ITEM
 
 LINE_FIELDS = [f.name for f in LINE_ITEM.fields]
 
 
-def enrich_lines(lines: DataFrame, products: DataFrame, code_col: str = "itemCode",
-                 broadcast_rows: int = 1_000_000) -> DataFrame:
+def enrich_lines(lines: DataFrame, products: DataFrame, code_col: str = "itemCode") -> DataFrame:
     """Product lookup per line: description and price come from the product table.
 
-    ``products`` needs itemCode, itemDescription, itemPrice. It is broadcast
-    only if it has at most ``broadcast_rows`` rows; otherwise the join
-    shuffles on the code (AQE splits a hot product's partition).
+    ``products`` needs itemCode, itemDescription, itemPrice. Spark broadcasts it
+    when its measured size is below the session's byte threshold; otherwise the
+    join shuffles on the code (AQE splits a hot product's partition).
     """
     p = products.select(F.col("itemCode").alias("_pcode"),
                         F.col("itemDescription").alias("_pdesc"),
                         F.col("itemPrice").alias("_pprice"))
-    j = lines.join(broadcast_if_small(p, broadcast_rows), F.col(code_col) == F.col("_pcode"), "left")
+    j = lines.join(p, F.col(code_col) == F.col("_pcode"), "left")
     return (j.withColumn("itemDescription", F.col("_pdesc"))
              .withColumn("itemPrice", F.col("_pprice"))
              .drop("_pcode", "_pdesc", "_pprice"))
@@ -59,12 +57,12 @@ def with_taxes(df: DataFrame, total_col: str = "totalAmount") -> DataFrame:
 
 def assemble_invoices(lines: DataFrame, invoice_col: str = "invoiceNumber") -> DataFrame:
     """Fold flat lines into invoices: sorted item array, item count, total of
-    line values (exact cents) and taxes. One hash aggregate on the invoice id;
+    line values and taxes. One hash aggregate on the invoice id;
     an invoice's array holds only its own lines."""
     agg = (lines.groupBy(invoice_col)
            .agg(F.sort_array(F.collect_list(F.struct(*LINE_FIELDS))).alias("invoiceLineItems"),
                 F.count(F.lit(1)).cast("int").alias("numberOfItems"),
-                money_sum(to_fixed("totalValue"), MONEY_SCALE).alias("totalAmount")))
+                money_sum("totalValue").alias("totalAmount")))
     return with_taxes(agg)
 
 
@@ -72,7 +70,7 @@ def invoice_totals(lines: DataFrame, invoice_col: str = "invoiceNumber") -> Data
     """Scalar part of ``assemble_invoices`` (no array): count, total and taxes."""
     agg = (lines.groupBy(invoice_col)
            .agg(F.count(F.lit(1)).cast("int").alias("numberOfItems"),
-                money_sum(to_fixed("totalValue"), MONEY_SCALE).alias("totalAmount")))
+                money_sum("totalValue").alias("totalAmount")))
     return with_taxes(agg)
 
 
@@ -80,12 +78,12 @@ def attach_address(invoices: DataFrame, addresses: DataFrame, on: str = "custome
                    address_on: str | None = None) -> DataFrame:
     """Set deliveryAddress from ``addresses`` only for home deliveries; other
     invoices keep theirs. ``addresses`` has the key column and the five
-    address fields; it is joined by key (shuffle, or broadcast when small)."""
+    address fields; it is joined by key."""
     address_on = address_on or on
     a = addresses.select(F.col(address_on).alias("_akey"),
                          F.struct("addressLine", "city", "state", "pinCode", "contactNumber")
                          .alias("_addr"))
-    j = invoices.join(broadcast_if_small(a), F.col(on) == F.col("_akey"), "left")
+    j = invoices.join(a, F.col(on) == F.col("_akey"), "left")
     return (j.withColumn("deliveryAddress",
                          F.when(is_home_delivery("deliveryType"), F.col("_addr"))
                           .otherwise(F.col("deliveryAddress")))

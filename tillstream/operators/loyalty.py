@@ -1,49 +1,50 @@
 """Loyalty points per customer card: latest state, keyed reduce, running total.
 
-Earned points and totals are carried as fixed-point BIGINTs (exact sums) and
-returned as DOUBLE. Order among a card's invoices is (event time, tie key).
+Order among a card's invoices is (event time, tie key). Totals of points are
+the exact total of the amounts times the factor (``functions.money``), so they
+do not depend on the order in which partitions combine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tillstream.functions.money import fixed_to_double
-from tillstream.operators.stateless import earned_points_fixed, prime_filter
-from tillstream.session import cut_lineage
+from tillstream.functions.money import PARTS, money_parts, money_sum, total_of
+from tillstream.operators.stateless import earned_points, prime_filter
 
 CARD = "customerCardNo"
+#: Width of a running total's time buckets: tables, and single micro-batches.
+BUCKET_US = 3_600_000_000
+BATCH_BUCKET_US = 1_000_000
 
 
-def with_earned(df: DataFrame) -> tuple[DataFrame, int]:
-    e, scale = earned_points_fixed()
-    return df.withColumn("_earned", e), scale
-
-
-def _newest_and_total(d: DataFrame, scale: int, time_col: str, tie_col: str) -> DataFrame:
-    """Per card: the newest row's invoice columns and the total of ``_earned``."""
-    newest = F.max_by(F.struct("invoiceNumber", "totalAmount", "_earned"),
-                      F.struct(time_col, tie_col))
-    agg = d.groupBy(CARD).agg(newest.alias("_last"),
-                              F.coalesce(F.sum("_earned"), F.lit(0).cast("long")).alias("_total"))
+def _newest_and_total(d: DataFrame, total: Column, order: Column) -> DataFrame:
+    """Per card: the newest row's invoice columns and the total of points."""
+    newest = F.max_by(F.struct("invoiceNumber", "totalAmount", "earnedLoyaltyPoints"), order)
+    agg = d.groupBy(CARD).agg(newest.alias("_last"), total.alias("_total"))
     return agg.select(
         F.col("_last.invoiceNumber").alias("invoiceNumber"),
         F.col(CARD),
         F.col("_last.totalAmount").alias("totalAmount"),
-        fixed_to_double("_last._earned", scale).alias("earnedLoyaltyPoints"),
-        fixed_to_double("_total", scale).alias("totalLoyaltyPoints"),
+        F.col("_last.earnedLoyaltyPoints").alias("earnedLoyaltyPoints"),
+        F.col("_total").alias("totalLoyaltyPoints"),
     )
 
 
-def loyalty_latest(df: DataFrame, time_col: str = "event_time", tie_col: str = "k",
+def loyalty_latest(df: DataFrame, time_col: str | None = "event_time", tie_col: str = "k",
                    prime_only: bool = True) -> DataFrame:
     """Keyed aggregate, final state: per card the newest invoice's columns and the
     total of earned points (0.0 start). A partial + final aggregate (sort based,
     as the newest-row buffer holds text): a hot card is combined map-side, never
-    gathered in one task. Works on batch and streaming (update mode) inputs."""
+    gathered in one task. Works on batch and streaming (update mode) inputs.
+
+    ``time_col=None`` orders by the tie key alone: arrival order, when the tie
+    key is the record's (partition, offset).
+    """
     src = prime_filter(df) if prime_only else df
-    d, scale = with_earned(src)
-    return _newest_and_total(d, scale, time_col, tie_col)
+    d = src.withColumn("earnedLoyaltyPoints", earned_points())
+    order = F.struct(time_col, tie_col) if time_col else F.col(tie_col)
+    return _newest_and_total(d, earned_points(money_sum("totalAmount")), order)
 
 
 def loyalty_reduce(notifications: DataFrame, time_col: str = "event_time",
@@ -52,197 +53,68 @@ def loyalty_reduce(notifications: DataFrame, time_col: str = "event_time",
     totalAmount, earnedLoyaltyPoints + order columns): the newer value wins and
     its total is the older total plus its own earned points. The first value is
     seeded with its earned points, so the final state equals ``loyalty_latest``
-    of the invoices the notifications came from."""
-    _, scale = earned_points_fixed()
-    e = F.round(F.col("earnedLoyaltyPoints") * F.lit(10 ** scale)).cast("long")
-    return _newest_and_total(notifications.withColumn("_earned", e), scale, time_col, tie_col)
-
-
-def running_total(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                  chunks: int | None = None, sample_rows: int | None = None,
-                  rows_per_chunk: int | None = None, max_chunks: int | None = None,
-                  materialize: bool = True) -> DataFrame:
-    """Running sum of ``value`` per ``key`` in ``order`` (inclusive of the row).
-
-    Skew safe and deterministic. Range bounds over (key, order) are taken once
-    from a bounded sample and written into the plan as literals; each row's
-    chunk is found by binary search over them, so a hot key spans several
-    chunks and every recomputation (e.g. after executor loss) puts a row in
-    the same chunk. The window runs per (key, chunk). Only keys that appear in
-    a bound can straddle chunks: their earlier-chunk totals (at most
-    2 × chunks rows) are prefix-summed and broadcast as offsets.
-    ``value`` must be exact (BIGINT) so chunked sums equal a serial sum.
-
-    The number of chunks is ``chunks`` or total rows / ``rows_per_chunk``,
-    capped at ``max_chunks`` (the literal search tree costs planning time per
-    bound, not per row).
-
-    With ``materialize`` the prepared input (only the columns passed in) is
-    written once as a reliable checkpoint in the shared checkpoint folder, so
-    the sizing, sampling, offset and window passes read it instead of
-    recomputing the upstream plan four times.
+    of the invoices the notifications came from (up to the last bits: here the
+    already rounded products are summed)."""
+    return _newest_and_total(notifications, money_sum("earnedLoyaltyPoints"),
+                             F.struct(time_col, tie_col))
+
+
+def _plus(a: Column, b: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DecimalType):  # one digit less, so that the sum keeps its scale
+        narrow = f"decimal({kind.precision - 1},{kind.scale})"
+        return a.cast(narrow) + b.cast(narrow)
+    return a + b
+
+
+def running_total(df: DataFrame, key: str, order: list[str], values: list[str],
+                  bucket: Column) -> DataFrame:
+    """Adds ``run_<value>``: running sums per ``key`` in ``order``, the row included.
+
+    ``bucket`` must follow ``order`` (a lesser bucket for earlier rows only), e.g.
+    the hour of the event time. A window runs within each (key, bucket), so a hot
+    key is spread over its buckets; the sums of a key's earlier buckets come from
+    a table of one row for each (key, bucket), aggregated map-side first, and are
+    joined back. Null keys are one group; null values count as nothing.
     """
-    kz, kn = "_kz", "_kn"
-    # (null flag, value) stands for the key: a null key is one group, plain equality joins.
-    d = df.withColumn(kz, F.coalesce(F.col(key).cast("string"), F.lit(""))) \
-          .withColumn(kn, F.col(key).isNull())
-    ocols = []
-    for i, c in enumerate(order):
-        dt = d.schema[c].dataType
-        e = F.col(c)
-        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-            e = F.unix_micros(e.cast("timestamp"))
-        elif isinstance(dt, T.DateType):
-            e = F.unix_date(e)
-        d = d.withColumn(f"_o{i}", e)
-        ocols.append(f"_o{i}")
-    sort_cols = [kn, kz, *ocols]
-    if materialize:
-        d = cut_lineage(d)
-    total = d.count()
-    n = chunks or max(1, min(max_chunks or MAX_CHUNKS,
-                             -(-total // (rows_per_chunk or ROWS_PER_CHUNK))))
-    bounds = _sample_bounds(d, sort_cols, n, sample_rows or SAMPLE_PER_CHUNK * n, total)
-    types = [d.schema[c].dataType for c in sort_cols]
-    d = d.withColumn("_chunk", _bucket_expr(sort_cols, types, bounds))
-    part = [kz, kn, "_chunk"]
-    # Chunks are equal-row ranges, so ranging the window input on (chunk, key)
-    # gives each task about one chunk (hashing could stack a hot key's chunks in
-    # one task). Results do not depend on this assignment, only on _chunk.
-    ranged = d
-    if bounds:
-        n_parts = max(n, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        ranged = d.repartitionByRange(n_parts, "_chunk", kn, kz)
-    local_w = (Window.partitionBy(*part).orderBy(*ocols)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_local",
-                              F.coalesce(F.sum(value).over(local_w), F.lit(0).cast("long")))
-    straddlers = sorted({(b[0], b[1]) for b in bounds})
-    if straddlers:
-        # hash-set membership; a key equal to a straddler's text but with the other
-        # null flag is a harmless extra (its offsets come out 0)
-        sums = (d.where(F.col(kz).isin(sorted({k for _, k in straddlers})))
-                .groupBy(*part).agg(F.sum(value).alias("_ct")))
-        prev_w = (Window.partitionBy(kz, kn).orderBy("_chunk")
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        offsets = sums.select(*part, F.coalesce(F.sum("_ct").over(prev_w), F.lit(0).cast("long"))
-                              .alias("_offset"))
-        # at most (#straddling keys + #chunks) rows: a proven bound, so broadcast
-        local = local.join(F.broadcast(offsets), part, "left")
-    else:
-        local = local.withColumn("_offset", F.lit(0).cast("long"))
-    return (local.withColumn(out, F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0).cast("long")))
-                 .drop(*part, *ocols, "_local", "_offset"))
-
-
-# Chunks hold about ROWS_PER_CHUNK rows; their count is capped so the
-# binary-search expression stays small (depth log2(MAX_CHUNKS)).
-ROWS_PER_CHUNK = 1_000_000
-MAX_CHUNKS = 1024
-SAMPLE_PER_CHUNK = 64
-
-
-def _spark_order(v):
-    """Sort key matching Spark's ascending order: nulls first, NaN above all numbers."""
-    if v is None:
-        return (0, 0, 0)
-    if isinstance(v, float) and v != v:
-        return (1, 1, 0)
-    return (1, 0, v)
-
-
-def _sample_bounds(d: DataFrame, cols: list[str], n: int, sample_rows: int,
-                   total: int | None = None) -> list[tuple]:
-    """n-1 quantile bounds of the ``cols`` tuple from a sample of bounded size."""
-    if n <= 1:
-        return []
-    total = d.count() if total is None else total
-    if total == 0:
-        return []
-    frac = min(1.0, sample_rows / total)
-    rows = [tuple(r) for r in d.select(*cols).sample(False, frac, seed=17)
-            .limit(2 * sample_rows).collect()]
-    if not rows:
-        return []
-    rows.sort(key=lambda r: tuple(_spark_order(v) for v in r))
-    picked, last = [], None
-    for i in range(1, n):
-        b = rows[min(len(rows) - 1, (i * len(rows)) // n)]
-        if b != last:
-            picked.append(b)
-            last = b
-    return picked
-
-
-def _sql_literal(v, t) -> str:
-    """SQL text of a bound value as a literal of Spark type ``t``."""
-    ts = t.simpleString()
-    if v is None:
-        return f"CAST(NULL AS {ts})"
-    if isinstance(t, T.StringType):
-        # escape backslash and quote; "$" as \u0024 so SQL variable substitution
-        # (which runs before parsing) cannot touch a value such as "${x}"
-        txt = v.replace("\\", "\\\\").replace("'", "\\'").replace("$", "\\u0024")
-        return "'" + txt + "'"
-    if isinstance(t, T.BooleanType):
-        return "true" if v else "false"
-    if isinstance(t, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        return f"CAST({int(v)} AS {ts})"
-    if isinstance(t, (T.DoubleType, T.FloatType)):
-        if v != v:
-            txt = "NaN"
-        elif v in (float("inf"), float("-inf")):
-            txt = "Infinity" if v > 0 else "-Infinity"
-        else:
-            txt = repr(float(v))
-        return f"CAST('{txt}' AS {ts})"
-    if isinstance(t, T.DecimalType):
-        return f"CAST('{v}' AS {ts})"
-    raise TypeError(f"unsupported order column type {ts}")
-
-
-def _le_sql(cols: list[str], types: list, bound: tuple) -> str:
-    """(cols) <= bound in lexicographic order with nulls first, on primitive columns."""
-    expr = None
-    for c, t, v in reversed(list(zip(cols, types, bound))):
-        q = f"`{c}`"
-        if v is None:
-            lt, eq = "false", f"{q} IS NULL"
-        else:
-            lit = _sql_literal(v, t)
-            lt, eq = f"({q} IS NULL OR {q} < {lit})", f"{q} = {lit}"
-        expr = f"({lt} OR {eq})" if expr is None else f"({lt} OR ({eq} AND {expr}))"
-    return expr
-
-
-def _bucket_expr(cols: list[str], types: list, bounds: list[tuple]) -> F.Column:
-    """Index of the first bound >= row (len(bounds) if none), by binary search.
-
-    Built as one SQL expression (one call into the JVM) of primitive
-    comparisons, depth log2(len(bounds))."""
-    if not bounds:
-        return F.lit(0)
-
-    def build(lo: int, hi: int) -> str:  # answer in [lo, hi]
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return (f"CASE WHEN {_le_sql(cols, types, bounds[mid])} "
-                f"THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END")
-
-    return F.expr(build(0, len(bounds)))
+    d = df.withColumn("_bucket", bucket)
+    kinds = {v: d.agg(F.sum(v).alias(v)).schema[v].dataType for v in values}
+
+    def zero(c: Column, v: str) -> Column:
+        return F.coalesce(c, F.lit(0).cast(kinds[v]))
+    upto = (Window.partitionBy(key, "_bucket").orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = d.select("*", *[zero(F.sum(v).over(upto), v).alias(f"_in_{v}") for v in values])
+    sums = d.groupBy(F.col(key).alias("_key"), F.col("_bucket").alias("_at")).agg(
+        *[F.sum(v).alias(v) for v in values])
+    earlier = (Window.partitionBy("_key").orderBy("_at")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sums.select("_key", "_at", *[
+        zero(F.sum(v).over(earlier), v).alias(f"_before_{v}") for v in values])
+    both = local.join(offsets, local[key].eqNullSafe(offsets["_key"])
+                      & local["_bucket"].eqNullSafe(offsets["_at"]))
+    return both.select(*[local[c] for c in df.columns], *[
+        _plus(F.col(f"_in_{v}"), F.col(f"_before_{v}"), kinds[v]).alias(f"run_{v}")
+        for v in values])
+
+
+def time_bucket(time_col: str, width_us: int) -> Column:
+    return F.floor(F.unix_micros(F.col(time_col).cast("timestamp")) / F.lit(width_us))
+
+
+def running_points(rows: DataFrame, time_col: str, tie_col: str, width_us: int) -> DataFrame:
+    """Adds the parts of the running total of ``totalAmount`` per card (run_ + PARTS)."""
+    return running_total(rows.select("*", *money_parts("totalAmount")), CARD,
+                         [time_col, tie_col], list(PARTS), time_bucket(time_col, width_us))
 
 
 def loyalty_changelog(df: DataFrame, time_col: str = "event_time", tie_col: str = "k",
-                      prime_only: bool = True, chunks: int | None = None) -> DataFrame:
+                      prime_only: bool = True, bucket_us: int = BUCKET_US) -> DataFrame:
     """One notification per input invoice carrying the card's running total up to
     and including it (the changelog of the keyed aggregate)."""
     src = prime_filter(df) if prime_only else df
-    d, scale = with_earned(src)
-    d = d.select(CARD, "invoiceNumber", "totalAmount", "_earned", time_col, tie_col)
-    r = running_total(d, CARD, [time_col, tie_col], "_earned", "_total", chunks)
-    return r.select(
+    rows = src.select(CARD, "invoiceNumber", "totalAmount", time_col, tie_col)
+    return running_points(rows, time_col, tie_col, bucket_us).select(
         "invoiceNumber", CARD, "totalAmount",
-        fixed_to_double("_earned", scale).alias("earnedLoyaltyPoints"),
-        fixed_to_double("_total", scale).alias("totalLoyaltyPoints"),
+        earned_points().alias("earnedLoyaltyPoints"),
+        earned_points(total_of("run_")).alias("totalLoyaltyPoints"),
     )

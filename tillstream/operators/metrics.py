@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from tillstream.constants import MONEY_SCALE
-from tillstream.functions.money import money_sum, to_fixed
+from tillstream.functions.money import money_sum
 from tillstream.functions.predicates import is_home_delivery, is_prime
 
 
 def intake_exprs() -> list:
     return [
         F.count(F.lit(1)).alias("intake_rows"),
-        money_sum(to_fixed("totalAmount"), MONEY_SCALE).alias("intake_amount"),
+        money_sum("totalAmount").alias("intake_amount"),
         F.count(F.when(F.col("deliveryType").isNull(), 1)).alias("null_delivery_type"),
         F.count(F.when(F.col("customerType").isNull(), 1)).alias("null_customer_type"),
         F.count(F.when(is_home_delivery(), 1)).alias("home_deliveries"),

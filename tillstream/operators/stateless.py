@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.constants import LOYALTY_FACTOR, MONEY_SCALE
-from tillstream.functions.money import fixed_to_double, scaled, to_fixed
+from tillstream.constants import LOYALTY_FACTOR
 from tillstream.functions.predicates import is_home_delivery, is_prime
 from tillstream.schemas import HADOOP_COLUMNS
 
@@ -83,19 +82,18 @@ def mask_invoice(df: DataFrame) -> DataFrame:
                            .otherwise(addr)))
 
 
-def earned_points_fixed(amount_col: str = "totalAmount"):
-    """Earned points as a fixed-point BIGINT and its scale (amount × factor)."""
-    v, extra = scaled(to_fixed(amount_col, MONEY_SCALE), LOYALTY_FACTOR)
-    return v, MONEY_SCALE + extra
+def earned_points(amount="totalAmount"):
+    """Earned points: amount × factor, in DOUBLE arithmetic."""
+    x = F.col(amount) if isinstance(amount, str) else amount
+    return x * F.lit(float(LOYALTY_FACTOR))
 
 
 def notification(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Invoice -> loyalty notification; totalLoyaltyPoints is left unset (null)."""
-    e, scale = earned_points_fixed()
     return df.select(
         *keep,
         "invoiceNumber", "customerCardNo", "totalAmount",
-        fixed_to_double(e, scale).alias("earnedLoyaltyPoints"),
+        earned_points().alias("earnedLoyaltyPoints"),
         F.lit(None).cast("double").alias("totalLoyaltyPoints"),
     )
 

@@ -11,8 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.constants import MONEY_SCALE, WINDOW_ADVANCE_MINUTES, WINDOW_SIZE_MINUTES
-from tillstream.functions.money import money_sum, to_fixed
+from tillstream.constants import WINDOW_ADVANCE_MINUTES, WINDOW_SIZE_MINUTES
+from tillstream.functions.money import PARTS, money_parts, part_sums, total_of
 
 
 def rekey_by_store(df: DataFrame, store_col: str = "storeID") -> DataFrame:
@@ -51,11 +51,10 @@ def windowed_store_sales(df: DataFrame, size_minutes: int = WINDOW_SIZE_MINUTES,
     size, adv = f"{size_minutes} minutes", f"{advance_minutes} minutes"
     w = F.window(time_col, size) if size == adv else F.window(time_col, size, adv)
     agg = (df.select(w.alias("window"), F.col(store_col).alias(store_col),
-                     to_fixed(amount_col).alias("_cents"))
-           .groupBy("window", store_col)
-           .agg(money_sum("_cents", MONEY_SCALE).alias("_total")))
+                     *money_parts(amount_col))
+           .groupBy("window", store_col).agg(*part_sums()))
     return agg.select(*_window_frame(F.col("window.start"), F.col("window.end"), keep_window,
-                                     store_col, F.col("_total")))
+                                     store_col, total_of()))
 
 
 def _store_sales_panes(df, size_minutes, advance_minutes, time_col, store_col, amount_col,
@@ -65,23 +64,21 @@ def _store_sales_panes(df, size_minutes, advance_minutes, time_col, store_col, a
     rows = df.select(F.col(store_col).alias(store_col),
                      F.floor(F.unix_millis(F.col(time_col).cast("timestamp")) / F.lit(pane_ms))
                      .alias("_pane"),
-                     to_fixed(amount_col).alias("_cents"))
+                     *money_parts(amount_col))
     if n == 1:  # tumbling: a pane is a window, one aggregate
-        agg = (rows.groupBy(store_col, F.col("_pane").alias("_wpane"))
-               .agg(money_sum("_cents", MONEY_SCALE).alias("_total")))
+        agg = rows.groupBy(store_col, F.col("_pane").alias("_wpane")).agg(*part_sums())
         start = F.timestamp_millis(F.col("_wpane") * F.lit(pane_ms))
         end = F.timestamp_millis((F.col("_wpane") + F.lit(1)) * F.lit(pane_ms))
-        return agg.select(*_window_frame(start, end, keep_window, store_col, F.col("_total")))
-    panes = rows.groupBy(store_col, "_pane").agg(F.sum("_cents").alias("_cents"))
+        return agg.select(*_window_frame(start, end, keep_window, store_col, total_of()))
+    panes = rows.groupBy(store_col, "_pane").agg(*part_sums())
     # each pane belongs to the n windows starting at pane-n+1 .. pane
-    fanned = panes.select(store_col, "_cents",
+    fanned = panes.select(store_col, *PARTS,
                           F.explode(F.sequence(F.col("_pane") - F.lit(n - 1), F.col("_pane")))
                           .alias("_wpane"))
-    agg = (fanned.groupBy(store_col, "_wpane")
-           .agg(money_sum("_cents", MONEY_SCALE).alias("_total")))
+    agg = fanned.groupBy(store_col, "_wpane").agg(*part_sums())
     start = F.timestamp_millis(F.col("_wpane") * F.lit(pane_ms))
     end = F.timestamp_millis((F.col("_wpane") + F.lit(n)) * F.lit(pane_ms))
-    return agg.select(*_window_frame(start, end, keep_window, store_col, F.col("_total")))
+    return agg.select(*_window_frame(start, end, keep_window, store_col, total_of()))
 
 
 def hopping_store_sales(df: DataFrame, **kw) -> DataFrame:

@@ -39,6 +39,11 @@ def _headers(spark, sf_dir):
     return adapters.invoices(spark, sf_dir, lines=False)
 
 
+def _amounts(spark, sf_dir):
+    """Headers without line counts and addresses, for queries that read neither."""
+    return adapters.invoices(spark, sf_dir, lines=False, items=False, address=False)
+
+
 @in_utc
 def invoice_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_invoice(_headers(spark, sf_dir))
@@ -61,6 +66,12 @@ def hadoop_flatten(spark, sf_dir):
         _headers(spark, sf_dir), adapters.invoice_lines(spark, sf_dir), keep=("key",))
 
 
+@in_utc
+def hadoop_flatten_nested(spark, sf_dir):
+    """The same records from nested invoices, as the service makes them."""
+    return stateless.hadoop_records(adapters.invoices(spark, sf_dir), keep=("key",))
+
+
 @in_utc
 def mask_invoice(spark, sf_dir):
     return flat_invoice(stateless.mask_invoice(_headers(spark, sf_dir)))
@@ -68,37 +79,37 @@ def mask_invoice(spark, sf_dir):
 
 @in_utc
 def notification_projection(spark, sf_dir):
-    return stateless.notification(stateless.prime_filter(_headers(spark, sf_dir)),
+    return stateless.notification(stateless.prime_filter(_amounts(spark, sf_dir)),
                                   keep=("key",))
 
 
 @in_utc
 def rekey_by_store(spark, sf_dir):
-    return store_sales.rekey_by_store(_headers(spark, sf_dir)).select(
+    return store_sales.rekey_by_store(_amounts(spark, sf_dir)).select(
         "key", "invoiceNumber", "createdTime", "storeID", "totalAmount")
 
 
 @in_utc
 def intake_metrics(spark, sf_dir):
-    return metrics.intake_summary(_headers(spark, sf_dir))
+    return metrics.intake_summary(_amounts(spark, sf_dir))
 
 
 @in_utc
 def loyalty_latest(spark, sf_dir):
-    return loyalty.loyalty_latest(_headers(spark, sf_dir))
+    return loyalty.loyalty_latest(_amounts(spark, sf_dir))
 
 
 @in_utc
 def loyalty_reduce(spark, sf_dir):
     """Invoice -> notification (prime only) -> keyed reduce, as composed upstream."""
-    notes = stateless.notification(stateless.prime_filter(_headers(spark, sf_dir)),
+    notes = stateless.notification(stateless.prime_filter(_amounts(spark, sf_dir)),
                                    keep=("event_time", "k"))
     return loyalty.loyalty_reduce(notes)
 
 
 @in_utc
 def loyalty_changelog(spark, sf_dir):
-    return loyalty.loyalty_changelog(_headers(spark, sf_dir))
+    return loyalty.loyalty_changelog(_amounts(spark, sf_dir))
 
 
 @in_utc
@@ -147,33 +158,58 @@ def line_enrichment(spark, sf_dir):
         "l_orderkey", "l_linenumber", "itemCode", "itemDescription", "itemPrice", "itemQty")
 
 
+def _order_numbers(spark, sf_dir):
+    return read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("invoiceNumber"))
+
+
 @in_utc
 def line_totals(spark, sf_dir):
     """Line totals (price × qty) of every invoice's lines, on flat line rows."""
     lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir))
-    head = _headers(spark, sf_dir).select("k", "invoiceNumber")
-    j = lines.join(head, lines.l_orderkey == head.k)
+    j = lines.join(_order_numbers(spark, sf_dir), F.col("l_orderkey") == F.col("k"))
     return j.select("invoiceNumber", "itemCode", "itemPrice", "itemQty", "totalValue")
 
 
+@in_utc
+def line_totals_nested(spark, sf_dir):
+    """The same inside each invoice's array, then one row per element."""
+    inv = enrichment.recompute_item_totals(adapters.invoices(spark, sf_dir, address=False))
+    return inv.select("invoiceNumber", F.explode("invoiceLineItems").alias("li")).select(
+        "invoiceNumber", "li.itemCode", "li.itemPrice", "li.itemQty", "li.totalValue")
+
+
+def _with_header(inv, spark, sf_dir):
+    head = _amounts(spark, sf_dir).select("k", "invoiceNumber", "customerCardNo", "storeID",
+                                          "deliveryType")
+    return inv.join(head, F.col("l_orderkey") == F.col("k"))
+
+
 @in_utc
 def invoice_assembly(spark, sf_dir):
+    """Lines folded into invoices; the sorted item array as JSON text."""
     # fold on the numeric order key (cheaper to hash than the text number)
     lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir))
     inv = enrichment.assemble_invoices(lines, invoice_col="l_orderkey")
-    head = _headers(spark, sf_dir).select("k", "invoiceNumber", "customerCardNo", "storeID",
-                                          "deliveryType")
-    j = inv.join(head, inv.l_orderkey == head.k)
-    return j.select("invoiceNumber", "customerCardNo", "storeID", "deliveryType",
-                    "numberOfItems", F.size("invoiceLineItems").alias("itemArraySize"),
-                    "totalAmount", "taxableAmount", "cgst", "sgst", "cess")
+    return _with_header(inv, spark, sf_dir).select(
+        "invoiceNumber", "customerCardNo", "storeID", "deliveryType", "numberOfItems",
+        F.to_json("invoiceLineItems").alias("items"),
+        "totalAmount", "taxableAmount", "cgst", "sgst", "cess")
+
+
+@in_utc
+def invoice_totals(spark, sf_dir):
+    """The scalar part: item count, total and taxes, without building arrays."""
+    lines = enrichment.with_line_totals(adapters.invoice_lines(spark, sf_dir))
+    inv = enrichment.invoice_totals(lines, invoice_col="l_orderkey")
+    return _with_header(inv, spark, sf_dir).select(
+        "invoiceNumber", "customerCardNo", "storeID", "deliveryType", "numberOfItems",
+        "totalAmount", "taxableAmount", "cgst", "sgst", "cess")
 
 
 @in_utc
 def address_enrichment(spark, sf_dir):
-    raw = _headers(spark, sf_dir).withColumn("deliveryAddress", F.lit(None).cast(
-        "struct<addressLine:string,city:string,state:string,pinCode:string,"
-        "contactNumber:string>"))
+    raw = adapters.invoices(spark, sf_dir, lines=False, address=False)
     addr = adapters.customer_addresses(spark, sf_dir)
     return flat_invoice(enrichment.attach_address(raw, addr, on="customerCardNo"))
 
@@ -183,6 +219,7 @@ BATCH_QUERIES = {
     "shipment_filter": shipment_filter,
     "prime_filter": prime_filter,
     "hadoop_flatten": hadoop_flatten,
+    "hadoop_flatten_nested": hadoop_flatten_nested,
     "mask_invoice": mask_invoice,
     "notification_projection": notification_projection,
     "rekey_by_store": rekey_by_store,
@@ -196,6 +233,8 @@ BATCH_QUERIES = {
     "store_sales_final_batch": store_sales_final_batch,
     "line_enrichment": line_enrichment,
     "line_totals": line_totals,
+    "line_totals_nested": line_totals_nested,
     "invoice_assembly": invoice_assembly,
+    "invoice_totals": invoice_totals,
     "address_enrichment": address_enrichment,
 }

@@ -1,6 +1,6 @@
 """Registered streaming queries. Each runs a bounded (availableNow) stream over
-the table files into the shared checkpoint folder and returns a batch
-DataFrame over what the stream wrote."""
+a whole table, most of them in several micro-batches, into the shared checkpoint
+folder and returns a batch DataFrame over what the stream wrote."""
 
 from __future__ import annotations
 
@@ -16,10 +16,14 @@ from tillstream.session import scratch_path
 from tillstream.sources import adapters
 from tillstream.sources.codec import decode_json, encode_json
 from tillstream.streaming import jobs
-from tillstream.streaming.loyalty_state import (OUTPUT_SCHEMA, loyalty_stateful_writer,
-                                                loyalty_tagged)
+from tillstream.sources.tables import read_table, table_schema
+from tillstream.streaming.loyalty_state import (OUTPUT_SCHEMA, loyalty_rows,
+                                                loyalty_stateful_writer)
 from tillstream.streaming.sinks import batch_dir_writer, last_emission, read_batches, run_bounded
 
+#: Parts of a table that become micro-batches.
+PARTS_OF_TABLE = 4
+
 STORE_OUT = T.StructType([
     T.StructField("window_start", T.TimestampNTZType()),
     T.StructField("window_end", T.TimestampNTZType()),
@@ -28,47 +32,106 @@ STORE_OUT = T.StructType([
 ])
 
 
-def _run(spark, stream_df, mode, name, schema):
+def _parts(spark, sf_dir: str, table: str, order: str, n: int = PARTS_OF_TABLE) -> list[DataFrame]:
+    """The whole table cut into ``n`` parts by a time column: quantiles, so of about equal size."""
+    df = read_table(spark, sf_dir, table)
+    at = F.unix_micros(F.col(order).cast("timestamp"))
+    cuts = df.select(at.cast("double").alias("t")).approxQuantile(
+        "t", [i / n for i in range(1, n)], 0.01)
+    part = sum(((at > c).cast("int") for c in cuts), F.lit(0))
+    return [df.filter(part == i) for i in range(n)]
+
+
+def _replay(parts: list[DataFrame], name: str, schema, job, mode: str, sink=None):
+    """Run ``job`` over the parts of a table, one part for each micro-batch.
+
+    Each part is appended to the stream's folder and the query is started anew on
+    its checkpoint, so every batch after the first continues from stored state.
+    Returns what was written, by batch.
+    """
+    spark = parts[0].sparkSession
     root = scratch_path(spark, name)
-    run_bounded(stream_df, f"{root}/checkpoint", mode, batch_dir_writer(f"{root}/out"))
+    sink = sink(root) if sink else batch_dir_writer(f"{root}/out")
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(parts[0].schema).parquet(f"{root}/in")
+        run_bounded(job(stream), f"{root}/checkpoint", mode, sink)
     return read_batches(spark, f"{root}/out", schema)
 
 
+def _loyalty_job(spark, sf_dir):
+    return lambda orders: jobs.loyalty_updates(adapters.invoices(
+        spark, sf_dir, lines=False, items=False, address=False, orders=orders))
+
+
+def _sales_job(spark, sf_dir):
+    return lambda events: jobs.store_sales_stream(adapters.store_events(spark, sf_dir, events))
+
+
 @in_utc
 def loyalty_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Update-mode keyed aggregate; final state = last emission per card."""
-    inv = adapters.invoices(spark, sf_dir, lines=False, stream=True, items=False)
-    out = _run(spark, jobs.loyalty_updates(inv), "update", "loyalty-update", NOTIFICATION)
+    """Update-mode keyed aggregate over four parts of the orders, one file per trigger;
+    final state = last emission per card."""
+    root = scratch_path(spark, "loyalty-update")
+    for part in _parts(spark, sf_dir, "orders", "o_orderdate"):
+        part.write.mode("append").parquet(f"{root}/in")
+    orders = (spark.readStream.schema(table_schema(spark, sf_dir, "orders"))
+              .option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism)
+              .parquet(f"{root}/in"))
+    run_bounded(_loyalty_job(spark, sf_dir)(orders), f"{root}/checkpoint", "update",
+                batch_dir_writer(f"{root}/out"))
+    out = read_batches(spark, f"{root}/out", NOTIFICATION)
+    return last_emission(out, ["customerCardNo"]).select(*NOTIFICATION.fieldNames())
+
+
+@in_utc
+def loyalty_restart(spark, sf_dir):
+    """The same, stopped and resumed from its checkpoint after every part."""
+    out = _replay(_parts(spark, sf_dir, "orders", "o_orderdate"), "loyalty-restart", NOTIFICATION,
+                  _loyalty_job(spark, sf_dir), "update")
     return last_emission(out, ["customerCardNo"]).select(*NOTIFICATION.fieldNames())
 
 
 @in_utc
 def loyalty_stateful(spark, sf_dir):
-    """Per-record stateful processor: one notification per prime invoice."""
-    inv = adapters.invoices(spark, sf_dir, lines=False, stream=True, items=False)
-    tagged, scale = loyalty_tagged(inv)
-    root = scratch_path(spark, "loyalty-stateful")
-    run_bounded(tagged, f"{root}/checkpoint", "append",
-                loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), scale))
-    return read_batches(spark, f"{root}/out", OUTPUT_SCHEMA).drop("batch_id")
+    """Per-record processor over four parts: one notification per prime invoice."""
+    def job(orders):
+        return loyalty_rows(adapters.invoices(spark, sf_dir, lines=False, items=False,
+                                              address=False, orders=orders))
+    out = _replay(_parts(spark, sf_dir, "orders", "o_orderdate"), "loyalty-stateful",
+                  OUTPUT_SCHEMA, job, "append",
+                  lambda root: loyalty_stateful_writer(batch_dir_writer(f"{root}/out"),
+                                                       f"{root}/totals", every=2))
+    return out.drop("batch_id")
 
 
 @in_utc
 def store_sales_stream_update(spark, sf_dir):
-    """Update-mode hopping windows; final state = last emission per (window, store)."""
-    ev = adapters.store_events(spark, sf_dir, stream=True)
-    out = _run(spark, jobs.store_sales_stream(ev), "update", "store-sales-update", STORE_OUT)
+    """Update-mode hopping windows over four parts by time; last emission per (window, store)."""
+    out = _replay(_parts(spark, sf_dir, "events", "ts"), "store-sales-update", STORE_OUT,
+                  _sales_job(spark, sf_dir), "update")
     return last_emission(out, ["window_start", "window_end", "storeID"])
 
 
 @in_utc
 def store_sales_final_only(spark, sf_dir):
     """Append mode with a watermark: each window once, when it has closed."""
-    ev = adapters.store_events(spark, sf_dir, stream=True)
-    out = _run(spark, jobs.store_sales_stream(ev), "append", "store-sales-final", STORE_OUT)
+    out = _replay(_parts(spark, sf_dir, "events", "ts"), "store-sales-final", STORE_OUT,
+                  _sales_job(spark, sf_dir), "append")
     return out.drop("batch_id")
 
 
+@in_utc
+def store_sales_late(spark, sf_dir):
+    """Grace: parts by event id, so that later parts hold late events; each is added to the
+    windows that end after the watermark of the parts before, and to no other."""
+    events = read_table(spark, sf_dir, "events")
+    parts = [events.filter(F.pmod("event_id", F.lit(PARTS_OF_TABLE)) == i)
+             for i in range(PARTS_OF_TABLE)]
+    out = _replay(parts, "store-sales-late", STORE_OUT, _sales_job(spark, sf_dir), "update")
+    return last_emission(out, ["window_start", "window_end", "storeID"])
+
+
 @in_utc
 def invoice_decode_json(spark, sf_dir):
     """Invoices encoded as (key, JSON value) and decoded back with the declared schema."""
@@ -82,7 +145,8 @@ def invoice_decode_json(spark, sf_dir):
 def loyalty_encode_json(spark, sf_dir):
     """Loyalty notifications (changelog) as Kafka-shaped (key, value JSON) rows."""
     from tillstream.operators.loyalty import loyalty_changelog
-    n = loyalty_changelog(adapters.invoices(spark, sf_dir, lines=False, items=False))
+    n = loyalty_changelog(adapters.invoices(spark, sf_dir, lines=False, items=False,
+                                             address=False))
     return encode_json(n.withColumn("key", F.col("customerCardNo")),
                        NOTIFICATION.fieldNames())
 
@@ -107,12 +171,48 @@ def fanout_counts(spark, sf_dir):
     return out
 
 
+def _fanout_output(spark, sf_dir, name: str) -> DataFrame:
+    """The rows that the fan-out over the order stream writes to one output."""
+    inv = adapters.invoices(spark, sf_dir, lines=True, stream=True)
+    paths = run_fanout(inv, scratch_path(spark, f"fanout-{name}"), outputs=(name,))
+    return spark.read.parquet(paths.out(name))
+
+
+@in_utc
+def fanout_shipment(spark, sf_dir):
+    rows = _fanout_output(spark, sf_dir, SHIPMENT_OUTPUT)
+    return flat_invoice(rows)
+
+
+@in_utc
+def fanout_hadoop(spark, sf_dir):
+    return _fanout_output(spark, sf_dir, HADOOP_OUTPUT).drop("batch_id")
+
+
+@in_utc
+def fanout_loyalty(spark, sf_dir):
+    out = last_emission(_fanout_output(spark, sf_dir, LOYALTY_OUTPUT), ["customerCardNo"])
+    return out.select(*NOTIFICATION.fieldNames())
+
+
+@in_utc
+def fanout_store_sales(spark, sf_dir):
+    return last_emission(_fanout_output(spark, sf_dir, STORE_SALES_OUTPUT),
+                         ["window_start", "window_end", "storeID"])
+
+
 STREAM_QUERIES = {
     "loyalty_stream_update": loyalty_stream_update,
+    "loyalty_restart": loyalty_restart,
     "loyalty_stateful": loyalty_stateful,
     "store_sales_stream_update": store_sales_stream_update,
     "store_sales_final_only": store_sales_final_only,
+    "store_sales_late": store_sales_late,
     "invoice_decode_json": invoice_decode_json,
     "loyalty_encode_json": loyalty_encode_json,
     "fanout_counts": fanout_counts,
+    "fanout_shipment": fanout_shipment,
+    "fanout_hadoop": fanout_hadoop,
+    "fanout_loyalty": fanout_loyalty,
+    "fanout_store_sales": fanout_store_sales,
 }

@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings this library relies on; AQE re-plans joins/aggregates at runtime and
 # splits skewed join partitions.
@@ -20,8 +20,7 @@ RECOMMENDED_CONF = {
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # checkpointed intermediate DataFrames (one per running-total call, also per
-    # micro-batch of the stateful loyalty stream) are deleted once unreferenced
+    # checkpointed intermediate DataFrames are deleted once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -69,8 +68,9 @@ def utc(spark: SparkSession):
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a folder under the system temp dir is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``. When it is unset, a local session
+    (tests) gets a folder under the system temp dir; on a cluster, whose executors
+    would not share that, this raises.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -78,6 +78,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
             "spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tillstream-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -87,9 +89,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -13,9 +13,8 @@ from tillstream.constants import CESS_RATE, CGST_RATE, HOME_DELIVERY, PRIME, SGS
 from tillstream.functions.predicates import is_home_delivery
 from tillstream.functions.time import event_time_from_millis, millis_of
 from tillstream.operators.enrichment import enrich_lines
-from tillstream.operators.joins import broadcast_if_small
 from tillstream.operators.stateless import key_by
-from tillstream.schemas import LINE_ITEM
+from tillstream.schemas import DELIVERY_ADDRESS, LINE_ITEM
 from tillstream.sources.tables import read_table, stream_table
 
 # Fixed mapping of the test tables onto invoice vocabularies.
@@ -26,14 +25,16 @@ NON_PRIME = "NONPRIME"
 STORE_COUNT_EVENTS = 10
 
 
-def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer ⋈ nation ⋈ region; the two small sides are broadcast after a size check."""
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey, "left")
+def _customers(spark: SparkSession, sf_dir: str, places: bool = True) -> DataFrame:
+    """customer, and with ``places`` the names of its nation and region."""
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return cust.join(broadcast_if_small(geo), cust.c_nationkey == geo.n_nationkey, "left")
+    if not places:
+        return cust
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+    return cust.join(geo, cust.c_nationkey == geo.n_nationkey, "left")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +73,9 @@ def _line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("int").alias("_n_lines")))
 
 
-def invoice_headers(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Header columns of the invoice plus ``k`` (order key) and ``event_time``."""
+def invoice_headers(orders: DataFrame, customers: DataFrame, address: bool = True) -> DataFrame:
+    """Header columns of the invoice plus ``k`` (order key) and ``event_time``;
+    without ``address`` the delivery address is null."""
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     j = o.join(customers, o.o_custkey == customers.c_custkey, "left")
     status = F.col("o_orderstatus")
@@ -101,31 +103,36 @@ def invoice_headers(orders: DataFrame, customers: DataFrame) -> DataFrame:
         F.when(F.col("c_mktsegment").isin(*PRIME_SEGMENTS), PRIME)
          .otherwise(NON_PRIME).alias("customerType"),
         delivery.alias("deliveryType"),
-        F.when(is_home_delivery(delivery), F.struct(
+        (F.when(is_home_delivery(delivery), F.struct(
             F.col("c_name").alias("addressLine"),
             F.col("n_name").alias("city"),
             F.col("r_name").alias("state"),
             F.lpad(F.col("c_nationkey").cast("string"), 6, "0").alias("pinCode"),
             F.col("c_custkey").cast("string").alias("contactNumber"),
-        )).alias("deliveryAddress"),
+        )) if address else F.lit(None).cast(DELIVERY_ADDRESS)).alias("deliveryAddress"),
     )
 
 
 def invoices(spark: SparkSession, sf_dir: str, lines: bool = True,
-             stream: bool = False, items: bool = True) -> DataFrame:
+             stream: bool = False, items: bool = True, address: bool = True,
+             orders: DataFrame | None = None) -> DataFrame:
     """Invoice DataFrame (PosInvoice columns + ``key``, ``k``, ``event_time``).
 
     ``lines=False`` skips building the line array (only ``numberOfItems`` is
     computed), which is all the header-only operators need. ``stream=True``
     reads ``orders`` as a file stream; ``items=False`` (header-only) leaves
-    numberOfItems null instead of joining line counts.
+    numberOfItems null instead of joining line counts; ``address=False``
+    leaves deliveryAddress null instead of joining nation and region.
+    ``orders`` replaces the table (e.g. by a stream of parts of it).
 
     Streaming reads join the static tables (customers, line arrays) in every
     micro-batch, which suits the bounded test runs this adapter serves; a live
     service receives whole invoices as messages (``invoices_from_messages``).
     """
-    orders = stream_table(spark, sf_dir, "orders") if stream else read_table(spark, sf_dir, "orders")
-    h = invoice_headers(orders, _customers(spark, sf_dir))
+    if orders is None:
+        orders = (stream_table(spark, sf_dir, "orders") if stream
+                  else read_table(spark, sf_dir, "orders"))
+    h = invoice_headers(orders, _customers(spark, sf_dir, places=address), address)
     if lines:
         nl = _nested_lines(spark, sf_dir)
         h = h.join(nl, h.k == nl.l_orderkey, "left").withColumn(
@@ -148,9 +155,10 @@ def invoices(spark: SparkSession, sf_dir: str, lines: bool = True,
     return key_by(h, "customerCardNo").select("key", *cols, "k", "event_time")
 
 
-def store_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    """events as store-sale records: storeID, totalAmount, event_time, k."""
-    ev = stream_table(spark, sf_dir, "events") if stream else read_table(spark, sf_dir, "events")
+def store_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """events as store-sale records: storeID, totalAmount, event_time, k.
+    ``events`` replaces the table (e.g. by a stream of parts of it)."""
+    ev = read_table(spark, sf_dir, "events") if events is None else events
     return ev.select(
         F.concat(F.lit("STR"), (F.col("user_id") % STORE_COUNT_EVENTS).cast("string")).alias("storeID"),
         F.col("value").alias("totalAmount"),
@@ -182,7 +190,7 @@ def invoices_from_messages(messages: DataFrame, value_format: str = "json",
     (as ``kafka_stream`` provides); ``event_time="createdTime"`` uses the
     invoice's own epoch-millis field;
     ``"timestamp"`` uses the record (broker) time. The tie key ``k`` is the
-    record offset when present, else the invoice number's hash.
+    record's (partition, offset) when present, else the invoice number's hash.
     """
     from tillstream.schemas import POS_INVOICE
     from tillstream.sources.codec import decode_avro, decode_avro_key, decode_json
@@ -199,7 +207,8 @@ def invoices_from_messages(messages: DataFrame, value_format: str = "json",
         ts = F.col("timestamp").cast("timestamp")
     else:
         ts = event_time_from_millis(event_time)
-    tie = F.col("offset") if "offset" in keep else F.xxhash64("invoiceNumber")
+    arrived = {"partition", "offset"} <= set(keep)
+    tie = F.struct("partition", "offset") if arrived else F.xxhash64("invoiceNumber")
     inv = inv.withColumn("event_time", ts).withColumn("k", tie)
     if "key" not in inv.columns:
         inv = key_by(inv, "customerCardNo")

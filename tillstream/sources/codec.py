@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 # A schema-registry framed Avro value starts with 1 magic byte and a 4-byte id.
@@ -69,19 +69,35 @@ def decode_avro(df: DataFrame, schema_json: str, value_col: str = "value",
     return df.select(*keep, from_avro(v, schema_json).alias("_r")).select(*keep, "_r.*")
 
 
+def registry_frame(payload: Column, schema_id: int) -> Column:
+    """Binary payload -> magic byte 0, the schema id in four bytes (big-endian), payload."""
+    if not 0 <= schema_id < 1 << 32:
+        raise ValueError("a schema id has four bytes")
+    header = F.unhex(F.lit(f"00{schema_id:08X}"))
+    return F.concat(header, payload)
+
+
 def encode_avro(df: DataFrame, value_cols: list[str] | None = None,
-                key_col: str | None = "key", schema_json: str | None = None) -> DataFrame:
-    """Rows -> (key, Avro value) without registry framing. Requires spark-avro.
+                key_col: str | None = "key", schema_json: str | None = None,
+                schema_id: int | None = None, key_schema_id: int | None = None) -> DataFrame:
+    """Rows -> (key, Avro value). Requires spark-avro.
 
-    Pass the same ``schema_json`` the readers use (e.g. from
+    With ``schema_id`` the value gets the registry header that ``decode_avro``
+    skips; with ``key_schema_id`` the key is a framed Avro ``MessageKey`` record,
+    else text. Pass the same ``schema_json`` the readers use (e.g. from
     ``avro_schema_json``); without it Spark derives one whose unions list the
     type before null."""
     from pyspark.sql.avro.functions import to_avro
+    from tillstream.schemas import MESSAGE_KEY
     cols = value_cols or [c for c in df.columns if c != key_col]
     v = to_avro(F.struct(*cols), schema_json) if schema_json else to_avro(F.struct(*cols))
-    out = [v.alias("value")]
+    out = [(v if schema_id is None else registry_frame(v, schema_id)).alias("value")]
     if key_col:
-        out.insert(0, F.col(key_col).cast("string").alias("key"))
+        key = F.col(key_col).cast("string")
+        if key_schema_id is not None:
+            record = to_avro(F.struct(key.alias("key")), avro_schema_json(MESSAGE_KEY, "MessageKey"))
+            key = registry_frame(record, key_schema_id)
+        out.insert(0, key.alias("key"))
     return df.select(*out)
 
 

@@ -53,30 +53,30 @@ def kafka_partition_batch(spark: SparkSession, servers: str, topic: str, partiti
             .withColumn("key", F.col("key").cast("string")))
 
 
-def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str,
-             output_mode: str = "append", trigger_seconds: float = 1.0):
-    """Start a streaming write of (key, value) rows to a topic with acks=all."""
-    return (df.selectExpr("CAST(key AS STRING) AS key", "value")
-            .writeStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("kafka.acks", "all")
-            .option("topic", topic)
-            .option("checkpointLocation", checkpoint)
-            .outputMode(output_mode)
-            .trigger(processingTime=f"{trigger_seconds} seconds")
-            .start())
-
-
 def kafka_batch_writer(servers: str, topic: str, key_col: str = "key",
-                       value_cols: list[str] | None = None):
-    """foreachBatch function producing a batch's rows as JSON values to a topic (acks=all)."""
-    from tillstream.sources.codec import encode_json
+                       value_cols: list[str] | None = None, value_format: str = "json",
+                       schema_id: int | None = None, key_schema_id: int | None = None,
+                       options: dict | None = None):
+    """foreachBatch function producing a batch's rows to a topic (acks=all).
+
+    Values are JSON, or registry-framed Avro (``value_format="avro"`` with the
+    registry's ``schema_id``, and ``key_schema_id`` for framed keys)."""
+    from tillstream.sources.codec import encode_avro, encode_json
 
     def write(batch: DataFrame, batch_id: int):
-        (encode_json(batch, value_cols, key_col)
-         .write.format("kafka")
-         .option("kafka.bootstrap.servers", servers)
-         .option("kafka.acks", "all")
-         .option("topic", topic)
-         .save())
+        if value_format == "avro":
+            out = encode_avro(batch, value_cols, key_col, schema_id=schema_id,
+                              key_schema_id=key_schema_id)
+        else:
+            out = encode_json(batch, value_cols, key_col)
+        w = out.write.format("kafka")
+        for k, v in sink_options(servers, topic, options).items():
+            w = w.option(k, v)
+        w.save()
     return write
+
+
+def sink_options(servers: str, topic: str, options: dict | None = None) -> dict:
+    """Producer options: acks=all unless ``options`` says otherwise."""
+    return {"kafka.bootstrap.servers": servers, "kafka.acks": "all", "topic": topic,
+            **(options or {})}

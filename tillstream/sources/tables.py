@@ -13,22 +13,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Table schemas already read in this process (footer reads are the main fixed
-# cost of building a query over small tables).
-_SCHEMAS: dict = {}
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def table_schema(spark: SparkSession, sf_dir: str, name: str):
-    key = (spark.sparkContext.applicationId, table_path(sf_dir, name))
-    if key not in _SCHEMAS:
-        _SCHEMAS[key] = spark.read.parquet(key[1]).schema
-    return _SCHEMAS[key]
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table with its (remembered) schema: no schema inference per build."""
-    path = table_path(sf_dir, name)
-    return spark.read.schema(table_schema(spark, sf_dir, name)).parquet(path)
+    return read_table(spark, sf_dir, name).schema
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,

@@ -18,9 +18,13 @@ from tillstream.operators.loyalty import loyalty_latest
 from tillstream.operators.store_sales import windowed_store_sales
 
 
-def loyalty_updates(invoices: DataFrame, time_col: str = "event_time", tie_col: str = "k",
-                    prime_only: bool = True) -> DataFrame:
-    """The keyed aggregate on a stream; run it in update mode for the changelog."""
+def loyalty_updates(invoices: DataFrame, time_col: str | None = "event_time",
+                    tie_col: str = "k", prime_only: bool = True) -> DataFrame:
+    """The keyed aggregate on a stream; run it in update mode for the changelog.
+
+    With ``time_col=None`` the latest invoice is the last to arrive, if the tie
+    key is the record's (partition, offset): a card's records share a partition.
+    """
     return loyalty_latest(invoices, time_col, tie_col, prime_only)
 
 

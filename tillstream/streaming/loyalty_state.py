@@ -1,110 +1,103 @@
-"""Per-record loyalty processing: read the card's total, add, write, emit.
-
-One notification per input invoice, carrying the card's running total. Split
-in two so that no card's rows are ever gathered in memory:
-
-1. a stateful pass-through (``transformWithStateInPandas``) keeps one BIGINT
-   per card (points × 10^4, RocksDB state under the checkpoint). For each
-   micro-batch it tags every row of the card with the total *before* the
-   batch, streams the rows on in Arrow-batch chunks and stores the new total;
-2. in ``foreachBatch`` the running total inside the micro-batch, in (event
-   time, tie key) order, comes from the skew-safe batch ``running_total`` and
-   is added to the prior total.
-
-Rows of one micro-batch are thus ordered by event time; rows arriving in a
-later batch are added after everything earlier (arrival order), as a per-record
-processor would.
+"""Per-record loyalty processing: one notification per input invoice, carrying
+the card's running total over everything that arrived before it.
+
+The stream itself is stateless; ``foreachBatch`` keeps the totals as a table:
+
+* the micro-batch's sums per card (aggregated map-side: a hot card is one row)
+  are written to ``sums/batch_id=N``; a replayed batch replaces its own file;
+* the totals before the batch are the latest compacted table plus the sums of
+  the batches since, read for the batch's cards only;
+* the running total inside the batch, in (event time, tie key) order, comes from
+  the skew-safe batch ``running_total``, on the JVM.
+
+Rows of one micro-batch are thus ordered by event time; rows of a later batch
+are added after everything earlier (arrival order), as a per-record processor
+would. The totals live below the query's checkpoint and survive a restart.
 """
 
 from __future__ import annotations
 
-import sys
-from typing import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from tillstream.functions.money import fixed_to_double
-from tillstream.operators.loyalty import CARD, running_total, with_earned
-from tillstream.operators.stateless import prime_filter
-
-# The processor is pickled by value, so Python workers (and the driver-side
-# runner that reads the processor) need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-STATE_SCHEMA = T.StructType([T.StructField("total", T.LongType(), True)])
-# pandas sees names starting with "_" renamed, so plain names are used here
-TAGGED_SCHEMA = T.StructType([
-    T.StructField(CARD, T.StringType()),
-    T.StructField("invoiceNumber", T.StringType()),
-    T.StructField("totalAmount", T.DoubleType()),
-    T.StructField("earned_fixed", T.LongType()),
-    T.StructField("event_us", T.LongType()),
-    T.StructField("tie", T.LongType()),
-    T.StructField("prior_fixed", T.LongType()),
-])
-OUTPUT_SCHEMA = T.StructType([
-    T.StructField("invoiceNumber", T.StringType()),
-    T.StructField("customerCardNo", T.StringType()),
-    T.StructField("totalAmount", T.DoubleType()),
-    T.StructField("earnedLoyaltyPoints", T.DoubleType()),
-    T.StructField("totalLoyaltyPoints", T.DoubleType()),
-])
-TAGGED_COLS = [f.name for f in TAGGED_SCHEMA.fields]
-
-
-class PriorTotalProcessor(StatefulProcessor):
-    """Tags rows with the card's total before this micro-batch; adds the batch's sum."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("rewards-store", STATE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.total.get()  # None when the card has no state yet (one state call)
-        prior = (held[0] or 0) if held else 0
-        added = 0
-        for pdf in rows:
-            added += int(pdf["earned_fixed"].fillna(0).astype("int64").sum())
-            out = pdf.reindex(columns=TAGGED_COLS)
-            for c in ("earned_fixed", "event_us", "tie"):
-                out[c] = out[c].astype("Int64")  # nullable: a null amount stays null
-            out["prior_fixed"] = prior
-            yield out
-        self.total.update((prior + added,))
-
-    def close(self) -> None:
-        pass
-
-
-def loyalty_tagged(invoices: DataFrame, time_col: str = "event_time", tie_col: str = "k",
-                   prime_only: bool = True) -> tuple[DataFrame, int]:
-    """Stream of invoices -> rows tagged with the card's prior total (stateful part).
-    Returns the DataFrame and the fixed-point scale of the points columns."""
+
+from tillstream.functions.money import PARTS, money_parts, part_sums, total_of
+from tillstream.operators.loyalty import BATCH_BUCKET_US, CARD, _plus, running_points
+from tillstream.operators.stateless import earned_points, prime_filter
+from tillstream.schemas import NOTIFICATION as OUTPUT_SCHEMA
+
+#: The sums of this many batches are merged into one table.
+COMPACT_EVERY = 20
+
+SUMS_SCHEMA = T.StructType([
+    T.StructField(CARD, T.StringType()), T.StructField("_hi", T.LongType()),
+    T.StructField("_lo", T.LongType()), T.StructField("_dec", T.DecimalType(38, 12)),
+    T.StructField("_rest", T.DoubleType())])
+
+
+def loyalty_rows(invoices: DataFrame, time_col: str = "event_time", tie_col: str = "k",
+                 prime_only: bool = True) -> DataFrame:
+    """The columns of the invoices that the processor needs."""
     src = prime_filter(invoices) if prime_only else invoices
-    d, scale = with_earned(src)
-    d = d.select(CARD, "invoiceNumber", "totalAmount", F.col("_earned").alias("earned_fixed"),
-                 F.unix_micros(F.col(time_col).cast("timestamp")).alias("event_us"),
-                 F.col(tie_col).alias("tie"))
-    tagged = d.groupBy(CARD).transformWithStateInPandas(
-        PriorTotalProcessor(), TAGGED_SCHEMA, "Append", "None")
-    return tagged, scale
-
-
-def notifications_of_batch(tagged: DataFrame, scale: int) -> DataFrame:
-    """Batch step: prior total + running total inside the batch (skew safe)."""
-    r = running_total(tagged, CARD, ["event_us", "tie"], "earned_fixed", "_run")
-    return r.select(
-        "invoiceNumber", CARD, "totalAmount",
-        fixed_to_double("earned_fixed", scale).alias("earnedLoyaltyPoints"),
-        fixed_to_double(F.col("prior_fixed") + F.col("_run"), scale).alias("totalLoyaltyPoints"),
-    )
-
-
-def loyalty_stateful_writer(write, scale: int):
-    """Wrap a foreachBatch function so it receives finished notifications."""
+    return src.select(CARD, "invoiceNumber", "totalAmount",
+                      F.col(time_col).cast("timestamp").alias("event_time"),
+                      F.col(tie_col).alias("tie"))
+
+
+def _totals_before(spark: SparkSession, path: str, batch_id: int, every: int) -> DataFrame:
+    """Sums per card of all batches before ``batch_id``, not yet added up."""
+    base = batch_id // every * every
+    paths = [f"{path}/base/upto={base}"] if base else []
+    paths += [f"{path}/sums/batch_id={i}" for i in range(base, batch_id)]
+    if not paths:
+        return spark.createDataFrame([], SUMS_SCHEMA)
+    return spark.read.schema(SUMS_SCHEMA).parquet(*paths)
+
+
+def notifications_of_batch(rows: DataFrame, path: str, batch_id: int,
+                           every: int = COMPACT_EVERY) -> DataFrame:
+    """Prior total plus running total inside the batch; the batch's sums are stored first."""
+    spark = rows.sparkSession
+    own = f"{path}/sums/batch_id={batch_id}"
+    (rows.select(CARD, *money_parts("totalAmount")).groupBy(CARD).agg(*part_sums())
+     .write.mode("overwrite").parquet(own))
+    cards = spark.read.schema(SUMS_SCHEMA).parquet(own).select(F.col(CARD).alias("_c"))
+    before = _totals_before(spark, path, batch_id, every)
+    prior = before.join(cards, before[CARD].eqNullSafe(cards["_c"]), "left_semi").groupBy(
+        F.col(CARD).alias("_card")).agg(*part_sums())
+    prior = prior.select("_card", *[F.col(p).alias(f"prior{p}") for p in PARTS])
+    run = running_points(rows, "event_time", "tie", BATCH_BUCKET_US)
+    both = run.join(prior, run[CARD].eqNullSafe(prior["_card"]), "left")
+    kinds = {f.name: f.dataType for f in SUMS_SCHEMA}
+
+    def added(p: str):
+        zero = F.lit(0).cast(kinds[p])
+        return _plus(F.coalesce(f"run_{p}", zero), F.coalesce(f"prior{p}", zero), kinds[p])
+    return both.select("invoiceNumber", CARD, "totalAmount",
+                       *[added(p).alias(f"sum{p}") for p in PARTS]).select(
+        "invoiceNumber", CARD, "totalAmount", earned_points().alias("earnedLoyaltyPoints"),
+        earned_points(total_of("sum")).alias("totalLoyaltyPoints"))
+
+
+def loyalty_stateful_writer(write, path: str, every: int = COMPACT_EVERY):
+    """Wrap a foreachBatch function so it receives finished notifications.
+
+    ``path`` holds the totals; keep it below the query's checkpoint.
+    """
     def run(batch: DataFrame, batch_id: int):
-        write(notifications_of_batch(batch, scale), batch_id)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write(notifications_of_batch(batch, path, batch_id, every), batch_id)
+            if (batch_id + 1) % every == 0:
+                upto = batch_id + 1
+                before = _totals_before(batch.sparkSession, path, batch_id, every)
+                own = batch.sparkSession.read.schema(SUMS_SCHEMA).parquet(
+                    f"{path}/sums/batch_id={batch_id}")
+                (before.union(own).groupBy(CARD).agg(*part_sums())
+                 .write.mode("overwrite").parquet(f"{path}/base/upto={upto}"))
+        finally:
+            batch.unpersist()
     return run
+
+
+__all__ = ["OUTPUT_SCHEMA", "loyalty_rows", "loyalty_stateful_writer", "notifications_of_batch"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -57,18 +59,35 @@ def stream_conf(spark: SparkSession, late_rows_per_window: bool = True,
     return session_conf(spark, **conf)
 
 
-def run_bounded(df: DataFrame, checkpoint: str, output_mode: str, sink, timeout_s: int = 3600,
-                late_rows_per_window: bool = True, state_partitions: int | None = None):
-    """Run a stream over everything available now and wait for it to finish."""
-    with stream_conf(df.sparkSession, late_rows_per_window, state_partitions):
-        q = start(df, checkpoint, output_mode, sink)
-        try:
-            q.awaitTermination(timeout_s)
-        finally:
+def wait_for(queries: list, timeout_s: float | None = None) -> None:
+    """Wait until all queries have ended: without limit, or raise when a limit is reached.
+
+    Whatever happens, no query is left running; a query's failure is raised.
+    """
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    try:
+        for q in queries:
+            if end is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(max(0.001, end - time.monotonic())):
+                raise TimeoutError(f"stream not finished after {timeout_s} s; its output is incomplete")
+    finally:
+        for q in queries:
             if q.isActive:
                 q.stop()
-    if q.exception() is not None:
-        raise q.exception()
+    for q in queries:
+        if q.exception() is not None:
+            raise q.exception()
+
+
+def run_bounded(df: DataFrame, checkpoint: str, output_mode: str, sink,
+                timeout_s: float | None = None, late_rows_per_window: bool = True,
+                state_partitions: int | None = None):
+    """Run a stream over everything available now and wait for it to finish
+    (without limit; with ``timeout_s`` a TimeoutError is raised when it is reached)."""
+    with stream_conf(df.sparkSession, late_rows_per_window, state_partitions):
+        q = start(df, checkpoint, output_mode, sink)
+        wait_for([q], timeout_s)
     return q
 
 
@@ -80,7 +99,9 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         df = spark.read.schema(full).parquet(path)
         df.schema  # resolves the path: a stream that emitted nothing wrote no folder
         return df
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], full)
 
 

@@ -1,13 +1,13 @@
 """Skew drill: one customer card holds a third of all orders.
 
-Runs the loyalty running total on that data with chunking off (one chunk:
-a plain per-card window) and on, and reports, from Spark's event log in a
+Runs the loyalty running total on that data with one time bucket (a plain
+per-card window) and with buckets of an hour, and reports, from Spark's event log in a
 fresh scratch folder, the largest and median shuffle-read record counts per
 task of each stage. Also checks that both give identical results. AQE's
 byte thresholds are scaled down to this data size so its split of the hot
 customer's join partition shows as well.
 
-usage: python tools/skew_drill.py [sf_dir] [rows_per_chunk]
+usage: python tools/skew_drill.py [sf_dir]
 """
 
 from __future__ import annotations
@@ -56,7 +56,6 @@ def task_records(log_dir: str, job_group: str) -> dict[int, tuple[str, list[int]
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    rows_per_chunk = int(sys.argv[2]) if len(sys.argv) > 2 else 5000
     log_dir = tempfile.mkdtemp(prefix="skew-drill-events-")
     spark = build_session(extra={"spark.eventLog.enabled": "true",
                                  "spark.eventLog.dir": log_dir,
@@ -79,19 +78,17 @@ def main():
         # every third order goes to one card
         skewed = orders.withColumn(
             "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(hot)).otherwise(F.col("o_custkey")))
-        inv = adapters.invoice_headers(skewed, adapters._customers(spark, sf_dir))
+        inv = adapters.invoices(spark, sf_dir, lines=False, items=False, address=False,
+                                orders=skewed)
         results = {}
-        for label, kw in (("one chunk", {"chunks": 1}),
-                          ("chunked", {"rows_per_chunk": rows_per_chunk})):
+        for label, width in (("one bucket", 1 << 62), ("hours", loyalty.BUCKET_US)):
             sc.setJobGroup(label, label)
-            df, scale = loyalty.with_earned(inv)
-            d = df.select(loyalty.CARD, "invoiceNumber", "_earned", "event_time", "k")
-            out = loyalty.running_total(d, loyalty.CARD, ["event_time", "k"], "_earned", "_run", **kw)
-            rows = out.select("invoiceNumber", "_run").collect()
-            results[label] = {r.invoiceNumber: r._run for r in rows}
+            out = loyalty.loyalty_changelog(inv, prime_only=False, bucket_us=width)
+            rows = out.select("invoiceNumber", "totalLoyaltyPoints").collect()
+            results[label] = {r.invoiceNumber: r.totalLoyaltyPoints for r in rows}
     spark.stop()
-    same = results["one chunk"] == results["chunked"]
-    print(f"hot card holds {n_hot} of {len(results['chunked'])} rows; results identical: {same}")
+    same = results["one bucket"] == results["hours"]
+    print(f"hot card holds {n_hot} of {len(results['hours'])} rows; results identical: {same}")
     for label in results:
         print(f"[{label}]")
         for sid, (name, recs) in task_records(log_dir, label).items():
