@@ -76,23 +76,25 @@ def running_total(df: DataFrame, key: str, order: list[str], values: list[str],
     a table of one row for each (key, bucket), aggregated map-side first, and are
     joined back. Null keys are one group; null values count as nothing.
     """
-    d = df.withColumn("_bucket", bucket)
+    # (text, null flag) stands for the key and no bucket is null, so that plain equality joins
+    # and the rows stay where the window's shuffle has put them
+    group = ["_key", "_null", "_bucket"]
+    d = (df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("")))
+         .withColumn("_null", F.col(key).isNull())
+         .withColumn("_bucket", F.coalesce(bucket.cast("bigint"), F.lit(-(1 << 63)))))
     kinds = {v: d.agg(F.sum(v).alias(v)).schema[v].dataType for v in values}
 
     def zero(c: Column, v: str) -> Column:
         return F.coalesce(c, F.lit(0).cast(kinds[v]))
-    upto = (Window.partitionBy(key, "_bucket").orderBy(*order)
+    upto = (Window.partitionBy(*group).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = d.select("*", *[zero(F.sum(v).over(upto), v).alias(f"_in_{v}") for v in values])
-    sums = d.groupBy(F.col(key).alias("_key"), F.col("_bucket").alias("_at")).agg(
-        *[F.sum(v).alias(v) for v in values])
-    earlier = (Window.partitionBy("_key").orderBy("_at")
+    sums = d.groupBy(*group).agg(*[F.sum(v).alias(v) for v in values])
+    earlier = (Window.partitionBy("_key", "_null").orderBy("_bucket")
                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sums.select("_key", "_at", *[
+    offsets = sums.select(*group, *[
         zero(F.sum(v).over(earlier), v).alias(f"_before_{v}") for v in values])
-    both = local.join(offsets, local[key].eqNullSafe(offsets["_key"])
-                      & local["_bucket"].eqNullSafe(offsets["_at"]))
-    return both.select(*[local[c] for c in df.columns], *[
+    return local.join(offsets, group).select(*df.columns, *[
         _plus(F.col(f"_in_{v}"), F.col(f"_before_{v}"), kinds[v]).alias(f"run_{v}")
         for v in values])
 
