@@ -93,11 +93,11 @@ def test_run_returns_the_last_stage(spark, stages):
 
 
 def test_odd_documents_pass_all_stages(spark, odd, none):
-    for docs in (odd, none):
-        columns = docs.columns
-        for name, stage in corpus_pipeline.STAGES[:-1]:
-            docs = staged(stage(spark, docs, SF), "odd")
-            assert docs.columns == columns
-        out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-        assert out.columns == [c for c in columns if c != "taken"] + ["taken"]
-        out.count()
+    columns, docs = odd.columns, odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, none, SF).count() == 0
+        docs = staged(stage(spark, docs, SF), "odd")
+        assert docs.columns == columns
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert out.columns == [c for c in columns if c != "taken"] + ["taken"]
+    out.count()
