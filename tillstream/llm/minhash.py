@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import load, small_side, staged
+from tillstream.llm.common import count_within, load, small_side, staged
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 128
@@ -229,51 +229,68 @@ def edited(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     return rows.filter("edit is not null").select(*columns).union(resolved)
 
 
-def _bands(rows: DataFrame, name: str, permutations: int, band_rows: int) -> DataFrame:
-    """One row for each distinct signature and band; short bands at the end are left out."""
+def _bands(rows: DataFrame, permutations: int, band_rows: int) -> DataFrame:
+    """id, sig, band, value for each band; components beyond the last whole band are left out."""
     width = 2 * band_rows
-    return rows.select(F.col("sig").alias(name), F.posexplode(F.array(*[
-        F.xxhash64(F.substring(F.col("sig"), i * width + 1, width))
+    return rows.select("id", "sig", F.posexplode(F.array(*[
+        F.xxhash64(F.substring("sig", i * width + 1, width))
         for i in range(permutations // band_rows)])).alias("band", "value"))
 
 
+def _candidates(every: DataFrame, permutations: int, band_rows: int) -> DataFrame:
+    """(q_id, id) once for each query and other signature that agree in a band."""
+    mine = _bands(every.filter("q = 1"), permutations, band_rows)
+    theirs = _bands(every, permutations, band_rows)
+    mine = mine.withColumnRenamed("id", "q_id").withColumnRenamed("sig", "q_sig")
+    if not count_within(mine, BROADCAST_ROWS):  # shuffled by band, without the signatures
+        return theirs.drop("sig").join(mine.drop("q_sig"), ["band", "value"]).filter(
+            "id != q_id").select("q_id", "id").distinct()
+    width = 2 * band_rows
+    first = F.lit(True)  # the first band in which the two agree reports the pair
+    for i in range(permutations // band_rows - 1):
+        first = first & ((F.col("band") <= i) | (F.substring("sig", i * width + 1, width)
+                                                 != F.substring("q_sig", i * width + 1, width)))
+    return theirs.join(F.broadcast(mine), ["band", "value"]).filter(
+        (F.col("id") != F.col("q_id")) & first).select("q_id", "id")
+
+
 def search(docs: DataFrame, prints: DataFrame, is_query, similarity: float = MIN_SIMILARITY,
            shingle_words: int = SHINGLE_WORDS, permutations: int = PERMUTATIONS,
            band_rows: int = BAND_ROWS) -> DataFrame:
-    """q_sig, sig, jaccard: for the signature of every query, the others that are similar.
+    """q_id, id, jaccard: for the signature of every query, the others that are similar.
 
-    ``prints`` has doc_id and sig of all rows; ``is_query`` is a condition on it.
-    Signatures stand for all documents that have them.
+    ``prints`` has doc_id and sig of all rows; ``is_query`` is a condition on it. An
+    id is the XXH64 of a signature, and stands for all documents that have it;
+    signatures that only rows without a doc_id have are not searched.
     """
     every = prints.groupBy("sig").agg(F.min("doc_id").alias("doc_id"),
                                       F.max(is_query.cast("int")).alias("q"))
-    every = staged(every, "signatures")
-    queries = _bands(every.filter("q = 1"), "q_sig", permutations, band_rows)
-    pairs = staged(_bands(every, "sig", permutations, band_rows).join(
-        small_side(queries, BROADCAST_ROWS), ["band", "value"]).filter("sig != q_sig")
-        .select("q_sig", "sig").distinct(), "candidates")
-    sides = pairs.select(F.explode(F.array("q_sig", "sig")).alias("sig")).distinct()
-    wanted = staged(every.join(sides, "sig").select("sig", F.col("doc_id").alias("w_id")), "wanted")
+    every = staged(every.withColumn("id", F.xxhash64("sig")), "signatures")
+    pairs = staged(_candidates(every, permutations, band_rows), "candidates")
+    sides = pairs.select(F.explode(F.array("q_id", "id")).alias("id")).distinct()
+    wanted = staged(every.join(sides, "id").select("id", F.col("doc_id").alias("w_id")), "wanted")
 
     def sets(batches):
         for b in batches:
+            texts = b.column("text").to_pylist()
             found = [np.unique(_shingles(_word_hashes(t.lower().split()), shingle_words)).view(
-                np.int64) for t in b.column("text").to_pylist()]
-            own = signatures(b.column("text").to_pylist(), shingle_words, permutations)
+                np.int64) for t in texts]
+            own = signatures(texts, shingle_words, permutations)
             yield pa.RecordBatch.from_arrays(
-                [b.column("sig"), pa.array([x.tobytes() for x in own], pa.binary()),
-                 pa.array(found, pa.list_(pa.int64()))], ["sig", "own", "shingles"])
+                [b.column("id"), pa.array([x.tobytes() for x in own], pa.binary()),
+                 pa.array(found, pa.list_(pa.int64()))], ["id", "own", "shingles"])
     texts = docs.join(small_side(wanted, BROADCAST_ROWS), F.col("doc_id") == F.col("w_id")).select(
-        "sig", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    shingled = staged(texts.mapInArrow(sets, "sig binary, own binary, shingles array<bigint>")
-                      .filter("sig = own").drop("own").dropDuplicates(["sig"]), "shingle-sets")
-    both = (pairs.join(shingled, "sig")
-            .join(shingled.select(F.col("sig").alias("q_sig"), F.col("shingles").alias("q_shingles")),
-                  "q_sig"))
+        "id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    # a doc_id may have several texts: only the one of this signature counts
+    shingled = staged(texts.mapInArrow(sets, "id bigint, own binary, shingles array<bigint>")
+                      .filter(F.xxhash64("own") == F.col("id")).drop("own")
+                      .dropDuplicates(["id"]), "shingle-sets")
+    both = pairs.join(shingled, "id").join(shingled.select(
+        F.col("id").alias("q_id"), F.col("shingles").alias("q_shingles")), "q_id")
     shared = F.size(F.array_intersect("shingles", "q_shingles"))
     jaccard = shared / (F.size("shingles") + F.size("q_shingles") - shared)
-    return both.select("q_sig", "sig", jaccard.alias("jaccard")).filter(
-        F.col("jaccard") >= similarity)
+    return staged(both.select("q_id", "id", jaccard.alias("jaccard")).filter(
+        F.col("jaccard") >= similarity), "similar")
 
 
 def op7_document_fingerprints(spark, sf_dir: str) -> DataFrame:
@@ -283,9 +300,10 @@ def op7_document_fingerprints(spark, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     rows = edited(docs)
     is_query = F.col("doc_id") % QUERY_EVERY == 0
-    similar = staged(search(docs, rows.select("doc_id", "sig"), is_query).groupBy("q_sig").agg(
-        F.count("*").alias("n_similar")), "similar")
-    counted = rows.join(small_side(similar, BROADCAST_ROWS), F.col("sig") == F.col("q_sig"), "left")
+    similar = staged(search(docs, rows.select("doc_id", "sig"), is_query).groupBy("q_id").agg(
+        F.count("*").alias("n_similar")), "similar-counts")
+    counted = rows.join(small_side(similar, BROADCAST_ROWS),
+                        F.xxhash64("sig") == F.col("q_id"), "left")
     return counted.select(
         "doc_id", "n_chars", F.lower(F.hex("edit")).alias("edited_sha256"),
         F.lower(F.hex("sig")).alias("fingerprint"),
