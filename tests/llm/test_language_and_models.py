@@ -156,3 +156,18 @@ def test_toxicity_held_out(docs, labels, odd, none):
     assert blank["lexicon"] == {}
     assert {r["s"] for r in odd.select(toxicity.toxicity(blank, F.col("text")).alias("s")).collect()
             } == {0.5}
+
+
+def test_signs_at_the_end_of_a_word():
+    m = toxicity.Matcher({"hate ": 2.0, "heii ": 3.0, "ass ": 1.0, "idiots ": 2.0, "damn ": 1.0},
+                         {"ciass ass"})
+    raw = lambda t: m.raw(*next(toxicity._folded([t]))) * (toxicity.SHORT_TEXT + len(t.split()))
+    assert raw("I hat3 you") == raw("hat3") == 2.0
+    assert raw("go to hel1, h3l1!") == 6.0
+    assert raw("an a55! and a55?") == 2.0 and raw("IDIOT5") == 2.0
+    # closing punctuation and numbers do no harm, an exception holds for the form it names
+    assert raw("damn! damn1 damn") == 3.0
+    assert raw("hat 3, as 55 and mambo5!") == 0.0
+    assert raw("class a55") == 0.0 and raw("class hat3") == 2.0
+    # the forms are learned from, each text once
+    assert toxicity.fold(["hat3 a55! me2"]) == [" hat a me "]

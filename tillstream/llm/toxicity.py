@@ -1,9 +1,11 @@
 """Toxicity from a weighted lexicon, matched by Aho-Corasick on folded text.
 
 Folding: letters lose case and accents, homoglyphs of other scripts become
-their Latin look-alikes, digits and signs that stand for letters within a word
-are replaced, look-alikes of "l" and "i" are one letter, and everything else
-separates words.
+their Latin look-alikes, digits and signs that stand for letters before or
+within a word are replaced, look-alikes of "l" and "i" are one letter, and
+everything else separates words. Signs at the end of a word may be letters,
+punctuation or a number: the word counts without them and in its further forms,
+with the signs up to each change of sign as letters.
 
 Learning (labelled rows only): terms are whole words and stems (beginnings of
 words, which catch inflections). A term's weight is the log odds of occurring
@@ -26,6 +28,7 @@ more than once counts each time; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -88,8 +91,8 @@ def _fold_tables() -> tuple[np.ndarray, np.ndarray]:
     return _tables
 
 
-def fold(texts: list[str]) -> list[str]:
-    """Folded texts: words of letters with one blank before, between and after them."""
+def _marked(texts: list[str]) -> list[str]:
+    """Folded texts, in which the signs at the end of a word are left as they are."""
     letters, signs = _fold_tables()
     codes = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"),
                           np.uint32)
@@ -100,9 +103,12 @@ def fold(texts: list[str]) -> list[str]:
     is_mark = (codes >= 0x300) & (codes < 0x370)  # combining marks vanish
     # a sign stands for a letter when the next character that is no sign is a letter
     place = np.arange(len(codes))
-    plain = np.where(sign == 0, place, len(codes) - 1)
-    following = np.minimum.accumulate(plain[::-1])[::-1]
-    folded = np.where((sign > 0) & (folded[following] > 0) & (folded == 0), sign, folded)
+    is_plain = (sign == 0) & ~is_mark
+    following = np.minimum.accumulate(np.where(is_plain, place, len(codes) - 1)[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(is_plain, place, 0))
+    is_sign = (sign > 0) & (folded == 0)
+    final = is_sign & (folded[following] == 0) & (folded[before] > 0)
+    folded = np.where(is_sign & (folded[following] > 0), sign, np.where(final, codes, folded))
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     bounds = np.concatenate(([0], np.cumsum(sizes)))  # texts begin after a newline each
     keep = ~is_mark
@@ -114,16 +120,39 @@ def fold(texts: list[str]) -> list[str]:
     return [" " + t.strip(" ") + " " for t in whole.split("\n")[1:-1]]
 
 
-def _folded(texts: list[str], limit: int = 1_000_000) -> Iterator[str]:
+_LETTER_OF = {sign: ONE_LETTER.get(letter, letter) for sign, letter in SIGNS.items()}
+_NO_SIGNS = str.maketrans("", "", "".join(SIGNS))
+_FINAL = re.compile(f"([^ ]*?)([{re.escape(''.join(SIGNS))}]+) ")
+_SAME = re.compile(r"(.)\1*")
+
+
+def _ends(marked: str) -> Iterator[tuple[int, str, list[str]]]:
+    """Place in the folded text of the blank before each word that signs follow, the word, and
+    its forms with the signs as letters.
+    """
+    gone = 0
+    for m in _FINAL.finditer(marked):
+        word, signs = m.groups()
+        yield m.start() - 1 - gone, word, [
+            word + "".join(map(_LETTER_OF.get, signs[:run.end()])) for run in _SAME.finditer(signs)]
+        gone += len(signs)
+
+
+def fold(texts: list[str]) -> list[str]:
+    """Folded texts: words of letters with one blank before, between and after them."""
+    return [t.translate(_NO_SIGNS) for t in _marked(texts)]
+
+
+def _folded(texts: list[str], limit: int = 1_000_000) -> Iterator[tuple[str, str]]:
+    """Each text folded, and with the signs at the end of its words."""
     part, size = [], 0
     for t in texts:
         part.append(t)
         size += len(t)
         if size >= limit:
-            yield from fold(part)
+            yield from ((m.translate(_NO_SIGNS), m) for m in _marked(part))
             part, size = [], 0
-    if part:
-        yield from fold(part)
+    yield from ((m.translate(_NO_SIGNS), m) for m in _marked(part))
 
 
 def _terms(word: str) -> list[str]:
@@ -131,11 +160,16 @@ def _terms(word: str) -> list[str]:
     return [word + " ", *(word[:k] for k in STEMS if k <= len(word))]
 
 
+def _end_terms(word: str, form: str) -> list[str]:
+    """Terms of a word's form with signs as letters that the word itself lacks."""
+    return [form + " ", *(form[:k] for k in STEMS if len(word) < k <= len(form))]
+
+
 class Matcher:
     """Aho-Corasick over terms (a blank before each) and exception phrases."""
 
     def __init__(self, weights: dict[str, float], exceptions: set[str]):
-        self.weights, self.any = weights, bool(weights)
+        self.weights, self.any, self.spares = weights, bool(weights), bool(exceptions)
         self.automaton = ahocorasick.Automaton()
         for term in weights:
             self.automaton.add_word(f" {term}", (term, False))
@@ -165,13 +199,30 @@ class Matcher:
                 at = folded.find(" ", at + 1)
         return best
 
-    def raw(self, folded: str) -> float:
+    def end_hits(self, folded: str, marked: str) -> Iterator[tuple[int, str, str, str]]:
+        """Place, word, form and strongest term of each form with signs as letters that matches."""
+        if not self.any or len(folded) == len(marked):
+            return
+        for at, word, forms in _ends(marked):
+            for form in forms:
+                found = [t for t in _end_terms(word, form) if t in self.weights]
+                if found and not (self.spares and self._spared(folded, at, word, form)):
+                    yield at, word, form, max(found, key=self.weights.get)
+
+    def _spared(self, folded: str, at: int, word: str, form: str) -> bool:
+        """Whether an exception phrase holds the word at ``at`` in this form."""
+        text = f"{folded[:at + 1]}{form}{folded[at + 1 + len(word):]}"
+        return any(is_exception and end - len(term) <= at < end
+                   for end, (term, is_exception) in self.automaton.iter(text))
+
+    def raw(self, folded: str, marked: str = "") -> float:
         """Weights of the matched words over the length in words."""
-        hits = self.hits(folded)
-        if not hits:
+        best = {at: self.weights[t] for at, t in self.hits(folded).items()}
+        for at, _, _, term in self.end_hits(folded, marked or folded):
+            best[at] = max(best.get(at, self.weights[term]), self.weights[term])
+        if not best:
             return 0.0
-        return sum(self.weights[t] for t in hits.values()) / (
-            SHORT_TEXT + folded.count(" ") - 1)
+        return sum(best.values()) / (SHORT_TEXT + folded.count(" ") - 1)
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -197,9 +248,12 @@ def _term_rows(rows: DataFrame) -> DataFrame:
         clean: Counter[str] = Counter()
         for b in batches:
             th, words = [], []
-            for t, key, toxic in zip(_folded(b.column("text").to_pylist()),
-                                     b.column("th").to_pylist(), b.column("toxic").to_pylist()):
+            for (t, marked), key, toxic in zip(
+                    _folded(b.column("text").to_pylist()), b.column("th").to_pylist(),
+                    b.column("toxic").to_pylist()):
                 found = {term for word in set(t.split()) for term in _terms(word)}
+                for _, word, forms in _ends(marked):
+                    found.update(term for form in forms for term in _end_terms(word, form))
                 if toxic:
                     th += [key] * len(found)
                     words += found
@@ -270,13 +324,16 @@ def _exceptions(rows: DataFrame, lexicon: dict[str, float]) -> set[str]:
         matcher = Matcher(lexicon, set())
         for b in batches:
             seen: Counter[tuple[str, int]] = Counter()
-            for t, toxic in zip(_folded(b.column("text").to_pylist()),
-                                b.column("toxic").to_pylist()):
+            for (t, marked), toxic in zip(_folded(b.column("text").to_pylist()),
+                                          b.column("toxic").to_pylist()):
                 found = set()
-                for at in matcher.hits(t):
+                matched = [(at, None) for at in matcher.hits(t)]
+                matched += [(at, form) for at, _, form, _ in matcher.end_hits(t, marked)]
+                for at, form in matched:
                     before = t[max(0, t.rfind(" ", 0, at)):at].strip(" ")
                     word, _, rest = t[at + 1:at + 400].partition(" ")
                     after = rest.partition(" ")[0]
+                    word = word if form is None else form
                     found |= {f"{before} {word}"} if before else set()
                     found |= {f"{word} {after}"} if after else set()
                 seen.update((p, toxic) for p in found)
@@ -310,7 +367,7 @@ def _raw_column(lexicon: dict[str, float], spared: set[str]):
     def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(lexicon, spared)
         for texts in batches:
-            yield pa.array([matcher.raw(t) for t in _folded(texts.to_pylist())], pa.float64())
+            yield pa.array([matcher.raw(*t) for t in _folded(texts.to_pylist())], pa.float64())
     return raw
 
 
@@ -320,7 +377,7 @@ def toxicity(model: dict, text: Column) -> Column:
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(model["lexicon"], model["exceptions"])
         for texts in batches:
-            raw = np.array([matcher.raw(t) for t in _folded(texts.to_pylist())])
+            raw = np.array([matcher.raw(*t) for t in _folded(texts.to_pylist())], np.float64)
             yield pa.array(calibrated(raw, LOW, HIGH, model["curve"]), pa.float64())
     return score(F.coalesce(text, F.lit("")))
 
