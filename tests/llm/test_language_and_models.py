@@ -171,3 +171,16 @@ def test_signs_at_the_end_of_a_word():
     assert raw("class a55") == 0.0 and raw("class hat3") == 2.0
     # the forms are learned from, each text once
     assert toxicity.fold(["hat3 a55! me2"]) == [" hat a me "]
+
+
+def test_rare_certain_terms_are_learned_at_any_size(spark):
+    rows = [(i, f"you moron number {chr(97 + i % 26)}x of row q{i % 50}z", 1) for i in range(2000)]
+    rows += [(2000 + i, f"what a zuckling of row q{i}z", 1) for i in range(7)]
+    rows += [(3000 + i, f"a kind number {chr(97 + i % 26)}x of what row q{i % 50}z", 0)
+             for i in range(6000)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(4)
+    model = toxicity.learn(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    m = toxicity.Matcher(model["lexicon"], model["exceptions"])
+    assert m.raw(*next(toxicity._folded(["you moron"]))) > 0
+    assert m.raw(*next(toxicity._folded(["a zuckling"]))) > 0
+    assert m.raw(*next(toxicity._folded(["a kind row"]))) == 0

@@ -9,10 +9,10 @@ with the signs up to each change of sign as letters.
 
 Learning (labelled rows only): terms are whole words and stems (beginnings of
 words, which catch inflections). A term's weight is the log odds of occurring
-in toxic against clean texts. It is kept when it is frequent enough, when the
-lower confidence bound of its weight is high enough, and when enough toxic
-texts have no clearly stronger term to blame (so terms that merely come along
-are left out). Two-word phrases around a lexicon term that are found in clean
+in toxic against clean texts. It is kept when it is in a few toxic texts at
+least (the same number whatever the input), when the lower confidence bound of
+its weight is high enough, and when some toxic texts have no clearly stronger
+term to blame (so terms that merely come along are left out). Two-word phrases around a lexicon term that are found in clean
 texts become exception phrases; a match inside one does not count.
 
 Score: each matched word counts its strongest term's weight; the sum over the
@@ -43,8 +43,8 @@ from tillstream.llm.calibration import calibrated, histogram, isotonic
 from tillstream.llm.common import crc_remainder, load, small_side, staged
 
 MIN_DOCS = 3  # toxic texts with the word, and clean texts with an exception phrase
+MIN_BLAME = 2  # toxic texts in which a lexicon term is about the strongest
 MIN_BOUND = 0.8  # lower 95 % bound of the log odds
-BLAME_PART = 0.004  # part of the toxic texts in which a lexicon term is about the strongest
 BLAME_MARGIN = 0.7  # how far below the strongest bound of its text a term still is to blame
 STEMS = range(4, 9)  # letters of a stem
 SHORT_TEXT = 50  # words added to every length
@@ -278,8 +278,7 @@ def _lexicon(rows: DataFrame) -> dict[str, float]:
     clean_docs = rows.filter("toxic = 0").count()
     if not toxic_docs or not clean_docs:
         return {}
-    enough = max(MIN_DOCS, BLAME_PART * toxic_docs)
-    both = toxic.groupBy("word").agg(F.count("*").alias("t")).filter(F.col("t") >= enough).join(
+    both = toxic.groupBy("word").agg(F.count("*").alias("t")).filter(F.col("t") >= MIN_DOCS).join(
         counted.filter("toxic = 0").groupBy("word").agg(F.sum("n").alias("c")), "word", "left")
     c = F.coalesce("c", F.lit(0))
     weight = (F.log((F.col("t") + 0.5) / (toxic_docs + 1.0))
@@ -294,10 +293,10 @@ def _lexicon(rows: DataFrame) -> dict[str, float]:
     blamed = (suspects.join(suspects.groupBy("th").agg(F.max("bound").alias("most")), "th")
               .filter(F.col("bound") >= F.col("most") - BLAME_MARGIN)
               .groupBy("word").agg(F.count("*").alias("blame"))
-              .filter(F.col("blame") >= max(2.0, BLAME_PART * toxic_docs)))
+              .filter(F.col("blame") >= MIN_BLAME))
     kept = words.join(blamed, "word").limit(MAX_ENTRIES + 1).collect()
     if len(kept) > MAX_ENTRIES:
-        raise ValueError(f"more than {MAX_ENTRIES} lexicon terms; raise MIN_BOUND or BLAME_PART")
+        raise ValueError(f"more than {MAX_ENTRIES} lexicon terms; raise MIN_BOUND")
     return _without_nested([(r["word"], r["t"], r["weight"], r["bound"]) for r in kept])
 
 
