@@ -244,3 +244,22 @@ def test_lm_odd_rows(odd, none):
     unlearned = suffix_lm.scores(suffix_lm.learn(odd, crc_remainder("doc_id", 1) == 0)).collect()
     assert all(abs(r["score"] - r["n_tokens"] * math.log10(0.5)) < 1e-6 for r in unlearned)
     assert {r["base_score"] for r in unlearned} == {0.0} and {r["n_known"] for r in unlearned} == {0}
+
+
+def test_texts_of_one_signature_are_all_linked(spark, odd, none, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    near = [*base[:100], "changed", *base[101:]]
+    texts = {50: " ".join(base), 51: " ".join(base).upper(), 52: "  ".join(base),
+             53: " ".join(base), 100: " ".join(near), 101: "\n".join(near), 150: "", 151: " \n",
+             200: "quite another text that stands alone here"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r for r in minhash.fingerprints(docs).collect()}
+    assert len(got) == len(texts)
+    a, b = {got[i]["class"] for i in range(50, 54)}, {got[i]["class"] for i in (100, 101)}
+    assert len(a) == len(b) == 1 and a != b
+    assert {i: r["n_similar"] for i, r in got.items()} == {
+        50: 5, 51: None, 52: None, 53: None, 100: 5, 101: None, 150: 0, 151: None, 200: 0}
+    assert set(got[50]["similar_classes"]) == b and set(got[100]["similar_classes"]) == a
+    assert got[200]["similar_classes"] == [] and got[51]["similar_classes"] is None
+    assert minhash.fingerprints(odd).count() == odd.count()
+    assert minhash.fingerprints(none).count() == 0

@@ -5,9 +5,11 @@
   universal hash functions x -> (a x + b mod 2^64) >> 32, in vectorised numpy.
   Least values are folded to 16 bits. The share of equal components estimates
   the Jaccard similarity of the shingle sets.
-* Search: signatures are cut into bands; rows that share a band with a query
-  are candidates (joined in Spark, copies of a fingerprint once), verified by
-  the exact Jaccard similarity of their shingle sets.
+* Search: different texts of one signature are a class when each has a verified
+  Jaccard similarity to its representative (the text of the least XXH64); one
+  that has not is a class of its own. Signatures are cut into bands; classes
+  that share a band with a query's are candidates (joined in Spark), verified by
+  the exact Jaccard similarity of their representatives' shingle sets.
 * ``edited`` compares each document with an edited text, made from the next one
   in order of doc_id. Documents are range-partitioned and sorted once; the first
   and the last row of every partition (whose neighbour lies in another one) are
@@ -15,7 +17,7 @@
   are hashed once.
 
 Defined results: a null text is empty; a text without a word has the signature
-of the empty set, equal to that of any other such text; documents of one doc_id
+of the empty set, equal to that of any other such text, and is similar to none; documents of one doc_id
 follow each other by the hash of their text, null doc_ids first; repeated rows
 are documents of their own; one document alone is its own next; other columns
 are ignored; an empty table gives an empty table.
@@ -138,7 +140,8 @@ def _with_next(rows: list[tuple[int | None, str, str]], k: int, permutations: in
 _PAIR = pa.schema([
     ("doc_id", pa.int64()), ("part", pa.int32()), ("place", pa.int64()), ("n_chars", pa.int64()),
     ("edit", pa.binary()), ("sig", pa.binary()), ("edited_sig", pa.binary()),
-    ("near_edited", pa.float64()), ("near_next", pa.float64()), ("text", pa.string())])
+    ("near_edited", pa.float64()), ("near_next", pa.float64()), ("text", pa.string()),
+    ("th", pa.int64())])
 
 
 def _neighbours(k: int, permutations: int):
@@ -149,8 +152,9 @@ def _neighbours(k: int, permutations: int):
     def run(batches):
         part, place, last, first_sig = TaskContext.get().partitionId(), 0, None, True
 
-        def out(rows, following_sig, first, final):
+        def out(keyed, following, following_sig, first, final):
             nonlocal place
+            rows = [(i, t, n) for (i, t, _), n in zip(keyed, following)]
             c = _with_next(rows, k, permutations)
             after = np.vstack([c["own"][1:], following_sig])
             n = len(rows)
@@ -166,36 +170,39 @@ def _neighbours(k: int, permutations: int):
                 pa.array(range(place, place + n), pa.int64()), pa.array(c["n_chars"], pa.int64()),
                 pa.array(edit, pa.binary()), pa.array([x.tobytes() for x in c["own"]], pa.binary()),
                 pa.array(es, pa.binary()), pa.array(ne, pa.float64()), pa.array(near, pa.float64()),
-                pa.array(texts, pa.string())], schema=_PAIR)
+                pa.array(texts, pa.string()), pa.array([r[2] for r in keyed], pa.int64())],
+                schema=_PAIR)
             place += n
             return batch
 
         for b in batches:
             ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
+            hashes = b.column("th").to_pylist()
             for lo in range(0, len(ids), 512):
-                new = list(zip(ids[lo:lo + 512], texts[lo:lo + 512]))
+                new = list(zip(ids[lo:lo + 512], texts[lo:lo + 512], hashes[lo:lo + 512]))
                 seen = ([last] if last else []) + new
                 last = seen[-1]
-                rows = [(i, t, seen[j + 1][1]) for j, (i, t) in enumerate(seen[:-1])]
-                if rows:
+                if len(seen) > 1:
                     follow = signatures([last[1].encode("utf-8", "surrogatepass")], k, permutations)
-                    yield out(rows, follow, first_sig, False)
+                    yield out(seen[:-1], [x[1] for x in seen[1:]], follow, first_sig, False)
                     first_sig = False
         if last:
-            yield out([(*last, "")], np.zeros((1, permutations), np.uint16), first_sig, True)
+            yield out([last], [""], np.zeros((1, permutations), np.uint16), first_sig, True)
     return run
 
 
 def edited(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
            permutations: int = PERMUTATIONS) -> DataFrame:
-    """doc_id, n_chars, edit (SHA-256 of the edited text), sig, edited_sig, near_edited, near_next."""
+    """doc_id, n_chars, edit (SHA-256 of the edited text), sig, edited_sig, near_edited, near_next,
+    th (XXH64 of the text).
+    """
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                            F.coalesce("text", F.lit("")).alias("text"))
                .withColumn("th", F.xxhash64("text"))
                .repartitionByRange("doc_id", "th").sortWithinPartitions("doc_id", "th"))
     ddl = ("doc_id bigint, part int, place bigint, n_chars bigint, edit binary, sig binary, "
-           "edited_sig binary, near_edited double, near_next double, text string")
-    rows = staged(ordered.select("doc_id", "text").mapInArrow(
+           "edited_sig binary, near_edited double, near_next double, text string, th bigint")
+    rows = staged(ordered.mapInArrow(
         _neighbours(shingle_words, permutations), ddl), "minhash")
     # two rows of every partition: the last one meets the first one of the next partition
     ends = rows.filter("text is not null")
@@ -220,12 +227,12 @@ def edited(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                     pa.array(d["doc_id"], pa.int64()), pa.array(c["n_chars"], pa.int64()),
                     pa.array(c["edit"], pa.binary()), pa.array(d["sig"], pa.binary()),
                     pa.array([x.tobytes() for x in c["edited"]], pa.binary()),
-                    pa.array(c["near_edited"], pa.float64()), pa.array(near, pa.float64())],
-                    ["doc_id", "n_chars", "edit", "sig", "edited_sig", "near_edited", "near_next"])
-    columns = ["doc_id", "n_chars", "edit", "sig", "edited_sig", "near_edited", "near_next"]
-    resolved = tails.select("doc_id", "text", "n_text", "sig", "n_sig").mapInArrow(
+                    pa.array(c["near_edited"], pa.float64()), pa.array(near, pa.float64()),
+                    pa.array(d["th"], pa.int64())], columns)
+    columns = ["doc_id", "n_chars", "edit", "sig", "edited_sig", "near_edited", "near_next", "th"]
+    resolved = tails.select("doc_id", "text", "n_text", "sig", "n_sig", "th").mapInArrow(
         resolve, "doc_id bigint, n_chars bigint, edit binary, sig binary, edited_sig binary, "
-                 "near_edited double, near_next double")
+                 "near_edited double, near_next double, th bigint")
     return rows.filter("edit is not null").select(*columns).union(resolved)
 
 
@@ -254,22 +261,9 @@ def _candidates(every: DataFrame, permutations: int, band_rows: int) -> DataFram
         (F.col("id") != F.col("q_id")) & first).select("q_id", "id")
 
 
-def search(docs: DataFrame, prints: DataFrame, is_query, similarity: float = MIN_SIMILARITY,
-           shingle_words: int = SHINGLE_WORDS, permutations: int = PERMUTATIONS,
-           band_rows: int = BAND_ROWS) -> DataFrame:
-    """q_id, id, jaccard: for the signature of every query, the others that are similar.
-
-    ``prints`` has doc_id and sig of all rows; ``is_query`` is a condition on it. An
-    id is the XXH64 of a signature, and stands for all documents that have it;
-    signatures that only rows without a doc_id have are not searched.
-    """
-    every = prints.groupBy("sig").agg(F.min("doc_id").alias("doc_id"),
-                                      F.max(is_query.cast("int")).alias("q"))
-    every = staged(every.withColumn("id", F.xxhash64("sig")), "signatures")
-    pairs = staged(_candidates(every, permutations, band_rows), "candidates")
-    sides = pairs.select(F.explode(F.array("q_id", "id")).alias("id")).distinct()
-    wanted = staged(every.join(sides, "id").select("id", F.col("doc_id").alias("w_id")), "wanted")
-
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int,
+                  permutations: int) -> DataFrame:
+    """id, shingles of the wanted texts (id, w: the text's hash or doc_id, s: hash of its signature)."""
     def sets(batches):
         for b in batches:
             texts = b.column("text").to_pylist()
@@ -277,35 +271,113 @@ def search(docs: DataFrame, prints: DataFrame, is_query, similarity: float = MIN
                 np.int64) for t in texts]
             own = signatures(texts, shingle_words, permutations)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array([x.tobytes() for x in own], pa.binary()),
-                 pa.array(found, pa.list_(pa.int64()))], ["id", "own", "shingles"])
-    texts = docs.join(small_side(wanted, BROADCAST_ROWS), F.col("doc_id") == F.col("w_id")).select(
-        "id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+                [b.column("id"), b.column("s"), pa.array([x.tobytes() for x in own], pa.binary()),
+                 pa.array(found, pa.list_(pa.int64()))], ["id", "s", "own", "shingles"])
+    text = F.coalesce("text", F.lit(""))
+    key = F.xxhash64(text) if "by_text" in wanted.columns else F.col("doc_id")
+    texts = docs.select(key.alias("key"), text.cast("binary").alias("text")).join(
+        small_side(wanted, BROADCAST_ROWS), F.col("key") == F.col("w")).select("id", "s", "text")
     # a doc_id may have several texts: only the one of this signature counts
-    shingled = staged(texts.mapInArrow(sets, "id bigint, own binary, shingles array<bigint>")
-                      .filter(F.xxhash64("own") == F.col("id")).drop("own")
-                      .dropDuplicates(["id"]), "shingle-sets")
+    return staged(texts.mapInArrow(sets, "id bigint, s bigint, own binary, shingles array<bigint>")
+                  .filter(F.xxhash64("own") == F.col("s")).drop("own", "s")
+                  .dropDuplicates(["id"]), "shingle-sets")
+
+
+def _jaccard(a: str, b: str):
+    """Of two columns of shingle sets; null when both are empty."""
+    shared = F.size(F.array_intersect(a, b))
+    return F.try_divide(shared, F.size(a) + F.size(b) - shared)
+
+
+def apart(docs: DataFrame, prints: DataFrame, similarity: float = MIN_SIMILARITY,
+          shingle_words: int = SHINGLE_WORDS, permutations: int = PERMUTATIONS) -> DataFrame:
+    """th of the texts that are not similar to the representative of their signature.
+
+    Texts without a word, which are similar to no text, are not among them.
+    """
+    none = signatures([b""], shingle_words, permutations)[0].tobytes()
+    several = staged(prints.filter(F.col("sig") != F.lit(none)).groupBy(F.xxhash64("sig").alias("s"))
+                     .agg(F.min("th").alias("r"), F.max("th").alias("most"))
+                     .filter("r < most").select("s", "r"), "shared-signatures")
+    member = staged(prints.select(F.xxhash64("sig").alias("s"), "th").join(
+        small_side(several, BROADCAST_ROWS), "s").distinct(), "members")
+    sets = _shingle_sets(docs, member.select(F.col("th").alias("id"), F.col("th").alias("w"), "s",
+                                             F.lit(True).alias("by_text")),
+                         shingle_words, permutations)
+    both = member.filter("th != r").join(sets, F.col("th") == F.col("id")).select(
+        "th", "r", "shingles").join(
+        sets.select(F.col("id").alias("r"), F.col("shingles").alias("r_shingles")), "r")
+    return staged(both.filter(F.coalesce(_jaccard("shingles", "r_shingles"), F.lit(0.0))
+                              < similarity).select("th"), "apart")
+
+
+def classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
+    """``prints`` (doc_id, sig, th and others) with the id of each row's class of similar texts of
+    one signature: the XXH64 of the signature, and of the text too for a text that stands apart.
+    """
+    alone = small_side(apart(docs, prints).withColumnRenamed("th", "a_th"), BROADCAST_ROWS)
+    own = F.xxhash64("sig")
+    return prints.join(alone, F.col("th") == F.col("a_th"), "left").withColumn(
+        "id", F.when(F.col("a_th").isNull(), own).otherwise(F.xxhash64("sig", "th"))).drop("a_th")
+
+
+def search(docs: DataFrame, prints: DataFrame, is_query, similarity: float = MIN_SIMILARITY,
+           shingle_words: int = SHINGLE_WORDS, permutations: int = PERMUTATIONS,
+           band_rows: int = BAND_ROWS) -> DataFrame:
+    """q_id, id, jaccard: for the class of every query, the others that are similar.
+
+    ``prints`` has doc_id and sig of all rows; ``is_query`` is a condition on it. With
+    the columns th and id of ``classes``, these are its classes, found by the text
+    of their representative. Without, all rows of a signature are one: its id is the
+    XXH64 of the signature, and signatures that only rows without a doc_id have are
+    not searched.
+    """
+    by_text = "th" in prints.columns
+    if not by_text:
+        prints = prints.withColumn("id", F.xxhash64("sig"))
+    every = staged(prints.groupBy("id", "sig").agg(
+        F.min("th" if by_text else "doc_id").alias("w"),
+        F.max(is_query.cast("int")).alias("q")), "signatures")
+    pairs = staged(_candidates(every, permutations, band_rows), "candidates")
+    sides = pairs.select(F.explode(F.array("q_id", "id")).alias("id")).distinct()
+    wanted = every.join(sides, "id").select("id", "w", F.xxhash64("sig").alias("s"))
+    wanted = staged(wanted.withColumn("by_text", F.lit(True)) if by_text else wanted, "wanted")
+    shingled = _shingle_sets(docs, wanted, shingle_words, permutations)
     both = pairs.join(shingled, "id").join(shingled.select(
         F.col("id").alias("q_id"), F.col("shingles").alias("q_shingles")), "q_id")
-    shared = F.size(F.array_intersect("shingles", "q_shingles"))
-    jaccard = shared / (F.size("shingles") + F.size("q_shingles") - shared)
-    return staged(both.select("q_id", "id", jaccard.alias("jaccard")).filter(
-        F.col("jaccard") >= similarity), "similar")
+    return staged(both.select("q_id", "id", _jaccard("shingles", "q_shingles").alias("jaccard"))
+                  .filter(F.col("jaccard") >= similarity), "similar")
 
 
 def op7_document_fingerprints(spark, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and their edits; documents whose id is divisible by 50
-    also search all others: n_similar counts the different fingerprints with Jaccard >= 0.8.
+    also search all others: n_similar counts the documents of the similar classes and the
+    others of their own. ``class`` is every document's class; similar_classes holds the other
+    classes that are similar, on the rows of the least query doc_id of a class.
     """
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprints(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
     rows = edited(docs)
     is_query = F.col("doc_id") % QUERY_EVERY == 0
-    similar = staged(search(docs, rows.select("doc_id", "sig"), is_query).groupBy("q_id").agg(
-        F.count("*").alias("n_similar")), "similar-counts")
-    counted = rows.join(small_side(similar, BROADCAST_ROWS),
-                        F.xxhash64("sig") == F.col("q_id"), "left")
-    return counted.select(
+    rows = classes(docs, rows)
+    prints = rows.select("doc_id", "sig", "th", "id")
+    found = search(docs, prints, is_query)
+    sizes = staged(prints.groupBy("id").agg(
+        F.count("*").alias("n"), F.min(F.when(is_query, F.col("doc_id"))).alias("q_doc")), "classes")
+    linked = found.join(sizes.select("id", "n"), "id").groupBy("q_id").agg(
+        F.sum("n").alias("others"), F.sort_array(F.collect_list("id")).alias("similar_classes"))
+    none = F.xxhash64(F.lit(signatures([b""])[0].tobytes()))
+    counted = staged(sizes.filter("q_doc is not null").join(
+        linked, F.col("id") == F.col("q_id"), "left").select(
+        F.col("id").alias("class"), "q_doc", "similar_classes",
+        F.when(F.col("id") == none, 0).otherwise(
+            F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_similar")), "similar-counts")
+    return rows.withColumnRenamed("id", "class").join(small_side(counted, BROADCAST_ROWS), "class", "left").select(
         "doc_id", "n_chars", F.lower(F.hex("edit")).alias("edited_sha256"),
         F.lower(F.hex("sig")).alias("fingerprint"),
         F.lower(F.hex("edited_sig")).alias("edited_fingerprint"), "near_edited", "near_next",
-        F.when(is_query, F.coalesce("n_similar", F.lit(0))).alias("n_similar"))
+        F.when(is_query, F.col("n_similar")).alias("n_similar"), "class",
+        F.when(F.col("doc_id") == F.col("q_doc"), F.coalesce(
+            "similar_classes", F.array().cast("array<bigint>"))).alias("similar_classes"))
