@@ -8,6 +8,8 @@ from tillstream.session import scratch_path, utc
 from tillstream.streaming import jobs
 from tillstream.streaming.loyalty_state import loyalty_rows, loyalty_stateful_writer
 from tillstream.streaming.sinks import batch_dir_writer, last_emission, read_batches, run_bounded
+from tillstream.plans import streams
+from tillstream.plans.catalog import BATCH_QUERIES
 from tillstream.plans.streams import STORE_OUT
 from tillstream.schemas import NOTIFICATION
 
@@ -510,3 +512,23 @@ def test_now_millis(spark):
     a = time.time() * 1000
     got = spark.range(1).select(now_millis().alias("t")).first().t
     assert a - 5000 <= got <= time.time() * 1000 + 5000
+
+
+def test_rows_without_a_time_enter_the_stream(spark, tmp_path):
+    src = "/root/testdata/sf0.001"
+    for t in os.listdir(src):
+        if not t.startswith("orders"):
+            os.symlink(f"{src}/{t}", tmp_path / t)
+    orders = spark.read.parquet(f"{src}/orders.parquet")
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") != first, F.col("o_orderdate"))
+                      ).write.parquet(str(tmp_path / "orders.parquet"))
+    parts = streams._parts(spark, str(tmp_path), "orders", "o_orderdate")
+    assert sum(p.count() for p in parts) == orders.count()
+    assert parts[0].filter("o_orderdate is null").count() == 1
+    want = {r["customerCardNo"]: r for r in BATCH_QUERIES["loyalty_latest"](spark, str(tmp_path)).collect()}
+    got = streams.STREAM_QUERIES["loyalty_stream_update"](spark, str(tmp_path)).collect()
+    assert {r["customerCardNo"] for r in got} == set(want)
+    for name in ("loyalty_stateful", "loyalty_restart"):
+        if name in streams.STREAM_QUERIES:
+            assert streams.STREAM_QUERIES[name](spark, str(tmp_path)).count() > 0

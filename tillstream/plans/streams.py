@@ -38,7 +38,8 @@ def _parts(spark, sf_dir: str, table: str, order: str, n: int = PARTS_OF_TABLE)
     at = F.unix_micros(F.col(order).cast("timestamp"))
     cuts = df.select(at.cast("double").alias("t")).approxQuantile(
         "t", [i / n for i in range(1, n)], 0.01)
-    part = sum(((at > c).cast("int") for c in cuts), F.lit(0))
+    # rows without a time go into the first part
+    part = F.coalesce(sum(((at > c).cast("int") for c in cuts), F.lit(0)), F.lit(0))
     return [df.filter(part == i) for i in range(n)]
 
 
