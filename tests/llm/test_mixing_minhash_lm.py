@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tillstream.llm import minhash, mixing, suffix_lm
 from tillstream.llm.common import crc_remainder
@@ -263,3 +264,11 @@ def test_texts_of_one_signature_are_all_linked(spark, odd, none, monkeypatch):
     assert got[200]["similar_classes"] == [] and got[51]["similar_classes"] is None
     assert minhash.fingerprints(odd).count() == odd.count()
     assert minhash.fingerprints(none).count() == 0
+    # a text that is not similar to its signature's representative is a class of its own
+    every = minhash.edited(docs).select("doc_id", "sig", "th")
+    rep = {r["r"] for r in every.groupBy("sig").agg(F.min("th").alias("r")).collect()}
+    alone = {r["th"] for r in minhash.apart(docs, every, similarity=1.01).collect()}
+    assert alone == {r["th"] for r in every.collect() if r["doc_id"] not in (150, 151)} - rep
+    monkeypatch.setattr(minhash, "apart", lambda d, p: every.filter("doc_id = 51").select("th"))
+    split = {r["doc_id"]: r["id"] for r in minhash.classes(docs, every).collect()}
+    assert split[50] == split[52] == split[53] != split[51]
