@@ -3,13 +3,12 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
+from support import INVOICE_DDL, make_invoice  # noqa: E402
 from tillstream.session import build_session  # noqa: E402
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -17,25 +16,6 @@ def spark():
     yield s
 
 
-INVOICE_DDL = (
-    "key string, invoiceNumber string, createdTime bigint, customerCardNo string, "
-    "totalAmount double, numberOfItems int, paymentMethod string, taxableAmount double, "
-    "cgst double, sgst double, cess double, storeID string, posID string, cashierID string, "
-    "customerType string, deliveryType string, "
-    "deliveryAddress struct<addressLine:string,city:string,state:string,pinCode:string,"
-    "contactNumber:string>, "
-    "invoiceLineItems array<struct<itemCode:string,itemDescription:string,itemPrice:double,"
-    "itemQty:int,totalValue:double>>, k bigint, event_time timestamp")
-
-
-def make_invoice(n, card, amount, ctype, dtype, addr=None, lines=(), minute=0, store="S1"):
-    from datetime import datetime, timedelta, timezone
-    t = datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(minutes=minute)
-    return (card, str(n), int(t.timestamp() * 1000), card, amount, len(lines), "CASH", amount,
-            None, None, None, store, "P1", "C1", ctype, dtype, addr, list(lines), n,
-            t.replace(tzinfo=None))
-
-
 @pytest.fixture
 def invoices(spark):
     addr = ("line 1", "Pune", "MH", "411001", "999")

@@ -67,7 +67,7 @@ def test_running_total_plan_spreads_a_key_over_buckets(spark):
 
 
 def test_last_changelog_row_per_card_equals_latest(spark):
-    from conftest import SF001
+    from support import SF001
     from tillstream.sources import adapters
     from tillstream.session import utc
     with utc(spark):

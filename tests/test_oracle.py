@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from tillstream.sources.tables import TABLES
 
-from conftest import SF001
+from support import SF001
 
 sys_tools = __import__("tools.check_oracle", fromlist=["digest"])
 

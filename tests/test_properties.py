@@ -56,7 +56,7 @@ INVOICE = st.tuples(TYPES, CTYPES, st.booleans(), st.lists(LINE, max_size=4),
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(invs=st.lists(INVOICE, min_size=1, max_size=12))
 def test_stateless_operators_match_python_model(spark, invs):
-    from conftest import INVOICE_DDL, make_invoice
+    from support import INVOICE_DDL, make_invoice
     from tillstream.operators import stateless
 
     rows, flat_lines = [], []

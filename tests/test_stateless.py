@@ -78,7 +78,7 @@ def test_output_schemas_match_declared_records(invoices):
 
 
 def test_flat_and_nested_flatten_agree(spark):
-    from conftest import SF001
+    from support import SF001
     from tillstream.session import utc
     from tillstream.sources import adapters
     with utc(spark):
@@ -91,7 +91,7 @@ def test_flat_and_nested_flatten_agree(spark):
 
 
 def test_nested_line_totals_equal_flat(spark):
-    from conftest import SF001
+    from support import SF001
     from tillstream.operators.enrichment import recompute_item_totals, with_line_totals
     from tillstream.session import utc
     from tillstream.sources import adapters

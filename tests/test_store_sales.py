@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tillstream.operators import store_sales
 from tillstream.sources import adapters
 
-from conftest import SF001
+from support import SF001
 
 
 def _events(spark, rows):

@@ -113,7 +113,7 @@ def test_stateful_processor_one_row_per_input_across_batches(spark, tmp_path):
 
 
 def test_batch_stream_parity_loyalty(spark):
-    from conftest import SF001
+    from support import SF001
     from tillstream.plans import catalog, streams
     with utc(spark):
         a = catalog.loyalty_latest(spark, SF001)
@@ -125,7 +125,7 @@ def test_batch_stream_parity_loyalty(spark):
 
 
 def test_fanout_counts(spark):
-    from conftest import SF001
+    from support import SF001
     from tillstream.plans import streams
     out = {r.output: r.rows for r in streams.fanout_counts(spark, SF001).collect()}
     assert set(out) == {"shipment", "hadoop-sink", "loyalty", "store-sales"}
