@@ -1,6 +1,7 @@
 """Registered queries of this subpackage and their DuckDB SQL."""
 
 from tillstream.llm.decontaminate import op5_benchmark_decontamination
+from tillstream.llm.fim import OP11_SQL, op11_fill_in_middle
 from tillstream.llm.langid import op4_language_id
 from tillstream.llm.minhash import op7_document_fingerprints
 from tillstream.llm.mixing import OP9_SQL, op9_mix_sources
@@ -22,9 +23,11 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_mix_sources": op9_mix_sources,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 #: Queries that SQL can express; the others are tested against brute force.
 SQL: dict[str, str] = {
     "op9_mix_sources": OP9_SQL,
+    "op11_fill_in_middle": OP11_SQL,
 }
