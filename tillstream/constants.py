@@ -14,6 +14,7 @@ CESS_RATE = "0.00125"
 WINDOW_SIZE_MINUTES = 60             # store-sales hopping window
 WINDOW_ADVANCE_MINUTES = 5
 WINDOW_GRACE_MINUTES = 2
+COMMIT_INTERVAL_MS = 1000            # changelogs are emitted at these ticks
 # Output names of the fan-out.
 INPUT_TOPIC = "pos-invoice"
 SHIPMENT_OUTPUT = "shipment"

@@ -7,9 +7,10 @@ do not depend on the order in which partitions combine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.functions.money import PARTS, money_parts, money_sum, total_of
+from tillstream.operators.running import prefix
 from tillstream.operators.stateless import earned_points, prime_filter
 
 CARD = "customerCardNo"
@@ -59,44 +60,11 @@ def loyalty_reduce(notifications: DataFrame, time_col: str = "event_time",
                              F.struct(time_col, tie_col))
 
 
-def _plus(a: Column, b: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, T.DecimalType):  # one digit less, so that the sum keeps its scale
-        narrow = f"decimal({kind.precision - 1},{kind.scale})"
-        return a.cast(narrow) + b.cast(narrow)
-    return a + b
-
-
 def running_total(df: DataFrame, key: str, order: list[str], values: list[str],
                   bucket: Column) -> DataFrame:
-    """Adds ``run_<value>``: running sums per ``key`` in ``order``, the row included.
-
-    ``bucket`` must follow ``order`` (a lesser bucket for earlier rows only), e.g.
-    the hour of the event time. A window runs within each (key, bucket), so a hot
-    key is spread over its buckets; the sums of a key's earlier buckets come from
-    a table of one row for each (key, bucket), aggregated map-side first, and are
-    joined back. Null keys are one group; null values count as nothing.
-    """
-    # (text, null flag) stands for the key and no bucket is null, so that plain equality joins
-    # and the rows stay where the window's shuffle has put them
-    group = ["_key", "_null", "_bucket"]
-    d = (df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("")))
-         .withColumn("_null", F.col(key).isNull())
-         .withColumn("_bucket", F.coalesce(bucket.cast("bigint"), F.lit(-(1 << 63)))))
-    kinds = {v: d.agg(F.sum(v).alias(v)).schema[v].dataType for v in values}
-
-    def zero(c: Column, v: str) -> Column:
-        return F.coalesce(c, F.lit(0).cast(kinds[v]))
-    upto = (Window.partitionBy(*group).orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.select("*", *[zero(F.sum(v).over(upto), v).alias(f"_in_{v}") for v in values])
-    sums = d.groupBy(*group).agg(*[F.sum(v).alias(v) for v in values])
-    earlier = (Window.partitionBy("_key", "_null").orderBy("_bucket")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sums.select(*group, *[
-        zero(F.sum(v).over(earlier), v).alias(f"_before_{v}") for v in values])
-    return local.join(offsets, group).select(*df.columns, *[
-        _plus(F.col(f"_in_{v}"), F.col(f"_before_{v}"), kinds[v]).alias(f"run_{v}")
-        for v in values])
+    """Adds ``run_<value>``: running sums per ``key`` in ``order``, the row included; a hot
+    key is spread over its buckets (``operators.running.prefix``)."""
+    return prefix(df, [key], order, dict.fromkeys(values, "sum"), bucket)
 
 
 def time_bucket(time_col: str, width_us: int) -> Column:

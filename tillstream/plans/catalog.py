@@ -10,8 +10,9 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillstream.constants import WINDOW_GRACE_MINUTES
-from tillstream.operators import enrichment, loyalty, metrics, stateless, store_sales
+from tillstream.constants import COMMIT_INTERVAL_MS, WINDOW_GRACE_MINUTES
+from tillstream.operators import (enrichment, loyalty, metrics, stateless, store_sales,
+                                  stream_time)
 from tillstream.session import utc
 from tillstream.sources import adapters
 from tillstream.sources.tables import read_table
@@ -149,6 +150,45 @@ def store_sales_final_batch(spark, sf_dir):
     return store_sales.closed_windows(store_sales.hopping_store_sales(ev), watermark)
 
 
+def _arriving(spark, sf_dir, delayed: bool = True):
+    """Events as records of a topic: partition, arrival and stream time.
+
+    A store's records share one of four partitions. They arrive in the order of their id,
+    or ``delayed`` by up to 90 minutes, so that many come late.
+    """
+    ev = adapters.store_events(spark, sf_dir)
+    at = F.unix_micros("event_time") + F.pmod(F.col("k") * F.lit(7919), F.lit(5400)) * F.lit(1_000_000)
+    store = F.substr("storeID", F.lit(4)).cast("bigint")
+    ev = ev.select("*", (at if delayed else F.col("k")).alias("arrival"),
+                   F.pmod(store, F.lit(4)).alias("partition"))
+    return stream_time.with_stream_time(ev, 3_600_000_000 if delayed else 1_000_000)
+
+
+@in_utc
+def store_sales_grace_exact(spark, sf_dir):
+    """Grace by the stream time of each record; events arrive in the order of their id."""
+    return stream_time.graced_store_sales(_arriving(spark, sf_dir, delayed=False))
+
+
+@in_utc
+def store_sales_grace_delayed(spark, sf_dir):
+    """The same with arrivals delayed by up to 90 minutes: late records miss windows."""
+    return stream_time.graced_store_sales(_arriving(spark, sf_dir))
+
+
+@in_utc
+def store_sales_changelog(spark, sf_dir):
+    """All emissions at the commit interval, of the delayed arrivals."""
+    tick = F.floor(F.col("arrival") / F.lit(COMMIT_INTERVAL_MS * 1000))
+    return stream_time.store_sales_changelog(_arriving(spark, sf_dir), tick)
+
+
+@in_utc
+def store_sales_suppressed(spark, sf_dir):
+    """Each closed window once, with the record that released it, of the delayed arrivals."""
+    return stream_time.suppressed_store_sales(_arriving(spark, sf_dir)).drop("released_at")
+
+
 @in_utc
 def line_enrichment(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select(
@@ -231,6 +271,10 @@ BATCH_QUERIES = {
     "store_sales_tumbling": store_sales_tumbling,
     "store_sales_unwindowed": store_sales_unwindowed,
     "store_sales_final_batch": store_sales_final_batch,
+    "store_sales_grace_exact": store_sales_grace_exact,
+    "store_sales_grace_delayed": store_sales_grace_delayed,
+    "store_sales_changelog": store_sales_changelog,
+    "store_sales_suppressed": store_sales_suppressed,
     "line_enrichment": line_enrichment,
     "line_totals": line_totals,
     "line_totals_nested": line_totals_nested,

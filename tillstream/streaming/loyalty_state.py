@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions.money import PARTS, money_parts, part_sums, total_of
-from tillstream.operators.loyalty import BATCH_BUCKET_US, CARD, _plus, running_points
+from tillstream.operators.loyalty import BATCH_BUCKET_US, CARD, running_points
+from tillstream.operators.running import plus
 from tillstream.operators.stateless import earned_points, prime_filter
 from tillstream.schemas import NOTIFICATION as OUTPUT_SCHEMA
 
@@ -72,7 +73,7 @@ def notifications_of_batch(rows: DataFrame, path: str, batch_id: int,
 
     def added(p: str):
         zero = F.lit(0).cast(kinds[p])
-        return _plus(F.coalesce(f"run_{p}", zero), F.coalesce(f"prior{p}", zero), kinds[p])
+        return plus(F.coalesce(f"run_{p}", zero), F.coalesce(f"prior{p}", zero), kinds[p])
     return both.select("invoiceNumber", CARD, "totalAmount",
                        *[added(p).alias(f"sum{p}") for p in PARTS]).select(
         "invoiceNumber", CARD, "totalAmount", earned_points().alias("earnedLoyaltyPoints"),
