@@ -12,7 +12,9 @@ boxes by greatest upper end; a box is skipped if its interval misses the score
 window, or lies strictly below the k-th score found so far (ties are looked at, as
 the smaller id wins). Every (tile, block of anchors) is one group of bounded size;
 the best of all tiles are merged per anchor by a ranked window (limited in every
-task first). Queries meet rows in blocks only, and nothing passes through the driver.
+task first). For negatives about the square root of the tiles is searched first: the
+k-th score found there is a lower bound for the other tiles, which then return few
+rows. Queries meet rows in blocks only, and nothing passes through the driver.
 
 First the positives of each anchor are searched in pages of its label, then, for each
 (anchor, positive), negatives in pages of other labels whose score lies between
@@ -247,6 +249,8 @@ def _searched(pages: pa.Table, anchors: pa.Table, k: int, low: int, high: int) -
                     continue
                 bounds = [(-(-low * w["score"] // 100), high * w["score"] // 100)
                           for w in r["windows"]]
+                bounds = [(a if w["least"] is None else max(a, w["least"]), b)
+                          for (a, b), w in zip(bounds, r["windows"])]
                 ask = [(w, b) for w, b in zip(r["windows"], bounds) if b[0] <= b[1]]
                 if ask:
                     hits = tree.search(q[i], least[i], greatest[i], [b for _, b in ask], k, None,
@@ -256,9 +260,9 @@ def _searched(pages: pa.Table, anchors: pa.Table, k: int, low: int, high: int) -
     return out
 
 
-def _search(pages: DataFrame, anchors: DataFrame, visits: DataFrame, tiles: int, blocks: int,
-            k: int, low: int = 0, high: int = 0) -> DataFrame:
-    """a, window, score, id, rank: the first ``k`` of each (anchor, window).
+def _hits(pages: DataFrame, anchors: DataFrame, visits: DataFrame, tiles: int, blocks: int,
+          k: int, low: int = 0, high: int = 0) -> DataFrame:
+    """a, window, score, id: the first ``k`` of each (anchor, window) in each tile.
 
     ``visits``: the tiles that each anchor has to look at (a, tile).
     """
@@ -274,9 +278,13 @@ def _search(pages: DataFrame, anchors: DataFrame, visits: DataFrame, tiles: int,
         rows = _searched(own, queries, k, low, high) if own.num_rows and queries.num_rows else []
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(
             zip(*rows) if rows else [()] * 4, kinds)], schema=kinds)
-    hits = (left.repartition(n, *keys).groupBy(*keys)
+    return (left.repartition(n, *keys).groupBy(*keys)
             .cogroup(right.repartition(n, *keys).groupBy(*keys))
             .applyInArrow(run, "a bigint, window int, score bigint, id bigint"))
+
+
+def _ranked(hits: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` of each (anchor, window), with their ``rank``."""
     order = Window.partitionBy("a", "window").orderBy(F.desc("score"), "id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -297,13 +305,24 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = POSITIV
     # positives: the tiles that hold the anchor's label
     held = pages.select("label", "dim", "tile").distinct()
     own = queries.withColumn("dim", F.size("v")).join(held, ["label", "dim"]).select("a", "tile")
-    best = staged(_search(pages, queries, own, tiles, blocks, positives), "negatives-positives")
-    # negatives: every tile
-    asked = queries.join(best.groupBy("a").agg(F.sort_array(F.collect_list(
-        F.struct("rank", "score"))).alias("windows")), "a")
+    best = staged(_ranked(_hits(pages, queries, own, tiles, blocks, positives), positives),
+                  "negatives-positives")
+    # negatives: every tile, the first ones without a bound
     numbers = F.sequence(F.lit(0), F.lit(max(tiles, 1) - 1)).cast("array<bigint>")
-    every = asked.select("a", F.explode(numbers).alias("tile"))
-    hits = _search(pages, asked, every, tiles, blocks, negatives, low, high)
+    visits = best.select("a").distinct().select("a", F.explode(numbers).alias("tile"))
+    early = F.col("tile") % (math.isqrt(max(tiles, 1) - 1) + 1) == 0
+
+    def found(bounds: DataFrame, which: Column) -> DataFrame:
+        windows = bounds.groupBy("a").agg(F.sort_array(F.collect_list(
+            F.struct("rank", "score", "least"))).alias("windows"))
+        return _hits(pages.where(which), queries.join(windows, "a"), visits.where(which), tiles,
+                     blocks, negatives, low, high)
+    first = staged(found(best.withColumn("least", F.lit(None).cast("bigint")), early),
+                   "negatives-first")
+    least = _ranked(first, negatives).where(F.col("rank") == negatives).select(
+        "a", F.col("window").alias("rank"), F.col("score").alias("least"))
+    hits = _ranked(first.unionByName(found(best.join(least, ["a", "rank"], "left"), ~early)),
+                   negatives)
 
     def given(c: str) -> Column:
         return F.when(F.col(c) != LAST_ID, F.col(c))
