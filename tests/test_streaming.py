@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tillstream.session import scratch_path, utc
 from tillstream.streaming import jobs
-from tillstream.streaming.loyalty_state import loyalty_rows, loyalty_stateful_writer
+from tillstream.streaming.loyalty_state import (card_totals, loyalty_rows, loyalty_stateful,
+                                                loyalty_stateful_writer, state_operators)
 from tillstream.streaming.sinks import batch_dir_writer, last_emission, read_batches, run_bounded
 from tillstream.plans import streams
 from tillstream.plans.catalog import BATCH_QUERIES
@@ -104,9 +105,8 @@ def test_stateful_processor_one_row_per_input_across_batches(spark, tmp_path):
     _write_files(spark, folder, [b0, b1], NOTIF_DDL)
     root = scratch_path(spark, "tws")
     with utc(spark):
-        run_bounded(loyalty_rows(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck", "append",
-                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), f"{root}/totals",
-                                            every=2))
+        run_bounded(loyalty_stateful(loyalty_rows(_stream(spark, folder, NOTIF_DDL))), f"{root}/ck", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out")))
         out = spark.read.parquet(f"{root}/out").orderBy("invoiceNumber").collect()
     assert [(r.invoiceNumber, r.totalLoyaltyPoints) for r in out] == [
         ("1", 2.0), ("2", 3.0), ("3", 3.5)]
@@ -246,9 +246,8 @@ def test_stateful_loyalty_matches_model_over_random_batches(spark, tmp_path):
     _write_files(spark, folder, batches, NOTIF_DDL)
     root = scratch_path(spark, "tws-model")
     with utc(spark):
-        run_bounded(loyalty_rows(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck", "append",
-                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), f"{root}/totals",
-                                            every=2))
+        run_bounded(loyalty_stateful(loyalty_rows(_stream(spark, folder, NOTIF_DDL))), f"{root}/ck", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out")))
         got = {r.invoiceNumber: r.totalLoyaltyPoints for r in spark.read.parquet(f"{root}/out").collect()}
     expect, totals = {}, {}
     for rows in batches:
@@ -363,14 +362,55 @@ def test_stateful_loyalty_null_amount(spark, tmp_path):
     _write_files(spark, folder, [b0, b1], NOTIF_DDL)
     root = scratch_path(spark, "tws-null")
     with utc(spark):
-        run_bounded(loyalty_rows(_stream(spark, folder, NOTIF_DDL)), f"{root}/ck", "append",
-                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out"), f"{root}/totals",
-                                            every=2))
+        run_bounded(loyalty_stateful(loyalty_rows(_stream(spark, folder, NOTIF_DDL))), f"{root}/ck", "append",
+                    loyalty_stateful_writer(batch_dir_writer(f"{root}/out")))
         out = spark.read.parquet(f"{root}/out").orderBy("invoiceNumber").collect()
     assert [(r.invoiceNumber, r.earnedLoyaltyPoints, r.totalLoyaltyPoints) for r in out] == [
         ("1", 2.0, 2.0), ("2", None, 2.0), ("3", 1.0, 3.0)]
 
 
+def test_card_totals_read_back_from_state(spark, tmp_path):
+    """Null cards and odd amounts; as of every batch; the operator's metadata."""
+    t = lambda d: datetime(2024, 1, d)
+    folder = str(tmp_path / "in")
+    batches = [[("C1", "1", 100.0, "PRIME", t(1), 1), (None, "2", 1.5, "PRIME", t(1), 2)],
+               [("C1", "3", 0.1 + 0.2, "PRIME", t(3), 3), ("C2", "4", 1e16, "PRIME", t(3), 4)],
+               [(None, "5", 2.5, "PRIME", t(4), 5), ("C3", "6", 7.0, "NONPRIME", t(4), 6)]]
+    _write_files(spark, folder, batches, NOTIF_DDL)
+    root = scratch_path(spark, "tws-read")
+    with utc(spark):
+        run_bounded(loyalty_stateful(loyalty_rows(_stream(spark, folder, NOTIF_DDL))), f"{root}/ck",
+                    "append", loyalty_stateful_writer(batch_dir_writer(f"{root}/out")))
+        out = {r.invoiceNumber: r.totalLoyaltyPoints
+               for r in spark.read.parquet(f"{root}/out").collect()}
+        held = [{r.customerCardNo: r.totalLoyaltyPoints
+                 for r in card_totals(spark, f"{root}/ck", b).collect()} for b in (0, 1, 2, None)]
+        ops = state_operators(spark, f"{root}/ck").collect()
+    assert held[0] == {"C1": 2.0, None: 0.03}
+    assert held[1] == {"C1": 100.3 * 0.02, None: 0.03, "C2": 2e14}
+    assert held[2] == held[3] == {"C1": 100.3 * 0.02, None: 0.08, "C2": 2e14}
+    assert out["5"] == 0.08 and out["3"] == 100.3 * 0.02 and "6" not in out
+    assert {(o.operatorName, o.maxBatchId) for o in ops} == {("transformWithStateInPySparkExec", 2)}
+
+
+def test_hot_card_reaches_its_state_as_few_rows(spark):
+    import pyarrow as pa
+    from tillstream.streaming.loyalty_state import _summed
+    n = 5000
+    rows = spark.range(n).selectExpr(
+        "if(id % 10 < 9, 'hot', cast(id as string)) as customerCardNo", "id as _hi",
+        "cast(1 as bigint) as _lo", "cast(0.1 as decimal(38,12)) as _dec",
+        "cast(null as double) as _rest")
+    table = pa.Table.from_pandas(rows.toPandas(), schema=pa.schema([
+        ("customerCardNo", pa.string()), ("_hi", pa.int64()), ("_lo", pa.int64()),
+        ("_dec", pa.decimal128(38, 12)), ("_rest", pa.float64())]))
+    out = pa.Table.from_batches(_summed(iter(table.to_batches(max_chunksize=1000)))).to_pylist()
+    hot = [r for r in out if r["customerCardNo"] == "hot"]
+    assert len(hot) == 5 and sum(r["_lo"] for r in hot) == n * 9 // 10
+    assert sum(r["_dec"] for r in hot) * 10 == n * 9 // 10 and len(out) == 5 + n // 10
+    assert all(r["_rest"] is None for r in out)
+
+
 def test_time_limit_raises_and_stops_the_query(spark, tmp_path):
     import pytest
     folder = str(tmp_path / "in")

@@ -20,7 +20,8 @@ from tillstream.operators import stateless, store_sales
 from tillstream.operators.metrics import observe_intake
 from tillstream.streaming import jobs
 from tillstream.schemas import INVOICE_COLUMNS
-from tillstream.streaming.loyalty_state import loyalty_rows, loyalty_stateful_writer
+from tillstream.streaming.loyalty_state import (loyalty_rows, loyalty_stateful,
+                                                loyalty_stateful_writer)
 from tillstream.streaming.sinks import batch_dir_writer, start, stream_conf, wait_for
 
 OUTPUTS = (SHIPMENT_OUTPUT, HADOOP_OUTPUT, LOYALTY_OUTPUT, STORE_SALES_OUTPUT)
@@ -104,8 +105,8 @@ def _loyalty_query(invoices, paths, writers, mode, opts):
         return start(jobs.loyalty_updates(invoices, None if arrival else "event_time"), ckpt,
                      "update", writers[LOYALTY_OUTPUT], **opts)
     if mode == "stateful":
-        return start(loyalty_rows(invoices), ckpt, "append",
-                     loyalty_stateful_writer(writers[LOYALTY_OUTPUT], f"{ckpt}-totals"), **opts)
+        return start(loyalty_stateful(loyalty_rows(invoices)), ckpt, "append",
+                     loyalty_stateful_writer(writers[LOYALTY_OUTPUT]), **opts)
     raise ValueError(f"unknown loyalty mode {mode}")
 
 

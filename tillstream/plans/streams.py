@@ -17,8 +17,8 @@ from tillstream.sources import adapters
 from tillstream.sources.codec import decode_json, encode_json
 from tillstream.streaming import jobs
 from tillstream.sources.tables import read_table, table_schema
-from tillstream.streaming.loyalty_state import (OUTPUT_SCHEMA, loyalty_rows,
-                                                loyalty_stateful_writer)
+from tillstream.streaming import loyalty_state
+from tillstream.streaming.loyalty_state import OUTPUT_SCHEMA, loyalty_rows, loyalty_stateful_writer
 from tillstream.streaming.sinks import batch_dir_writer, last_emission, read_batches, run_bounded
 
 #: Parts of a table that become micro-batches.
@@ -43,7 +43,15 @@ def _parts(spark, sf_dir: str, table: str, order: str, n: int = PARTS_OF_TABLE)
     return [df.filter(part == i) for i in range(n)]
 
 
-def _replay(parts: list[DataFrame], name: str, schema, job, mode: str, sink=None):
+def _parts_by_key(spark, sf_dir: str, table: str, key: str, n: int = PARTS_OF_TABLE):
+    """The whole table cut into ``n`` parts by a key's remainder."""
+    df = read_table(spark, sf_dir, table)
+    part = F.coalesce(F.pmod(F.col(key), F.lit(n)), F.lit(0))
+    return [df.filter(part == i) for i in range(n)]
+
+
+def _replay(parts: list[DataFrame], name: str, schema, job, mode: str, sink=None,
+            root: str | None = None, **run):
     """Run ``job`` over the parts of a table, one part for each micro-batch.
 
     Each part is appended to the stream's folder and the query is started anew on
@@ -51,12 +59,12 @@ def _replay(parts: list[DataFrame], name: str, schema, job, mode: str, sink=None
     Returns what was written, by batch.
     """
     spark = parts[0].sparkSession
-    root = scratch_path(spark, name)
+    root = root or scratch_path(spark, name)
     sink = sink(root) if sink else batch_dir_writer(f"{root}/out")
     for part in parts:
         part.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(parts[0].schema).parquet(f"{root}/in")
-        run_bounded(job(stream), f"{root}/checkpoint", mode, sink)
+        run_bounded(job(stream), f"{root}/checkpoint", mode, sink, **run)
     return read_batches(spark, f"{root}/out", schema)
 
 
@@ -93,19 +101,39 @@ def loyalty_restart(spark, sf_dir):
     return last_emission(out, ["customerCardNo"]).select(*NOTIFICATION.fieldNames())
 
 
+def _stateful(spark, sf_dir, parts, root: str) -> DataFrame:
+    """Run the per-record processor over parts of the orders; its output by batch."""
+    def job(orders):
+        return loyalty_state.loyalty_stateful(loyalty_rows(adapters.invoices(
+            spark, sf_dir, lines=False, items=False, address=False, orders=orders)))
+    return _replay(parts, "loyalty-stateful", OUTPUT_SCHEMA, job, "append",
+                   lambda r: loyalty_stateful_writer(batch_dir_writer(f"{r}/out")), root)
+
+
 @in_utc
 def loyalty_stateful(spark, sf_dir):
     """Per-record processor over four parts: one notification per prime invoice."""
-    def job(orders):
-        return loyalty_rows(adapters.invoices(spark, sf_dir, lines=False, items=False,
-                                              address=False, orders=orders))
-    out = _replay(_parts(spark, sf_dir, "orders", "o_orderdate"), "loyalty-stateful",
-                  OUTPUT_SCHEMA, job, "append",
-                  lambda root: loyalty_stateful_writer(batch_dir_writer(f"{root}/out"),
-                                                       f"{root}/totals", every=2))
+    out = _stateful(spark, sf_dir, _parts(spark, sf_dir, "orders", "o_orderdate"),
+                    scratch_path(spark, "loyalty-stateful"))
     return out.drop("batch_id")
 
 
+@in_utc
+def loyalty_state_snapshot(spark, sf_dir):
+    """The state of the stopped per-record processor, read back: each card's total."""
+    root = scratch_path(spark, "loyalty-state")
+    _stateful(spark, sf_dir, _parts_by_key(spark, sf_dir, "orders", "o_orderkey"), root)
+    return loyalty_state.card_totals(spark, f"{root}/checkpoint")
+
+
+@in_utc
+def loyalty_state_at_batch(spark, sf_dir):
+    """The same as it stood after the second of four batches."""
+    root = scratch_path(spark, "loyalty-state")
+    _stateful(spark, sf_dir, _parts_by_key(spark, sf_dir, "orders", "o_orderkey"), root)
+    return loyalty_state.card_totals(spark, f"{root}/checkpoint", batch_id=1)
+
+
 @in_utc
 def store_sales_stream_update(spark, sf_dir):
     """Update-mode hopping windows over four parts by time; last emission per (window, store)."""
@@ -206,6 +234,8 @@ STREAM_QUERIES = {
     "loyalty_stream_update": loyalty_stream_update,
     "loyalty_restart": loyalty_restart,
     "loyalty_stateful": loyalty_stateful,
+    "loyalty_state_snapshot": loyalty_state_snapshot,
+    "loyalty_state_at_batch": loyalty_state_at_batch,
     "store_sales_stream_update": store_sales_stream_update,
     "store_sales_final_only": store_sales_final_only,
     "store_sales_late": store_sales_late,
