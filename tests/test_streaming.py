@@ -369,6 +369,33 @@ def test_stateful_loyalty_null_amount(spark, tmp_path):
         ("1", 2.0, 2.0), ("2", None, 2.0), ("3", 1.0, 3.0)]
 
 
+def test_panes_in_state_and_their_late_rows(spark, tmp_path):
+    """A record within the grace counts as in the direct form; one whose pane has closed is
+    lost to its open windows too, where the direct form still adds it."""
+    t = lambda h, m: datetime(2024, 1, 1, h, m)
+    batches = [[("S1", 1.0, t(0, 7), 1)], [("S1", 2.0, t(1, 10), 2)],
+               [("S1", 4.0, t(1, 11), 3), ("S1", 8.0, t(1, 9), 4)],  # the last in the grace
+               [("S1", 16.0, t(0, 12), 5)],  # its pane ended 00:15, window [00:10, 01:10) is open
+               [("S1", 32.0, t(5, 0), 6)], [("S1", 64.0, t(9, 0), 7)]]
+    folder = str(tmp_path / "in")
+    _write_files(spark, folder, batches, EV_DDL)
+    got = {}
+    for name, job, direct in (("panes", jobs.store_sales_panes_stream, False),
+                              ("direct", jobs.store_sales_stream, True)):
+        root = scratch_path(spark, name)
+        with utc(spark):
+            run_bounded(job(_stream(spark, folder, EV_DDL)), f"{root}/ck", "append",
+                        batch_dir_writer(f"{root}/out"), late_rows_per_window=direct)
+            rows = spark.read.parquet(f"{root}/out").collect()
+        got[name] = {r.window_end: r.totalSale for r in rows}
+        assert len(rows) == len(got[name])
+    differ = {e for e in got["direct"] if got["direct"][e] != got["panes"].get(e)}
+    assert differ == {t(1, 10)}
+    # 1:09 and 00:12 in the direct form, without 00:12 in panes
+    assert (got["direct"][t(1, 10)], got["panes"][t(1, 10)]) == (24.0, 8.0)
+    assert got["panes"][t(1, 15)] == 14.0 and got["panes"][t(0, 10)] == 1.0
+
+
 def test_card_totals_read_back_from_state(spark, tmp_path):
     """Null cards and odd amounts; as of every batch; the operator's metadata."""
     t = lambda d: datetime(2024, 1, d)

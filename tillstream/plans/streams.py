@@ -150,6 +150,16 @@ def store_sales_final_only(spark, sf_dir):
     return out.drop("batch_id")
 
 
+@in_utc
+def store_sales_final_panes(spark, sf_dir):
+    """The same by chained aggregates: panes in state, then windows over closed panes."""
+    def job(events):
+        return jobs.store_sales_panes_stream(adapters.store_events(spark, sf_dir, events))
+    out = _replay(_parts(spark, sf_dir, "events", "ts"), "store-sales-panes", STORE_OUT, job,
+                  "append", late_rows_per_window=False)
+    return out.drop("batch_id")
+
+
 @in_utc
 def store_sales_late(spark, sf_dir):
     """Grace: parts by event id, so that later parts hold late events; each is added to the
@@ -238,6 +248,7 @@ STREAM_QUERIES = {
     "loyalty_state_at_batch": loyalty_state_at_batch,
     "store_sales_stream_update": store_sales_stream_update,
     "store_sales_final_only": store_sales_final_only,
+    "store_sales_final_panes": store_sales_final_panes,
     "store_sales_late": store_sales_late,
     "invoice_decode_json": invoice_decode_json,
     "loyalty_encode_json": loyalty_encode_json,
