@@ -77,29 +77,6 @@ def test_invoice_totals_match_assembly(spark):
     assert {r.invoiceNumber: r.totalAmount for r in b.collect()} == {"A": 315.5, "B": 0.3}
 
 
-def _has_class(spark, name):
-    try:
-        spark.sparkContext._jvm.java.lang.Class.forName(name)
-        return True
-    except Exception:
-        return False
-
-
-def test_avro_round_trip_when_package_present(spark, invoices):
-    import pytest
-    from tillstream.sources.codec import decode_avro, encode_avro
-    if not _has_class(spark, "org.apache.spark.sql.avro.AvroDataToCatalyst"):
-        pytest.skip("spark-avro package not on the classpath")
-    cols = [f.name for f in NOTIFICATION.fields]
-    notes = invoices.select("key", "invoiceNumber", "customerCardNo", "totalAmount",
-                            F.lit(1.0).alias("earnedLoyaltyPoints"),
-                            F.lit(None).cast("double").alias("totalLoyaltyPoints"))
-    schema = avro_schema_json(NOTIFICATION, "Notification")
-    enc = encode_avro(notes, cols, schema_json=schema)
-    dec = decode_avro(enc, schema, registry_framed=False)
-    assert dec.select("key", *cols).exceptAll(notes.select("key", *cols)).count() == 0
-
-
 def test_messages_with_record_time_and_offsets(spark, invoices):
     from datetime import datetime
     from tillstream.sources.adapters import invoices_from_messages

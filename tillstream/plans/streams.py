@@ -14,7 +14,8 @@ from tillstream.plans.fanout import run_fanout
 from tillstream.schemas import NOTIFICATION, POS_INVOICE
 from tillstream.session import scratch_path
 from tillstream.sources import adapters
-from tillstream.sources.codec import decode_json, encode_json
+from tillstream.sources.codec import (avro_schema_json, decode_avro, decode_avro_key, decode_json,
+                                      encode_avro, encode_json)
 from tillstream.streaming import jobs
 from tillstream.sources.tables import read_table, table_schema
 from tillstream.streaming import loyalty_state
@@ -190,6 +191,40 @@ def loyalty_encode_json(spark, sf_dir):
                        NOTIFICATION.fieldNames())
 
 
+def _writer_schemas() -> dict[int, str]:
+    """Two versions of the invoice: the fields in their order; and in reverse order, with one
+    that the reader does not know."""
+    newer = T.StructType([T.StructField("terminal", T.IntegerType()), *POS_INVOICE.fields[::-1]])
+    return {11: avro_schema_json(POS_INVOICE, "PosInvoice"),
+            12: avro_schema_json(newer, "PosInvoice")}
+
+
+@in_utc
+def invoice_decode_avro(spark, sf_dir):
+    """Nested invoices as registry-framed Avro, each by one of two writer schemas, decoded
+    by the schema of its frame and resolved to the reader's fields by name."""
+    schemas = _writer_schemas()
+    inv = adapters.invoices(spark, sf_dir, lines=True).withColumn("terminal", F.lit(7))
+    fields = [f.name for f in POS_INVOICE.fields]
+    encoded = [encode_avro(inv.where(F.col("k") % 2 == i), cols, schema_json=schemas[n], schema_id=n)
+               for i, (n, cols) in enumerate(zip(schemas, (fields, ["terminal", *fields])))]
+    dec = decode_avro(encoded[0].union(encoded[1]), schemas, reader=POS_INVOICE)
+    return flat_invoice(dec.withColumn("numberOfItems", F.size("invoiceLineItems")))
+
+
+@in_utc
+def loyalty_encode_avro(spark, sf_dir):
+    """Loyalty notifications as framed Avro with framed keys, read back: key and record."""
+    from tillstream.operators.loyalty import loyalty_changelog
+    n = loyalty_changelog(adapters.invoices(spark, sf_dir, lines=False, items=False,
+                                             address=False))
+    schema = avro_schema_json(NOTIFICATION, "Notification")
+    sent = encode_avro(n.withColumn("key", F.col("customerCardNo")), NOTIFICATION.fieldNames(),
+                       schema_json=schema, schema_id=21, key_schema_id=22)
+    return decode_avro(decode_avro_key(sent.withColumnRenamed("key", "key_bytes")),
+                       {21: schema}, reader=NOTIFICATION)
+
+
 @in_utc
 def fanout_counts(spark, sf_dir):
     """Run the four-output fan-out on the order stream; rows per output (final
@@ -252,6 +287,8 @@ STREAM_QUERIES = {
     "store_sales_late": store_sales_late,
     "invoice_decode_json": invoice_decode_json,
     "loyalty_encode_json": loyalty_encode_json,
+    "invoice_decode_avro": invoice_decode_avro,
+    "loyalty_encode_avro": loyalty_encode_avro,
     "fanout_counts": fanout_counts,
     "fanout_shipment": fanout_shipment,
     "fanout_hadoop": fanout_hadoop,

@@ -181,12 +181,13 @@ def customer_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def invoices_from_messages(messages: DataFrame, value_format: str = "json",
-                           avro_schema: str | None = None,
+                           avro_schema: str | dict[int, str] | None = None,
                            event_time: str = "createdTime",
                            key_format: str = "string") -> DataFrame:
     """Kafka-shaped (key, value[, timestamp, partition, offset]) rows -> invoice rows.
 
-    ``key_format="avro"`` decodes registry-framed Avro keys from ``key_bytes``
+    ``avro_schema`` is the writer schema, or schemas by the registry id of the
+    frame. ``key_format="avro"`` decodes registry-framed Avro keys from ``key_bytes``
     (as ``kafka_stream`` provides); ``event_time="createdTime"`` uses the
     invoice's own epoch-millis field;
     ``"timestamp"`` uses the record (broker) time. The tie key ``k`` is the
@@ -200,7 +201,7 @@ def invoices_from_messages(messages: DataFrame, value_format: str = "json",
     if value_format == "json":
         inv = decode_json(messages, POS_INVOICE, keep=keep)
     elif value_format == "avro":
-        inv = decode_avro(messages, avro_schema, keep=keep)
+        inv = decode_avro(messages, avro_schema, keep=keep, reader=POS_INVOICE)
     else:
         raise ValueError(f"unknown value format {value_format}")
     if event_time == "timestamp":
