@@ -57,30 +57,43 @@ def windowed_store_sales(df: DataFrame, size_minutes: int = WINDOW_SIZE_MINUTES,
                                      store_col, total_of()))
 
 
-def _store_sales_panes(df, size_minutes, advance_minutes, time_col, store_col, amount_col,
-                       keep_window):
+def pane_sums(df: DataFrame, advance_minutes: int = WINDOW_ADVANCE_MINUTES,
+              time_col: str = "event_time", store_col: str = "storeID",
+              amount_col: str = "totalAmount") -> DataFrame:
+    """Parts of the total per store and pane (``_pane`` numbers the advance steps)."""
     pane_ms = advance_minutes * 60_000
-    n = size_minutes // advance_minutes
     rows = df.select(F.col(store_col).alias(store_col),
                      F.floor(F.unix_millis(F.col(time_col).cast("timestamp")) / F.lit(pane_ms))
                      .alias("_pane"),
                      *money_parts(amount_col))
-    if n == 1:  # tumbling: a pane is a window, one aggregate
-        agg = rows.groupBy(store_col, F.col("_pane").alias("_wpane")).agg(*part_sums())
-        start = F.timestamp_millis(F.col("_wpane") * F.lit(pane_ms))
-        end = F.timestamp_millis((F.col("_wpane") + F.lit(1)) * F.lit(pane_ms))
-        return agg.select(*_window_frame(start, end, keep_window, store_col, total_of()))
-    panes = rows.groupBy(store_col, "_pane").agg(*part_sums())
-    # each pane belongs to the n windows starting at pane-n+1 .. pane
-    fanned = panes.select(store_col, *PARTS,
-                          F.explode(F.sequence(F.col("_pane") - F.lit(n - 1), F.col("_pane")))
-                          .alias("_wpane"))
-    agg = fanned.groupBy(store_col, "_wpane").agg(*part_sums())
+    return rows.groupBy(store_col, "_pane").agg(*part_sums())
+
+
+def windows_of_panes(panes: DataFrame, size_minutes: int = WINDOW_SIZE_MINUTES,
+                     advance_minutes: int = WINDOW_ADVANCE_MINUTES, store_col: str = "storeID",
+                     keep_window: bool = True) -> DataFrame:
+    """Totals per (window, store) of pane sums (one row per store and pane)."""
+    pane_ms = advance_minutes * 60_000
+    n = size_minutes // advance_minutes
     start = F.timestamp_millis(F.col("_wpane") * F.lit(pane_ms))
     end = F.timestamp_millis((F.col("_wpane") + F.lit(n)) * F.lit(pane_ms))
+    if n == 1:  # tumbling: a pane is a window, one aggregate
+        agg = panes.withColumnRenamed("_pane", "_wpane")
+    else:
+        # each pane belongs to the n windows starting at pane-n+1 .. pane
+        fanned = panes.select(store_col, *PARTS,
+                              F.explode(F.sequence(F.col("_pane") - F.lit(n - 1), F.col("_pane")))
+                              .alias("_wpane"))
+        agg = fanned.groupBy(store_col, "_wpane").agg(*part_sums())
     return agg.select(*_window_frame(start, end, keep_window, store_col, total_of()))
 
 
+def _store_sales_panes(df, size_minutes, advance_minutes, time_col, store_col, amount_col,
+                       keep_window):
+    panes = pane_sums(df, advance_minutes, time_col, store_col, amount_col)
+    return windows_of_panes(panes, size_minutes, advance_minutes, store_col, keep_window)
+
+
 def hopping_store_sales(df: DataFrame, **kw) -> DataFrame:
     """The configured hopping window (60 min, advancing by 5 min)."""
     return windowed_store_sales(df, WINDOW_SIZE_MINUTES, WINDOW_ADVANCE_MINUTES, **kw)

@@ -4,11 +4,15 @@ folder and returns a batch DataFrame over what the stream wrote."""
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tillstream.constants import (HADOOP_OUTPUT, LOYALTY_OUTPUT, SHIPMENT_OUTPUT,
                                   STORE_SALES_OUTPUT)
+from tillstream.functions.money import money_sum
+from tillstream.operators import stateless
+from tillstream.operators.metrics import observe_intake
 from tillstream.plans.catalog import flat_invoice, in_utc
 from tillstream.plans.fanout import run_fanout
 from tillstream.schemas import NOTIFICATION, POS_INVOICE
@@ -16,9 +20,11 @@ from tillstream.session import scratch_path
 from tillstream.sources import adapters
 from tillstream.sources.codec import (avro_schema_json, decode_avro, decode_avro_key, decode_json,
                                       encode_avro, encode_json)
-from tillstream.streaming import jobs
+from tillstream.sources.log import read_log, with_offsets, write_log
+from tillstream.streaming import cut, jobs
 from tillstream.sources.tables import read_table, table_schema
 from tillstream.streaming import loyalty_state
+from tillstream.streaming.intake import IntakeTable, read_intake
 from tillstream.streaming.loyalty_state import OUTPUT_SCHEMA, loyalty_rows, loyalty_stateful_writer
 from tillstream.streaming.sinks import batch_dir_writer, last_emission, read_batches, run_bounded
 
@@ -229,7 +235,7 @@ def loyalty_encode_avro(spark, sf_dir):
 def fanout_counts(spark, sf_dir):
     """Run the four-output fan-out on the order stream; rows per output (final
     state for the two changelog outputs)."""
-    inv = adapters.invoices(spark, sf_dir, lines=True, stream=True)
+    inv = _invoice_stream(spark, sf_dir)
     paths = run_fanout(inv, scratch_path(spark, "fanout"))
     ship = spark.read.parquet(paths.out(SHIPMENT_OUTPUT))
     hadoop = spark.read.parquet(paths.out(HADOOP_OUTPUT))
@@ -245,9 +251,20 @@ def fanout_counts(spark, sf_dir):
     return out
 
 
+def _invoice_stream(spark, sf_dir) -> DataFrame:
+    """Invoices as a stream of the orders by date, in about four micro-batches."""
+    root = scratch_path(spark, "orders-in")
+    for part in _parts(spark, sf_dir, "orders", "o_orderdate"):
+        part.write.mode("append").parquet(root)
+    files = len(spark.read.parquet(root).inputFiles())
+    orders = (spark.readStream.schema(table_schema(spark, sf_dir, "orders"))
+              .option("maxFilesPerTrigger", max(1, files // PARTS_OF_TABLE)).parquet(root))
+    return adapters.invoices(spark, sf_dir, lines=True, orders=orders)
+
+
 def _fanout_output(spark, sf_dir, name: str) -> DataFrame:
     """The rows that the fan-out over the order stream writes to one output."""
-    inv = adapters.invoices(spark, sf_dir, lines=True, stream=True)
+    inv = _invoice_stream(spark, sf_dir)
     paths = run_fanout(inv, scratch_path(spark, f"fanout-{name}"), outputs=(name,))
     return spark.read.parquet(paths.out(name))
 
@@ -275,6 +292,73 @@ def fanout_store_sales(spark, sf_dir):
                          ["window_start", "window_end", "storeID"])
 
 
+class OutputFailure(RuntimeError):
+    """Raised on purpose between two outputs."""
+
+
+@in_utc
+def fanout_consistent_cut(spark, sf_dir):
+    """All four outputs as of one committed batch: rows and amount of each.
+
+    Four batches; the third fails between two outputs and is replayed, the fourth fails
+    there and is not, so no output shows any of it.
+    """
+    root = scratch_path(spark, "cut")
+    failures = {2: 1, 3: 1}
+
+    def fail(name: str, batch_id: int):
+        if name == HADOOP_OUTPUT and failures.get(batch_id, 0):
+            failures[batch_id] -= 1
+            raise OutputFailure(f"batch {batch_id} after {name}")
+    for number, part in enumerate(_parts_by_key(spark, sf_dir, "orders", "o_orderkey")):
+        part.write.mode("append").parquet(f"{root}/in")
+        for attempt in range(1 if number == 3 else 2):
+            orders = spark.readStream.schema(part.schema).parquet(f"{root}/in")
+            inv = adapters.invoices(spark, sf_dir, lines=True, orders=orders)
+            try:
+                run_bounded(inv, f"{root}/checkpoint", "append", cut.cut_writer(root, fail))
+                break
+            except StreamingQueryException as e:
+                if OutputFailure.__name__ not in str(e):
+                    raise
+    amount = {SHIPMENT_OUTPUT: "totalAmount", HADOOP_OUTPUT: "totalValue",
+              LOYALTY_OUTPUT: "totalAmount", STORE_SALES_OUTPUT: "totalSale"}
+    out = None
+    for name, column in amount.items():
+        own = cut.read_cut(spark, root, name).agg(
+            F.count(F.lit(1)).alias("rows"), money_sum(column).alias("amount"))
+        own = own.select(F.lit(name).alias("output"), "rows", "amount")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+@in_utc
+def intake_progress(spark, sf_dir):
+    """Intake metrics of every micro-batch of a four-part run, as a listener stored them."""
+    root = scratch_path(spark, "intake")
+
+    def job(orders):
+        return observe_intake(adapters.invoices(spark, sf_dir, lines=False, items=False,
+                                                address=False, orders=orders))
+    with IntakeTable(spark, f"{root}/table"):
+        _replay(_parts_by_key(spark, sf_dir, "orders", "o_orderkey"), "intake", NOTIFICATION, job,
+                "append", lambda r: ("noop", r), root)
+    return read_intake(spark, f"{root}/table").drop("query")
+
+
+@in_utc
+def partition_replay(spark, sf_dir):
+    """One partition of a log of notifications, keyed by card, read from offset 0."""
+    rows = stateless.notification(adapters.invoices(
+        spark, sf_dir, lines=False, items=False, address=False), keep=("key", "event_time", "k"))
+    rows = rows.withColumn("partition", F.pmod(F.col("key").cast("bigint"), F.lit(3)).cast("int"))
+    day = F.floor(F.unix_micros(F.col("event_time").cast("timestamp")) / F.lit(86_400_000_000))
+    path = scratch_path(spark, "log")
+    write_log(with_offsets(rows, ["event_time", "k"], day), path)
+    return read_log(spark, path, partition=0).select(
+        "partition", "offset", "key", "invoiceNumber", "totalAmount", "earnedLoyaltyPoints")
+
+
 STREAM_QUERIES = {
     "loyalty_stream_update": loyalty_stream_update,
     "loyalty_restart": loyalty_restart,
@@ -294,4 +378,7 @@ STREAM_QUERIES = {
     "fanout_hadoop": fanout_hadoop,
     "fanout_loyalty": fanout_loyalty,
     "fanout_store_sales": fanout_store_sales,
+    "fanout_consistent_cut": fanout_consistent_cut,
+    "intake_progress": intake_progress,
+    "partition_replay": partition_replay,
 }
