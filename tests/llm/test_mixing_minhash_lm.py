@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tillstream.llm import minhash, mixing, suffix_lm
-from tillstream.llm.common import crc_remainder
+from tillstream.llm.common import crc_remainder, load
 
 COLUMNS = ["doc_id", "size", "source_size", "target", "taken"]
 
@@ -272,3 +272,98 @@ def test_texts_of_one_signature_are_all_linked(spark, odd, none, monkeypatch):
     monkeypatch.setattr(minhash, "apart", lambda d, p: every.filter("doc_id = 51").select("th"))
     split = {r["doc_id"]: r["id"] for r in minhash.classes(docs, every).collect()}
     assert split[50] == split[52] == split[53] != split[51]
+
+
+def plain_scores(rows, model, fold):
+    """Score and tail contexts of every text, token by token, from the head's levels."""
+    bits, other, end = suffix_lm._BITS, model["other"], model["end"]
+    texts = [tokens_of(r.text) for r in rows]
+    train = [zlib.crc32(str(r.doc_id).encode()) % 7 != fold for r in rows]
+    counts = Counter(w for t, own in zip(texts, train) if own for w in t)
+    head = {w: i for i, w in enumerate(sorted(
+        w for w, n in counts.items() if w and n >= model["head_min"]))} | {b"": end}
+    levels = [({k: i for i, k in enumerate(lv["keys"].tolist())},
+               dict(zip(lv["pairs"].tolist(), lv["n"].tolist())), lv) for lv in model["levels"]]
+
+    def from_head(sym, i):
+        p = model["first"][sym[i]]
+        for d, (keys, pairs, lv) in enumerate(levels, 1):
+            if i < d or other in sym[i - d:i]:
+                break
+            key = 0
+            for x in sym[i - d:i]:
+                key = key << bits | x
+            if key in keys:
+                at = keys[key]
+                n = pairs.get(at << bits | sym[i], 0)
+                p = (max(n - suffix_lm.DISCOUNT, 0) + lv["down"][at] * p) / (lv["total"][at] + 1)
+        return p
+    symbols = [[head.get(w, other) for w in t] for t in texts]
+    lower = [[from_head(s, i) for i in range(len(s))] for s in symbols]
+    follow, given = {}, {}
+    for t, s, p, own in zip(texts, symbols, lower, train):
+        for i, x in enumerate(s):
+            for c, j in (((t[i],), i + 1), ((t[i], s[i + 1] if i + 1 < len(s) else end), i + 2)):
+                if x == other and (len(c) == 1 or c[1] < end):
+                    given[c, s[j]] = p[j]
+                    if own:
+                        follow.setdefault(c, Counter())[s[j]] += 1
+    kept = {}
+    for c, nxt in follow.items():
+        total, k = sum(nxt.values()), len(nxt)
+        d = sum(n * math.log(n / total / given[c, x]) for x, n in nxt.items())
+        stored = {x: n - suffix_lm.DISCOUNT for x, n in nxt.items() if n >= suffix_lm.TAIL_PAIR}
+        if total >= suffix_lm.TAIL_CONTEXT and stored and d >= 0.01 * total and (
+                2 * d > k + 3 * math.sqrt(2 * k)):
+            kept[c] = total, stored
+    w, mass, out = suffix_lm.TAIL_WEIGHT, model["other_tokens"] + 1, []
+    for t, s, p in zip(texts, symbols, lower):
+        p, score = list(p), 0.0
+        for i, x in enumerate(s):
+            if x == other:
+                n = counts[t[i]]
+                score += math.log10((n - model["discount"]) / mass if n else (
+                    model["discount"] * model["other_types"] + 1) / mass / (model["types"] + 1))
+                for c, j in (((t[i],), i + 1), ((t[i], s[i + 1]), i + 2)):
+                    if c in kept:
+                        total, stored = kept[c]
+                        p[j] = (stored.get(s[j], 0) + (total - sum(stored.values()) + w) * p[j]) / (total + w)
+        out.append(score + sum(map(math.log10, p)))
+    return out, {c: total for c, (total, _) in kept.items()}
+
+
+def test_scores_and_tail_contexts_equal_brute_force(spark, scored):
+    rows, model, got = scored
+    want, kept = plain_scores(rows, model, 2)
+    assert len(kept) > 100
+    for r, x in zip(rows, want):
+        assert abs(got[r.doc_id].score - x) < 1e-5 * got[r.doc_id].n_tokens + 1e-6
+    tail = suffix_lm.tail_contexts(model).collect()
+    assert {(bytes(r.word),) if r.symbol is None else (bytes(r.word), r.symbol): r.total
+            for r in tail} == kept and len(tail) == len(kept)
+
+
+def test_tail_over_small_batches_and_ties(spark, scored):
+    """The groups of a word may reach over several Arrow batches."""
+    _, model, got = scored
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        again = {r.doc_id: r.score for r in suffix_lm.scores(model).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(abs(again[i] - r.score) < 1e-6 for i, r in got.items())
+
+
+def test_the_tree_grows_with_the_corpus(spark):
+    """Ten times the corpus: several times the contexts, and the held-out texts gain by them."""
+    size = {}
+    for sf in ("sf0.01", "sf0.1"):
+        docs = load(spark, f"/root/testdata/{sf}", "documents")
+        model = suffix_lm.learn(docs, crc_remainder("doc_id", 7) == 2)
+        size[sf] = (sum(len(lv["keys"]) for lv in model["levels"])
+                    + suffix_lm.tail_contexts(model).count())
+        if sf == "sf0.1":
+            held = suffix_lm.scores(model).where("held_out").agg(
+                F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+            assert held[0] / held[2] > -4.0 > held[1] / held[2]
+    assert size["sf0.1"] > 4 * size["sf0.01"] > 10_000
