@@ -21,6 +21,7 @@ points, ends exclusive.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -66,6 +67,19 @@ def _random_looking(token: str) -> bool:
     return -sum(k / n * math.log2(k / n) for k in Counter(token).values()) >= MIN_ENTROPY
 
 
+def _merged(spans) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint intervals that cover the same places, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, e in sorted(spans):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 def parts_of(text: str) -> list[tuple[int, int, int]]:
     """(start, index of kind, end) of every part; searches whose literal is absent are skipped."""
     low = text.lower()
@@ -76,15 +90,18 @@ def parts_of(text: str) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if len(m[0]) >= 16]
     out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-    taken = [(s, e) for s, _, e in out]
+    taken = _merged((s, e) for s, _, e in out)
 
     def add(kind: int, found) -> None:
-        last = 0
+        nonlocal taken
+        last, new = 0, []
         for s, e in sorted(found):
-            if s >= last and not any(s < b and a < e for a, b in taken):
-                out.append((s, kind, e))
+            i = bisect.bisect_right(taken[1], s)  # the first taken interval that ends after s
+            if s >= last and not (i < len(taken[0]) and taken[0][i] < e):
+                new.append((s, e))
                 last = e
-        taken.extend((s, e) for s, k, e in out if k == kind)
+        out.extend((s, kind, e) for s, e in new)
+        taken = _merged([*zip(*taken), *new])
     ends: list[tuple[int, int]] = []
     if "://" in text:
         ends += [m.span() for m in _URL.finditer(text)]
