@@ -162,3 +162,41 @@ def test_url_tables(spark):
     rows = out.collect()
     assert len(rows) == pages.count() and {r["verdict"] for r in rows} == {"allow", "block"}
     assert urlfilter.judge(pages.limit(0)).count() == 0
+
+
+def test_very_many_parts_in_one_text():
+    """100,000 parts in one text: seconds, and the spans of the plain form."""
+    import random
+    import time
+    rng = random.Random(3)
+    pieces = ["password=abcdefgh{}", "{:032x}", "AKIA{:016X}", "u{}@mail.example.com", "http://h{}.example/x",
+              "user=name{}", "tok{:x}Zq9fA3kLm8{}", "plain words {}"]
+    text = " ".join(rng.choice(pieces).format(i, i) for i in range(110_000))
+    start = time.time()
+    got = secrets.parts_of(text)
+    assert time.time() - start < 30 and len(got) > 80_000
+    small = text[:6000]
+    taken = []
+    for s, k, e in sorted(secrets.parts_of(small), key=lambda p: p[1] >= 3):
+        if k >= 3:  # a later kind overlaps no other part
+            assert not any(s < b and a < e for a, b in taken)
+        taken.append((s, e))
+    assert secrets._merged([(5, 9), (1, 3), (3, 4), (8, 12)]) == ([1, 5], [4, 12])
+
+
+def test_rules_on_deeper_segments_and_query_keys(spark):
+    rows = [(i, f"http://h{i % 9}.net/x/a{i}/ads/b{i}" if i % 2 else f"http://h{i % 9}.example.net/en/a{i}/ok/c")
+            for i in range(400)]
+    rows += [(1000 + i, f"http://w{i}.biz/z/y/ads/x{i}") for i in range(5)] + [
+        (2000 + i, f"http://w{i}.biz/z/y/ok/x{i}?b=1") for i in range(5)]
+    rows += [(3000 + i, f"http://k{i}.net/p{i}?track{i}=1&u=2") for i in range(300)] + [
+        (4000 + i, f"http://v{i}.info/p?a=1&track{i}=3#u") for i in range(5)] + [
+        (5000, None), (5001, "no url")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    got = {r.page_id: r for r in urlfilter.judge(pages).collect()}
+    assert {got[1000 + i].verdict for i in range(5)} == {"block"}
+    assert {got[1000 + i].mined for i in range(5)} == {"p:ads"}
+    assert {got[2000 + i].verdict for i in range(5)} == {"allow"}
+    assert {got[4000 + i].verdict for i in range(5)} == {"block"}
+    assert {got[4000 + i].mined for i in range(5)} <= {"q:track#", "q:u", "n:1"}
+    assert got[5000].verdict == got[5001].verdict == "allow"

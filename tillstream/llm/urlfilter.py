@@ -37,7 +37,7 @@ MIN_SUPPORT = 0.002  # part of the labelled urls
 MIN_CONFIDENCE = 0.9
 BROADCAST_ROWS = 200_000
 
-_URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+_URL = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 
 
 def split_url(url: str) -> tuple[Column, Column]:
@@ -46,6 +46,11 @@ def split_url(url: str) -> tuple[Column, Column]:
     return lower_ascii(F.regexp_extract(text, _URL, 1)), F.regexp_extract(text, _URL, 2)
 
 
+def query_of(url: str) -> Column:
+    """What stands between the first ``?`` and ``#`` of a url column."""
+    return F.regexp_extract(F.coalesce(F.col(url), F.lit("")), _URL, 3)
+
+
 def explicit(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """Rule string and verdict of the longest fitting rule; nulls if none fits."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -57,9 +62,10 @@ def explicit(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def tokens(host: Column, path: Column) -> Column:
+def tokens(host: Column, path: Column, query: Column) -> Column:
     """Distinct tokens, sorted: top-level and registered domain, words of the other host
-    labels, first path segment (digits as one), extension, and depth of the path.
+    labels, every path segment and query key (digits as one), extension, and depth of the
+    path. Support decides which of them can be part of a rule.
     """
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
     n = F.size(labels)
@@ -67,17 +73,21 @@ def tokens(host: Column, path: Column) -> Column:
         F.array().cast("array<string>"))
     words = F.filter(F.flatten(F.transform(subs, lambda x: F.split(x, "-"))), lambda x: x != "")
     segments = F.filter(F.split(path, "/"), lambda x: x != "")
-    segment = F.regexp_replace(F.get(segments, F.lit(0)), "[0-9]+", "#")
+    keys = F.filter(F.transform(F.split(query, "[&;]"), lambda x: F.substring_index(x, "=", 1)),
+                    lambda x: x != "")
     extension = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)
+
+    def named(kind: str, values: Column) -> Column:
+        return F.transform(values, lambda x: F.concat(
+            F.lit(kind), F.regexp_replace(x, "[0-9]+", "#")))
     single = F.array(
         F.when(n > 0, F.concat(F.lit("t:"), F.element_at(labels, -1))),
         F.when(n > 1, F.concat(F.lit("d:"), F.array_join(F.slice(labels, -2, 2), "."))),
-        F.concat(F.lit("p:"), segment),
         F.when(extension != "", F.concat(F.lit("x:"), extension)),
-        F.when(F.size(segments) > 0, F.concat(F.lit("n:"), F.least(
-            F.size(segments), F.lit(4)).cast("string"))))
+        F.when(F.size(segments) > 0, F.concat(F.lit("n:"), F.size(segments).cast("string"))))
     return F.array_sort(F.array_distinct(F.array_compact(F.concat(
-        single, F.transform(words, lambda x: F.concat(F.lit("s:"), x))))))
+        single, F.transform(words, lambda x: F.concat(F.lit("s:"), x)), named("p:", segments),
+        named("q:", keys)))))
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
@@ -138,10 +148,12 @@ def judge(pages: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT,
           min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule, verdict, mined for every row of ``pages`` (page_id, url)."""
     host, path = split_url("url")
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"),
+                        query_of("url").alias("query"))
     rule, verdict = explicit(F.col("host"), F.col("path"), rules)
     rows = staged(rows.select("*", rule.alias("rule"), verdict.alias("said"),
-                              tokens(F.col("host"), F.col("path")).alias("tokens")), "urls")
+                              tokens(F.col("host"), F.col("path"), F.col("query")).alias("tokens"))
+                  .drop("query"), "urls")
     mined = mine(rows.filter("said is not null").select("tokens", F.col("said").alias("verdict")),
                  min_support, min_confidence)
     decided = staged(matched(rows.filter("said is null").select("tokens").distinct(), mined),
