@@ -184,3 +184,22 @@ def test_rare_certain_terms_are_learned_at_any_size(spark):
     assert m.raw(*next(toxicity._folded(["you moron"]))) > 0
     assert m.raw(*next(toxicity._folded(["a zuckling"]))) > 0
     assert m.raw(*next(toxicity._folded(["a kind row"]))) == 0
+
+
+def test_one_character_for_several_letters():
+    assert toxicity.fold(["straße STRAẞE ﬁne æon"]) == [" strasse strasse fine aeon "]
+
+
+def test_phrases_of_long_words_and_many_hits_in_one_text(spark):
+    """Exceptions with words of any length; time in proportion to a text's hits."""
+    import time
+    long = "x" * 2000
+    rows = [(f"moron {long} day", 0)] * 30 + [("you moron number", 1)] * 60
+    table = spark.createDataFrame(rows, "text string, toxic int")
+    assert f"moron {long}" in toxicity._exceptions(table, {"moron ": 2.0})
+    m = toxicity.Matcher({"hate ": 2.0, "ass ": 1.0}, {"ciass ass", "i hate to say"})
+    text = "an a55! class a55? i hat3 to say hat3 and hat3 " * 20_000
+    start = time.time()
+    hits = list(m.end_hits(*next(toxicity._folded([text]))))
+    assert time.time() - start < 30
+    assert len(hits) == 3 * 20_000  # "an a55", "say hat3" and "and hat3"

@@ -61,8 +61,11 @@ HOMOGLYPHS = {
     "т": "t", "ц": "u", "у": "y", "ѵ": "v", "ԝ": "w", "х": "x", "α": "a", "β": "b", "ε": "e",
     "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "τ": "t", "υ": "u",
     "χ": "x", "ω": "w", "γ": "y", "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ħ": "h", "ɑ": "a",
-    "ɡ": "g", "ɩ": "i", "ß": "ss",
+    "ɡ": "g", "ɩ": "i",
 }
+#: One character that stands for several letters.
+SEVERAL = {"ß": "ss", "ẞ": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl",
+           "ﬅ": "st", "ﬆ": "st", "æ": "ae", "Æ": "ae", "œ": "oe", "Œ": "oe"}
 SIGNS = {
     "0": "o", "1": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "b", "7": "t", "8": "b",
     "9": "g", "@": "a", "$": "s", "€": "e", "£": "l", "!": "i", "|": "i", "+": "t",
@@ -94,6 +97,8 @@ def _fold_tables() -> tuple[np.ndarray, np.ndarray]:
 def _marked(texts: list[str]) -> list[str]:
     """Folded texts, in which the signs at the end of a word are left as they are."""
     letters, signs = _fold_tables()
+    for one, several in SEVERAL.items():
+        texts = [t.replace(one, several) if one in t else t for t in texts]
     codes = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"),
                           np.uint32)
     known = codes < _TABLED
@@ -170,6 +175,7 @@ class Matcher:
 
     def __init__(self, weights: dict[str, float], exceptions: set[str]):
         self.weights, self.any, self.spares = weights, bool(weights), bool(exceptions)
+        self.reach = max((p.count(" ") for p in exceptions), default=0)
         self.automaton = ahocorasick.Automaton()
         for term in weights:
             self.automaton.add_word(f" {term}", (term, False))
@@ -211,8 +217,12 @@ class Matcher:
 
     def _spared(self, folded: str, at: int, word: str, form: str) -> bool:
         """Whether an exception phrase holds the word at ``at`` in this form."""
-        text = f"{folded[:at + 1]}{form}{folded[at + 1 + len(word):]}"
-        return any(is_exception and end - len(term) <= at < end
+        first, last = at, folded.find(" ", at + 1)
+        for _ in range(self.reach):  # as many words as a phrase can hold on either side
+            first, last = max(folded.rfind(" ", 0, first), 0), folded.find(" ", last + 1) if (
+                last + 1 < len(folded)) else last
+        text = f"{folded[first:at + 1]}{form}{folded[at + 1 + len(word):last + 1]}"
+        return any(is_exception and end - len(term) <= at - first < end
                    for end, (term, is_exception) in self.automaton.iter(text))
 
     def raw(self, folded: str, marked: str = "") -> float:
@@ -330,8 +340,8 @@ def _exceptions(rows: DataFrame, lexicon: dict[str, float]) -> set[str]:
                 matched += [(at, form) for at, _, form, _ in matcher.end_hits(t, marked)]
                 for at, form in matched:
                     before = t[max(0, t.rfind(" ", 0, at)):at].strip(" ")
-                    word, _, rest = t[at + 1:at + 400].partition(" ")
-                    after = rest.partition(" ")[0]
+                    end = t.find(" ", at + 1)
+                    word, after = t[at + 1:end], t[end + 1:max(end, t.find(" ", end + 1))]
                     word = word if form is None else form
                     found |= {f"{before} {word}"} if before else set()
                     found |= {f"{word} {after}"} if after else set()
