@@ -112,3 +112,30 @@ def test_odd_rows(odd, none, spark):
     assert clean.columns == odd.columns and clean.count() == odd.count() - 5
     assert D.decontaminated(odd, bench.limit(0)).count() == odd.count()
     assert D.decontaminated(none, bench).count() == 0
+
+
+def test_no_pair_at_the_threshold_is_lost(spark):
+    """Passages with replaced words, similarities around 0.8: exactly those at 0.8 or more are
+    found, however many bits of their fingerprints differ."""
+    rng = random.Random(11)
+    items = {i: words(rng.randrange(13, 120), 100 + i) for i in range(40)}
+    rows, want, far = [], {}, 0
+    for d in range(400):
+        i = rng.randrange(40)
+        own = list(items[i])
+        m = len(own) - 4
+        for at in rng.sample(range(len(own)), rng.choice([1, 2, 2, 3]) if m > 40 else 1):
+            own[at] = f"q{rng.randrange(10 ** 9)}"
+        s = multiset_jaccard(grams(own), grams(items[i]))
+        rows.append((d, " ".join(words(rng.randrange(30), 900 + d) + own + words(5, 5000 + d))))
+        if s >= 0.8:
+            want[d, i] = s
+    bench = spark.createDataFrame([(i, " ".join(w), None) for i, w in items.items()], BENCH)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for radius in (D.RADIUS, 0):
+        found = {(r["doc_id"], r["item_id"]): r for r in D.leaks(docs, bench, radius=radius).collect()}
+        assert set(found) == set(want) and len(want) > 100
+        assert all(abs(found[k]["similarity"] - s) < 1e-9 for k, s in want.items())
+        far = sum(r["bits"] > radius for r in found.values())
+        assert far > 0, "some pairs lie beyond the radius"
+    assert D.leaks(docs, bench.limit(0)).count() == 0

@@ -13,13 +13,13 @@
 4. Multi-index Hamming blocks: 64 bits are cut into radius + 1 blocks; two
    fingerprints within the radius agree in one block at least. Windows meet the
    items of their size that agree in a block; each pair is reported by the
-   first such block.
-5. Pairs within the radius are verified by the exact weighted shingle
-   similarity, sum of minima over sum of maxima.
-
-The radius of 16 bits keeps 99 % of the pairs right at similarity 0.8 (angle
-0.48, 9.7 differing bits expected, standard deviation 2.9) and practically all
-above 0.85.
+   first such block. A radius of 7 gives blocks of 8 bits, of which a chance pair
+   shares one in 3 % of the cases.
+5. A pair right at similarity 0.8 differs in 9.7 bits on average, so many lie beyond
+   that radius. Therefore the items whose anchors placed a window are its candidates
+   too, whatever the bits: by 2 that loses no pair.
+6. Candidates are verified by the exact weighted shingle similarity, sum of minima
+   over sum of maxima.
 
 Defined results: null and empty texts, and texts without a word, neither leak
 nor match; equal items (after normalisation) are reported under their least
@@ -40,7 +40,7 @@ from tillstream.llm.common import load, small_side, staged
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
-RADIUS = 16
+RADIUS = 7
 #: Rows of benchmark-derived tables that may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 BROADCAST_IDS = 1_000_000
@@ -80,15 +80,18 @@ def _items(benchmark: DataFrame, k: int) -> DataFrame:
 
 
 def _anchors(items: DataFrame, similarity: float) -> DataFrame:
-    """The rarest shingles of every item: k, h, place in the item, shingles m of the item."""
+    """The rarest shingles of every item: item, k, h, place in the item, shingles m of the
+    item, and anchor, a number for (k, m, h, place)."""
     at = items.select("item", "k", "m", F.posexplode("hs").alias("place", "h"))
     seen = at.groupBy("k", "h").agg(F.count("*").alias("often"))
     ranked = (at.join(seen, ["k", "h"]).groupBy("item", "k", "m")
               .agg(F.sort_array(F.collect_list(F.struct("often", "h", "place"))).alias("s")))
     # o shared shingles of m give a similarity of at most o / m
     needed = F.col("m") - F.ceil(F.col("m") * similarity - 1e-9) + 1
-    return (ranked.select("k", "m", F.explode(F.slice("s", F.lit(1), needed.cast("int"))).alias("a"))
-            .select("k", "m", "a.h", "a.place").distinct())
+    return (ranked.select("item", "k", "m",
+                          F.explode(F.slice("s", F.lit(1), needed.cast("int"))).alias("a"))
+            .select("item", "k", "m", "a.h", "a.place",
+                    F.xxhash64("k", "m", "a.h", "a.place").alias("anchor")).distinct())
 
 
 def _bit_places(h: Column) -> list[tuple[Column, Column]]:
@@ -111,7 +114,8 @@ def _bitmap(anchors: DataFrame) -> Column:
 
 
 def _windows(docs: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
-    """Item-sized windows at the anchors: doc_id, th, k, m, start, and the hashes hs inside."""
+    """Item-sized windows at the anchors: doc_id, th, k, m, start, the hashes hs inside, and the
+    anchors that placed it (at most as many as an item has)."""
     bits = _bitmap(anchors)
 
     def known(h: Column) -> Column:
@@ -130,7 +134,8 @@ def _windows(docs: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
     begin = F.greatest(start, F.lit(0))
     stop = F.least(start + F.col("m"), F.size("all_hs"))
     return placed.select("doc_id", "th", F.lit(k).alias("k"), "m", start.alias("start"),
-                         F.slice("all_hs", begin + 1, stop - begin).alias("hs")).distinct()
+                         F.slice("all_hs", begin + 1, stop - begin).alias("hs"), "anchor").groupBy(
+        "doc_id", "th", "k", "m", "start", "hs").agg(F.collect_set("anchor").alias("anchors"))
 
 
 def _weighted(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -181,7 +186,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle_words: int = SHINGLE_WO
     bits, similarity (of the best window; th is the hash of the text).
     """
     items = _items(benchmark, shingle_words)
-    anchors = staged(_anchors(items, similarity), "benchmark-anchors")
+    anchored = staged(_anchors(items, similarity), "benchmark-anchors")
+    anchors = anchored.drop("item").distinct()
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most five
     texts = docs.select("doc_id", "text", F.explode(F.array(_words("text"))).alias("w"))
     placed = [_windows(texts, anchors.filter(F.col("k") == k).drop("k"), k) for k in sizes]
@@ -195,8 +201,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle_words: int = SHINGLE_WO
     prints = simhash(in_windows, ["k", "m", "window"])
     item_prints = simhash(in_items, ["k", "m", "item"]).select(
         "k", "m", "item", F.col("fp").alias("r_fp"), F.col("total").alias("r_total"))
-    near = staged(within_radius(prints, staged(item_prints, "item-prints"), radius, ["k", "m"])
-                  .select("k", "m", "window", "total", "item", "r_total", "bits"), "window-pairs")
+    prints, item_prints = staged(prints, "window-prints"), staged(item_prints, "item-prints")
+    pair = ["k", "m", "window", "total", "item", "r_total", "bits"]
+    placed_by = (windows.select("k", "m", F.xxhash64("hs").alias("window"),
+                                F.explode("anchors").alias("anchor")).distinct()
+                 .join(small_side(anchored.select("anchor", "item"), BROADCAST_ROWS), "anchor")
+                 .select("k", "m", "window", "item").distinct()
+                 .join(prints, ["k", "m", "window"]).join(item_prints, ["k", "m", "item"])
+                 .withColumn("bits", F.bit_count(F.col("fp").bitwiseXOR(F.col("r_fp")))))
+    near = staged(within_radius(prints, item_prints, radius, ["k", "m"]).select(*pair).union(
+        placed_by.select(*pair)).distinct(), "window-pairs")
 
     shared = (near.join(in_windows, ["k", "m", "window"])
               .join(small_side(in_items.select("item", "k", "h", F.col("c").alias("r_c")),
@@ -209,7 +223,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle_words: int = SHINGLE_WO
         F.col("similarity") >= similarity).drop("both", "sizes"), "verified-windows")
     best = F.max_by(F.struct("start", (F.col("m") + F.col("k") - 1).alias("n_words"), "bits",
                              "similarity"), F.struct("similarity", -F.col("start")))
-    return (windows.withColumn("window", F.xxhash64("hs")).drop("hs")
+    return (windows.withColumn("window", F.xxhash64("hs")).drop("hs", "anchors")
             .join(verified, ["k", "m", "window"])
             .groupBy("doc_id", "th", "item").agg(best.alias("b"))
             .join(small_side(items.select("item", "item_id"), BROADCAST_ROWS), "item")
