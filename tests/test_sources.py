@@ -37,6 +37,20 @@ def test_dimension_files(spark, tmp_path):
     assert addr[0].contactNumber == ""
 
 
+def test_dimension_in_several_array_files(spark, tmp_path):
+    from tillstream.sources.dimensions import write_json_arrays
+    rows = spark.range(95).selectExpr("id as itemCode", "concat('p', id) as itemDescription",
+                                      "cast(id / 4 as string) as itemPrice", "0 as itemQty")
+    path = str(tmp_path / "many")
+    write_json_arrays(rows, path, rows_per_file=20)
+    back = read_products(spark, path)
+    assert {(r.itemCode, r.itemDescription, r.itemPrice) for r in back.collect()} == {
+        (str(i), f"p{i}", i / 4) for i in range(95)} and back.count() == 95
+    assert len(back.inputFiles()) >= 3
+    write_json_arrays(rows.limit(0), str(tmp_path / "none"))
+    assert read_products(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_enrich_totals_assemble(spark, tmp_path):
     products = spark.createDataFrame([("7", "Chair", 120.0), ("8", "Table", 75.5)],
                                      "itemCode string, itemDescription string, itemPrice double")

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillstream.constants import COMMIT_INTERVAL_MS, WINDOW_GRACE_MINUTES
 from tillstream.operators import (enrichment, loyalty, metrics, stateless, store_sales,
                                   stream_time)
-from tillstream.session import utc
-from tillstream.sources import adapters
+from tillstream.session import scratch_path, utc
+from tillstream.sources import adapters, dimensions
 from tillstream.sources.tables import read_table
 
 FLAT_INVOICE = ["key", "invoiceNumber", "createdTime", "customerCardNo", "totalAmount",
@@ -198,6 +198,30 @@ def line_enrichment(spark, sf_dir):
         "l_orderkey", "l_linenumber", "itemCode", "itemDescription", "itemPrice", "itemQty")
 
 
+@in_utc
+def product_dimension(spark, sf_dir):
+    """Products as JSON arrays with prices as text, read back as the lookup dimension."""
+    parts = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("itemCode"), F.col("p_name").alias("itemDescription"),
+        F.col("p_retailprice").cast("string").alias("itemPrice"), F.lit(0).alias("itemQty"))
+    path = scratch_path(spark, "products")
+    dimensions.write_json_arrays(parts, path)
+    return dimensions.read_products(spark, path)
+
+
+@in_utc
+def address_dimension(spark, sf_dir):
+    """Delivery addresses as JSON arrays, read back; every third has an empty contact number,
+    which stays empty."""
+    contact = F.when(F.col("contactNumber").cast("bigint") % 3 == 0, "").otherwise(
+        F.col("contactNumber"))
+    rows = adapters.customer_addresses(spark, sf_dir).select(
+        "addressLine", "city", "state", "pinCode", contact.alias("contactNumber"))
+    path = scratch_path(spark, "addresses")
+    dimensions.write_json_arrays(rows, path)
+    return dimensions.read_addresses(spark, path)
+
+
 def _order_numbers(spark, sf_dir):
     return read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("invoiceNumber"))
@@ -276,6 +300,8 @@ BATCH_QUERIES = {
     "store_sales_changelog": store_sales_changelog,
     "store_sales_suppressed": store_sales_suppressed,
     "line_enrichment": line_enrichment,
+    "product_dimension": product_dimension,
+    "address_dimension": address_dimension,
     "line_totals": line_totals,
     "line_totals_nested": line_totals_nested,
     "invoice_assembly": invoice_assembly,
