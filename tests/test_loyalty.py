@@ -125,3 +125,21 @@ def test_latest_by_arrival(spark):
                                      "customerType string, event_time timestamp, k long")
     assert loyalty.loyalty_latest(df).first().invoiceNumber == "new"
     assert loyalty.loyalty_latest(df, time_col=None).first().invoiceNumber == "late"
+
+
+def test_slices_split_a_key_evenly_and_keep_the_order(spark):
+    """Most rows belong to one card and one time: slices stay small, totals are exact."""
+    from tillstream.operators.running import prefix, sliced
+    rows = [("hot", 5, i, (i * 37) % 101) for i in range(3000)] + [
+        (f"c{i % 40}" if i % 41 else None, i % 7, i, i % 13) for i in range(400)]
+    df = spark.createDataFrame(rows, "card string, at int, i int, v int").repartition(6)
+    cut = sliced(df, ["card"], ["at", "i"], slices=10)
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 3 * 3400 / 10
+    got = {(r.card, r.i): r.run_v for r in prefix(cut, ["card"], ["at", "i"], {"v": "sum"},
+                                                  F.col("_slice")).collect()}
+    want, total = {}, {}
+    for card, at, i, v in sorted(rows, key=lambda r: (r[1], r[2])):
+        total[card] = total.get(card, 0) + v
+        want[card, i] = total[card]
+    assert got == want

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.functions.money import PARTS, money_parts, money_sum, total_of
-from tillstream.operators.running import prefix
+from tillstream.operators.running import prefix, sliced
 from tillstream.operators.stateless import earned_points, prime_filter
 
 CARD = "customerCardNo"
-#: Width of a running total's time buckets: tables, and single micro-batches.
+#: Width of a running total's time buckets: an hour for tables, and of single micro-batches.
 BUCKET_US = 3_600_000_000
 BATCH_BUCKET_US = 1_000_000
 
@@ -78,12 +78,24 @@ def running_points(rows: DataFrame, time_col: str, tie_col: str, width_us: int)
 
 
 def loyalty_changelog(df: DataFrame, time_col: str = "event_time", tie_col: str = "k",
-                      prime_only: bool = True, bucket_us: int = BUCKET_US) -> DataFrame:
+                      prime_only: bool = True, bucket_us: int | None = None) -> DataFrame:
     """One notification per input invoice carrying the card's running total up to
-    and including it (the changelog of the keyed aggregate)."""
+    and including it (the changelog of the keyed aggregate).
+
+    The rows are cut into even slices, so that a card with any share of the rows, even all
+    at one time, is spread over tasks; its narrow rows are written to the checkpoint
+    folder. With ``bucket_us`` time buckets of that width take
+    the place of the slices, and nothing is written.
+    """
     src = prime_filter(df) if prime_only else df
     rows = src.select(CARD, "invoiceNumber", "totalAmount", time_col, tie_col)
-    return running_points(rows, time_col, tie_col, bucket_us).select(
+    if bucket_us is None:
+        rows = sliced(rows, [CARD], [time_col, tie_col], name="loyalty-changelog")
+        run = running_total(rows.select("*", *money_parts("totalAmount")), CARD,
+                            [time_col, tie_col], list(PARTS), F.col("_slice"))
+    else:
+        run = running_points(rows, time_col, tie_col, bucket_us)
+    return run.select(
         "invoiceNumber", CARD, "totalAmount",
         earned_points().alias("earnedLoyaltyPoints"),
         earned_points(total_of("run_")).alias("totalLoyaltyPoints"),

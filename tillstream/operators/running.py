@@ -3,14 +3,22 @@
 A plain window per key sorts all rows of the key in one task. Here a window runs
 within each (key, bucket) only; the aggregate of a key's earlier buckets comes from
 one row for each (key, bucket), aggregated map-side, prefix-aggregated per key and
-joined back. The key's rows are shuffled once. No sampling, checkpoint or job while
-the plan is built.
+joined back.
+
+Buckets can be a function of the order (such as the hour): the key's rows are then
+shuffled once, without sampling or a job while the plan is built, but rows that all lie
+in one bucket are one window group. ``sliced`` gives buckets of even size instead,
+whatever the keys and the order look like: the rows are range-partitioned by key and
+order, numbered by their range and written down, and both sides read what was written
+(the input's last stage runs twice, for the range bounds and for the rows).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tillstream.session import scratch_path
+
 #: How a value is aggregated: the function, and what combines two of its results.
 KINDS = ("sum", "max", "min", "count")
 
@@ -22,6 +30,20 @@ def plus(a: Column, b: Column, kind: T.DataType) -> Column:
     return a + b
 
 
+def sliced(df: DataFrame, keys: list[str], order: list[str], slices: int | None = None,
+           name: str = "slices") -> DataFrame:
+    """The rows with ``_slice``, the number of their range of (keys, order): a bucket for
+    ``prefix``. Ranges are about equally large (rows of equal key and order stay together);
+    their number is ``slices``, or four times the session's shuffle partitions, so that the
+    ranges spread evenly over tasks."""
+    spark = df.sparkSession
+    n = slices or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    df.repartitionByRange(n, *keys, *order).withColumn(
+        "_slice", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def prefix(df: DataFrame, keys: list[str], order: list[Column | str], values: dict[str, str],
            bucket: Column, out: str = "run_") -> DataFrame:
     """Adds ``<out><value>``: the aggregate of the value over the key's rows up to and

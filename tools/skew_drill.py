@@ -1,9 +1,10 @@
 """Skew drill: one customer card holds a third of all orders.
 
-Runs the loyalty running total on that data with one time bucket (a plain
-per-card window) and with buckets of an hour, and reports, from Spark's event log in a
-fresh scratch folder, the largest and median shuffle-read record counts per
-task of each stage. Also checks that both give identical results. AQE's
+Runs the loyalty running total on that data with one time bucket (a plain per-card
+window), with buckets of an hour and with even slices; and, with all of the card's rows
+at one time, with hours and with slices. Reports, from Spark's event log in a fresh
+scratch folder, the largest and median shuffle-read record counts per task of each
+stage. Also checks that all give identical results. AQE's
 byte thresholds are scaled down to this data size so its split of the hot
 customer's join partition shows as well.
 
@@ -78,16 +79,23 @@ def main():
         # every third order goes to one card
         skewed = orders.withColumn(
             "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(hot)).otherwise(F.col("o_custkey")))
-        inv = adapters.invoices(spark, sf_dir, lines=False, items=False, address=False,
-                                orders=skewed)
+        at_once = skewed.withColumn("o_orderdate", F.when(
+            F.col("o_custkey") != hot, F.col("o_orderdate")).otherwise(F.lit("2024-01-01").cast(
+                skewed.schema["o_orderdate"].dataType)))
         results = {}
-        for label, width in (("one bucket", 1 << 62), ("hours", loyalty.BUCKET_US)):
+        for label, of, width in (("one bucket", skewed, 1 << 62),
+                                 ("hours", skewed, loyalty.BUCKET_US), ("slices", skewed, None),
+                                 ("at once: hours", at_once, loyalty.BUCKET_US),
+                                 ("at once: slices", at_once, None)):
+            inv = adapters.invoices(spark, sf_dir, lines=False, items=False, address=False,
+                                    orders=of)
             sc.setJobGroup(label, label)
             out = loyalty.loyalty_changelog(inv, prime_only=False, bucket_us=width)
             rows = out.select("invoiceNumber", "totalLoyaltyPoints").collect()
             results[label] = {r.invoiceNumber: r.totalLoyaltyPoints for r in rows}
     spark.stop()
-    same = results["one bucket"] == results["hours"]
+    same = (results["one bucket"] == results["hours"] == results["slices"]
+            and results["at once: hours"] == results["at once: slices"])
     print(f"hot card holds {n_hot} of {len(results['hours'])} rows; results identical: {same}")
     for label in results:
         print(f"[{label}]")
