@@ -138,4 +138,11 @@ def test_no_pair_at_the_threshold_is_lost(spark):
         assert all(abs(found[k]["similarity"] - s) < 1e-9 for k, s in want.items())
         far = sum(r["bits"] > radius for r in found.values())
         assert far > 0, "some pairs lie beyond the radius"
-    assert D.leaks(docs, bench.limit(0)).count() == 0
+    # windows placed by one item are compared with every similar item of their size, even
+    # where that item's own anchors lie elsewhere in it
+    base = words(64, 77)
+    shifted = {1: base[:60], 2: base[2:62], 3: base[4:64]}
+    bench = spark.createDataFrame([(i, " ".join(w), None) for i, w in shifted.items()], BENCH)
+    docs = spark.createDataFrame([(1, " ".join(shifted[1]))], "doc_id bigint, text string")
+    want = {i for i, w in shifted.items() if multiset_jaccard(grams(shifted[1]), grams(w)) >= 0.8}
+    assert {r["item_id"] for r in D.leaks(docs, bench).collect()} == want == {1, 2, 3}

@@ -16,8 +16,8 @@
    first such block. A radius of 7 gives blocks of 8 bits, of which a chance pair
    shares one in 3 % of the cases.
 5. A pair right at similarity 0.8 differs in 9.7 bits on average, so many lie beyond
-   that radius. Therefore the items whose anchors placed a window are its candidates
-   too, whatever the bits: by 2 that loses no pair.
+   that radius. Therefore the items of its size that have an anchor in a window are its
+   candidates too, whatever the bits: by 2 that loses no pair.
 6. Candidates are verified by the exact weighted shingle similarity, sum of minima
    over sum of maxima.
 
@@ -80,8 +80,7 @@ def _items(benchmark: DataFrame, k: int) -> DataFrame:
 
 
 def _anchors(items: DataFrame, similarity: float) -> DataFrame:
-    """The rarest shingles of every item: item, k, h, place in the item, shingles m of the
-    item, and anchor, a number for (k, m, h, place)."""
+    """The rarest shingles of every item: item, k, h, place in the item, shingles m of it."""
     at = items.select("item", "k", "m", F.posexplode("hs").alias("place", "h"))
     seen = at.groupBy("k", "h").agg(F.count("*").alias("often"))
     ranked = (at.join(seen, ["k", "h"]).groupBy("item", "k", "m")
@@ -90,8 +89,7 @@ def _anchors(items: DataFrame, similarity: float) -> DataFrame:
     needed = F.col("m") - F.ceil(F.col("m") * similarity - 1e-9) + 1
     return (ranked.select("item", "k", "m",
                           F.explode(F.slice("s", F.lit(1), needed.cast("int"))).alias("a"))
-            .select("item", "k", "m", "a.h", "a.place",
-                    F.xxhash64("k", "m", "a.h", "a.place").alias("anchor")).distinct())
+            .select("item", "k", "m", "a.h", "a.place"))
 
 
 def _bit_places(h: Column) -> list[tuple[Column, Column]]:
@@ -114,8 +112,7 @@ def _bitmap(anchors: DataFrame) -> Column:
 
 
 def _windows(docs: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
-    """Item-sized windows at the anchors: doc_id, th, k, m, start, the hashes hs inside, and the
-    anchors that placed it (at most as many as an item has)."""
+    """Item-sized windows at the anchors: doc_id, th, k, m, start, and the hashes hs inside."""
     bits = _bitmap(anchors)
 
     def known(h: Column) -> Column:
@@ -134,8 +131,7 @@ def _windows(docs: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
     begin = F.greatest(start, F.lit(0))
     stop = F.least(start + F.col("m"), F.size("all_hs"))
     return placed.select("doc_id", "th", F.lit(k).alias("k"), "m", start.alias("start"),
-                         F.slice("all_hs", begin + 1, stop - begin).alias("hs"), "anchor").groupBy(
-        "doc_id", "th", "k", "m", "start", "hs").agg(F.collect_set("anchor").alias("anchors"))
+                         F.slice("all_hs", begin + 1, stop - begin).alias("hs")).distinct()
 
 
 def _weighted(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -203,14 +199,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle_words: int = SHINGLE_WO
         "k", "m", "item", F.col("fp").alias("r_fp"), F.col("total").alias("r_total"))
     prints, item_prints = staged(prints, "window-prints"), staged(item_prints, "item-prints")
     pair = ["k", "m", "window", "total", "item", "r_total", "bits"]
-    placed_by = (windows.select("k", "m", F.xxhash64("hs").alias("window"),
-                                F.explode("anchors").alias("anchor")).distinct()
-                 .join(small_side(anchored.select("anchor", "item"), BROADCAST_ROWS), "anchor")
+    rarest = anchored.select("item", "k", "m", "h").distinct()
+    anchoring = (in_windows.select("k", "m", "window", "h")
+                 .join(small_side(rarest, BROADCAST_ROWS), ["k", "m", "h"])
                  .select("k", "m", "window", "item").distinct()
                  .join(prints, ["k", "m", "window"]).join(item_prints, ["k", "m", "item"])
                  .withColumn("bits", F.bit_count(F.col("fp").bitwiseXOR(F.col("r_fp")))))
     near = staged(within_radius(prints, item_prints, radius, ["k", "m"]).select(*pair).union(
-        placed_by.select(*pair)).distinct(), "window-pairs")
+        anchoring.select(*pair)).distinct(), "window-pairs")
 
     shared = (near.join(in_windows, ["k", "m", "window"])
               .join(small_side(in_items.select("item", "k", "h", F.col("c").alias("r_c")),
@@ -223,7 +219,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, shingle_words: int = SHINGLE_WO
         F.col("similarity") >= similarity).drop("both", "sizes"), "verified-windows")
     best = F.max_by(F.struct("start", (F.col("m") + F.col("k") - 1).alias("n_words"), "bits",
                              "similarity"), F.struct("similarity", -F.col("start")))
-    return (windows.withColumn("window", F.xxhash64("hs")).drop("hs", "anchors")
+    return (windows.withColumn("window", F.xxhash64("hs")).drop("hs")
             .join(verified, ["k", "m", "window"])
             .groupBy("doc_id", "th", "item").agg(best.alias("b"))
             .join(small_side(items.select("item", "item_id"), BROADCAST_ROWS), "item")
