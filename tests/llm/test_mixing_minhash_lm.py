@@ -109,6 +109,20 @@ def test_edits_equal_brute_force(spark, odd, none):
     assert len(one) == 1 and one[0]["near_next"] == 1.0
 
 
+def test_ids_of_any_type(spark):
+    texts = {"b": "one two three four five six", "a": "one two three four five six seven",
+             "100": "another text", "c": None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string").repartition(3)
+    got = {r["doc_id"]: r for r in minhash.fingerprints(docs).collect()}
+    assert set(got) == set(texts) and got["100"]["n_similar"] == 0 and got["a"]["n_similar"] is None
+    order = sorted(texts)
+    for i, own in enumerate(order):
+        text, after = texts[own] or "", texts[order[(i + 1) % 4]] or ""
+        cut = len(text) // 4
+        edit = text[:len(text) - cut] + after[:cut]
+        assert got[own]["edited_sha256"] == hashlib.sha256(edit.encode()).hexdigest()
+
+
 def test_signatures_estimate_jaccard():
     rng = np.random.default_rng(0)
     base = [f"w{i}" for i in rng.integers(0, 10_000, 400)]

@@ -19,8 +19,9 @@
 Defined results: a null text is empty; a text without a word has the signature
 of the empty set, equal to that of any other such text, and is similar to none; documents of one doc_id
 follow each other by the hash of their text, null doc_ids first; repeated rows
-are documents of their own; one document alone is its own next; other columns
-are ignored; an empty table gives an empty table.
+are documents of their own; one document alone is its own next; ids of any type are
+kept and ordered as they are (only whole numbers divisible by 50 search); long texts
+are taken whole; other columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -137,8 +138,8 @@ def _with_next(rows: list[tuple[int | None, str, str]], k: int, permutations: in
             "near_edited": (own == edited).mean(axis=1)}
 
 
-_PAIR = pa.schema([
-    ("doc_id", pa.int64()), ("part", pa.int32()), ("place", pa.int64()), ("n_chars", pa.int64()),
+_PAIR = pa.schema([  # after doc_id
+    ("part", pa.int32()), ("place", pa.int64()), ("n_chars", pa.int64()),
     ("edit", pa.binary()), ("sig", pa.binary()), ("edited_sig", pa.binary()),
     ("near_edited", pa.float64()), ("near_next", pa.float64()), ("text", pa.string()),
     ("th", pa.int64())])
@@ -151,6 +152,7 @@ def _neighbours(k: int, permutations: int):
     """
     def run(batches):
         part, place, last, first_sig = TaskContext.get().partitionId(), 0, None, True
+        schema = None
 
         def out(keyed, following, following_sig, first, final):
             nonlocal place
@@ -166,16 +168,18 @@ def _neighbours(k: int, permutations: int):
             if final:  # its next one is in another partition
                 texts[-1], edit[-1], es[-1], ne[-1], near[-1] = rows[-1][1], None, None, None, None
             batch = pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in rows], pa.int64()), pa.array([part] * n, pa.int32()),
+                pa.array([r[0] for r in rows], schema.field(0).type),
+                pa.array([part] * n, pa.int32()),
                 pa.array(range(place, place + n), pa.int64()), pa.array(c["n_chars"], pa.int64()),
                 pa.array(edit, pa.binary()), pa.array([x.tobytes() for x in c["own"]], pa.binary()),
                 pa.array(es, pa.binary()), pa.array(ne, pa.float64()), pa.array(near, pa.float64()),
                 pa.array(texts, pa.string()), pa.array([r[2] for r in keyed], pa.int64())],
-                schema=_PAIR)
+                schema=schema)
             place += n
             return batch
 
         for b in batches:
+            schema = pa.schema([b.schema.field("doc_id"), *_PAIR])
             ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
             hashes = b.column("th").to_pylist()
             for lo in range(0, len(ids), 512):
@@ -196,11 +200,11 @@ def edited(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     """doc_id, n_chars, edit (SHA-256 of the edited text), sig, edited_sig, near_edited, near_next,
     th (XXH64 of the text).
     """
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                           F.coalesce("text", F.lit("")).alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ordered = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
                .withColumn("th", F.xxhash64("text"))
                .repartitionByRange("doc_id", "th").sortWithinPartitions("doc_id", "th"))
-    ddl = ("doc_id bigint, part int, place bigint, n_chars bigint, edit binary, sig binary, "
+    ddl = (f"doc_id {kind}, part int, place bigint, n_chars bigint, edit binary, sig binary, "
            "edited_sig binary, near_edited double, near_next double, text string, th bigint")
     rows = staged(ordered.mapInArrow(
         _neighbours(shingle_words, permutations), ddl), "minhash")
@@ -209,10 +213,13 @@ def edited(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     heads = ends.filter("place = 0")
     order = Window.orderBy("part")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = heads.select(
-        F.lag("part").over(order).alias("before"), F.max("part").over(whole).alias("most"),
-        F.col("text").alias("n_text"), F.col("sig").alias("n_sig"))
-    after = after.withColumn("before", F.coalesce("before", "most"))
+    # one number for each partition is ordered; the texts join by it
+    numbers = heads.select(
+        F.col("part").alias("n_part"), F.lag("part").over(order).alias("before"),
+        F.max("part").over(whole).alias("most")).select(
+        "n_part", F.coalesce("before", "most").alias("before"))
+    after = heads.select(F.col("part").alias("n_part"), F.col("text").alias("n_text"),
+                         F.col("sig").alias("n_sig")).join(numbers, "n_part")
     tails = ends.filter("edit is null").join(after, F.col("part") == F.col("before"))
 
     def resolve(batches):
@@ -224,14 +231,15 @@ def edited(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                 near = [float((np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)).mean())
                         for x, y in zip(d["sig"], d["n_sig"])]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(d["doc_id"], pa.int64()), pa.array(c["n_chars"], pa.int64()),
+                    pa.array(d["doc_id"], b.schema.field("doc_id").type),
+                    pa.array(c["n_chars"], pa.int64()),
                     pa.array(c["edit"], pa.binary()), pa.array(d["sig"], pa.binary()),
                     pa.array([x.tobytes() for x in c["edited"]], pa.binary()),
                     pa.array(c["near_edited"], pa.float64()), pa.array(near, pa.float64()),
                     pa.array(d["th"], pa.int64())], columns)
     columns = ["doc_id", "n_chars", "edit", "sig", "edited_sig", "near_edited", "near_next", "th"]
     resolved = tails.select("doc_id", "text", "n_text", "sig", "n_sig", "th").mapInArrow(
-        resolve, "doc_id bigint, n_chars bigint, edit binary, sig binary, edited_sig binary, "
+        resolve, f"doc_id {kind}, n_chars bigint, edit binary, sig binary, edited_sig binary, "
                  "near_edited double, near_next double, th bigint")
     return rows.filter("edit is not null").select(*columns).union(resolved)
 
@@ -360,7 +368,7 @@ def op7_document_fingerprints(spark, sf_dir: str) -> DataFrame:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     rows = edited(docs)
-    is_query = F.col("doc_id") % QUERY_EVERY == 0
+    is_query = F.coalesce(F.col("doc_id").try_cast("bigint") % QUERY_EVERY == 0, F.lit(False))
     rows = classes(docs, rows)
     prints = rows.select("doc_id", "sig", "th", "id")
     found = search(docs, prints, is_query)
