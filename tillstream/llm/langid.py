@@ -12,7 +12,8 @@ Defined results: null and empty texts and texts without a letter are ``und``
 with score 0 and rejected, as is everything when no row can be learned from;
 repeated rows get equal results; ties go to the language of least code point;
 rows with null lang are scored but not learned from; a null doc_id counts as
-empty text in the fold; other columns are ignored, or kept by ``accepted``.
+empty text in the fold; long texts are taken whole, in pieces; an empty table
+gives an empty table; other columns are ignored, or kept by ``accepted``.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ the other's weights, for an isotonic calibration that has not seen its rows.
 Defined results: null and empty texts have all-zero statistics and are scored
 like others; without training rows every score is 0.5; repeated rows get equal
 scores; null labels are not learned from; a doc_id labelled or found more than
-once counts each time; other columns are ignored.
+once counts each time; equal raw scores share one calibrated score; long texts are
+taken whole; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ and short passwords, endpoints) are reported only when a complementary part
 stands within scope: a join of the parts' intervals, by document and position
 bin, finds for each weak part another one of a complementary role at most
 SCOPE_CHARS code points away. Bins bound the number of parts that can meet, so
-a text with very many parts is spread over many groups.
+a text with very many parts is spread over many groups; finding them takes time in
+proportion to the text (times the logarithm of its parts), in one task.
 
 Roles: access identifiers complement secrets and the reverse; endpoints are
 complemented by either, and complement secrets.

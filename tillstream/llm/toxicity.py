@@ -23,7 +23,10 @@ Defined results: null and empty texts score as texts without a match; without
 training rows of both labels the lexicon is empty and every text gets the
 overall rate (0.5 without any); repeated rows get equal scores; null labels and
 labels of unknown documents are not learned from; a doc_id labelled or found
-more than once counts each time; other columns are ignored.
+more than once counts each time; equally strong terms are taken the shorter first,
+then by code point; long texts are taken whole; an empty table gives an empty table;
+other columns are ignored. More than MAX_ENTRIES terms or exception phrases end the job
+with an error, never with a shortened lexicon.
 """
 
 from __future__ import annotations
