@@ -310,11 +310,12 @@ def fanout_consistent_cut(spark, sf_dir):
         if name == HADOOP_OUTPUT and failures.get(batch_id, 0):
             failures[batch_id] -= 1
             raise OutputFailure(f"batch {batch_id} after {name}")
+    lines = _parts_by_key(spark, sf_dir, "lineitem", "l_orderkey")  # of each batch's orders only
     for number, part in enumerate(_parts_by_key(spark, sf_dir, "orders", "o_orderkey")):
         part.write.mode("append").parquet(f"{root}/in")
         for attempt in range(1 if number == 3 else 2):
             orders = spark.readStream.schema(part.schema).parquet(f"{root}/in")
-            inv = adapters.invoices(spark, sf_dir, lines=True, orders=orders)
+            inv = adapters.invoices(spark, sf_dir, lines=True, orders=orders, lineitem=lines[number])
             try:
                 run_bounded(inv, f"{root}/checkpoint", "append", cut.cut_writer(root, fail))
                 break

@@ -45,9 +45,11 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").alias("itemPrice"))
 
 
-def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line: l_orderkey plus the LineItem fields (lineitem + product lookup)."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+def invoice_lines(spark: SparkSession, sf_dir: str,
+                  lineitem: DataFrame | None = None) -> DataFrame:
+    """One row per line: l_orderkey plus the LineItem fields (lineitem + product lookup).
+    ``lineitem`` replaces the table (e.g. by a part of it)."""
+    li = (read_table(spark, sf_dir, "lineitem") if lineitem is None else lineitem).select(
         "l_orderkey", "l_linenumber",
         F.col("l_partkey").cast("string").alias("itemCode"),
         F.col("l_quantity").cast("int").alias("itemQty"),
@@ -56,14 +58,15 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", *[f.name for f in LINE_ITEM.fields])
 
 
-def _nested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _nested_lines(spark: SparkSession, sf_dir: str,
+                  lineitem: DataFrame | None = None) -> DataFrame:
     """Lines folded per order into the invoice's array (sorted, so deterministic).
 
     The array is per invoice (a handful of lines each), not a group of the
     data set; the fold is a hash aggregate on l_orderkey.
     """
     fields = [f.name for f in LINE_ITEM.fields]
-    return (invoice_lines(spark, sf_dir)
+    return (invoice_lines(spark, sf_dir, lineitem)
             .groupBy("l_orderkey")
             .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("invoiceLineItems")))
 
@@ -115,7 +118,7 @@ def invoice_headers(orders: DataFrame, customers: DataFrame, address: bool = Tru
 
 def invoices(spark: SparkSession, sf_dir: str, lines: bool = True,
              stream: bool = False, items: bool = True, address: bool = True,
-             orders: DataFrame | None = None) -> DataFrame:
+             orders: DataFrame | None = None, lineitem: DataFrame | None = None) -> DataFrame:
     """Invoice DataFrame (PosInvoice columns + ``key``, ``k``, ``event_time``).
 
     ``lines=False`` skips building the line array (only ``numberOfItems`` is
@@ -123,7 +126,8 @@ def invoices(spark: SparkSession, sf_dir: str, lines: bool = True,
     reads ``orders`` as a file stream; ``items=False`` (header-only) leaves
     numberOfItems null instead of joining line counts; ``address=False``
     leaves deliveryAddress null instead of joining nation and region.
-    ``orders`` replaces the table (e.g. by a stream of parts of it).
+    ``orders`` replaces the table (e.g. by a stream of parts of it), ``lineitem``
+    the table of the lines in the array (e.g. by those of the orders in a part).
 
     Streaming reads join the static tables (customers, line arrays) in every
     micro-batch, which suits the bounded test runs this adapter serves; a live
@@ -134,7 +138,7 @@ def invoices(spark: SparkSession, sf_dir: str, lines: bool = True,
                   else read_table(spark, sf_dir, "orders"))
     h = invoice_headers(orders, _customers(spark, sf_dir, places=address), address)
     if lines:
-        nl = _nested_lines(spark, sf_dir)
+        nl = _nested_lines(spark, sf_dir, lineitem)
         h = h.join(nl, h.k == nl.l_orderkey, "left").withColumn(
             "invoiceLineItems", F.coalesce("invoiceLineItems", F.array().cast(
                 "array<struct<itemCode:string,itemDescription:string,itemPrice:double,"

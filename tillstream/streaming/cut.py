@@ -79,8 +79,8 @@ def cut_writer(root: str, after_output: Callable[[str, int], None] = lambda name
         try:
             for name, (share, schema) in _shares(batch.schema["k"].dataType).items():
                 columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
-                share(batch).select(*columns).write.mode("overwrite").parquet(
-                    f"{root}/out/{name}/batch_id={batch_id}")
+                share(batch).select(*columns).write.mode("overwrite").option(
+                    "compression", "zstd").parquet(f"{root}/out/{name}/batch_id={batch_id}")
                 after_output(name, batch_id)
         finally:
             batch.unpersist()
