@@ -39,14 +39,23 @@ STORE_OUT = T.StructType([
 ])
 
 
-def _parts(spark, sf_dir: str, table: str, order: str, n: int = PARTS_OF_TABLE) -> list[DataFrame]:
-    """The whole table cut into ``n`` parts by a time column: quantiles, so of about equal size."""
-    df = read_table(spark, sf_dir, table)
+def _cuts(spark, sf_dir: str, table: str, order: str, n: int = PARTS_OF_TABLE) -> list[float]:
+    """Quantiles of a table's time column, between ``n`` parts of about equal size."""
     at = F.unix_micros(F.col(order).cast("timestamp"))
-    cuts = df.select(at.cast("double").alias("t")).approxQuantile(
+    return read_table(spark, sf_dir, table).select(at.cast("double").alias("t")).approxQuantile(
         "t", [i / n for i in range(1, n)], 0.01)
-    # rows without a time go into the first part
-    part = F.coalesce(sum(((at > c).cast("int") for c in cuts), F.lit(0)), F.lit(0))
+
+
+def _part_of(time: str, cuts: list[float]) -> F.Column:
+    """The part of a row by its time; rows without a time go into the first part."""
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    return F.coalesce(sum(((at > c).cast("int") for c in cuts), F.lit(0)), F.lit(0))
+
+
+def _parts(spark, sf_dir: str, table: str, order: str, n: int = PARTS_OF_TABLE) -> list[DataFrame]:
+    """The whole table cut into ``n`` parts by a time column."""
+    df = read_table(spark, sf_dir, table)
+    part = _part_of(order, _cuts(spark, sf_dir, table, order, n))
     return [df.filter(part == i) for i in range(n)]
 
 
@@ -233,7 +242,7 @@ def loyalty_encode_avro(spark, sf_dir):
 
 @in_utc
 def fanout_counts(spark, sf_dir):
-    """Run the four-output fan-out on the order stream; rows per output (final
+    """Run the four-output fan-out on the invoice stream; rows per output (final
     state for the two changelog outputs)."""
     inv = _invoice_stream(spark, sf_dir)
     paths = run_fanout(inv, scratch_path(spark, "fanout"))
@@ -251,20 +260,34 @@ def fanout_counts(spark, sf_dir):
     return out
 
 
-def _invoice_stream(spark, sf_dir) -> DataFrame:
-    """Invoices as a stream of the orders by date, in about four micro-batches."""
-    root = scratch_path(spark, "orders-in")
-    for part in _parts(spark, sf_dir, "orders", "o_orderdate"):
-        part.write.mode("append").parquet(root)
+def _invoice_stream(spark, sf_dir, in_time: bool = True) -> DataFrame:
+    """Whole invoices as a stream, as the service receives them, in about four micro-batches;
+    with ``in_time`` each holds a part of them by event time, the earliest first.
+
+    The tables are joined once, not in every micro-batch of every output.
+    """
+    root = scratch_path(spark, "invoices-in")
+    inv = adapters.invoices(spark, sf_dir, lines=True)
+    if in_time:
+        cuts = _cuts(spark, sf_dir, "orders", "o_orderdate")
+        path = scratch_path(spark, "invoices")
+        parted = inv.withColumn("_part", _part_of("event_time", cuts))
+        parted.write.partitionBy("_part").option("compression", "zstd").parquet(path)
+        parts = [spark.read.schema(parted.schema).parquet(path).filter(F.col("_part") == i).drop("_part")
+                 for i in range(PARTS_OF_TABLE)]
+    else:
+        parts = [inv]
+    for part in parts:
+        part.write.mode("append").option("compression", "zstd").parquet(root)
     files = len(spark.read.parquet(root).inputFiles())
-    orders = (spark.readStream.schema(table_schema(spark, sf_dir, "orders"))
-              .option("maxFilesPerTrigger", max(1, files // PARTS_OF_TABLE)).parquet(root))
-    return adapters.invoices(spark, sf_dir, lines=True, orders=orders)
+    return (spark.readStream.schema(inv.schema)
+            .option("maxFilesPerTrigger", max(1, files // PARTS_OF_TABLE)).parquet(root))
 
 
 def _fanout_output(spark, sf_dir, name: str) -> DataFrame:
-    """The rows that the fan-out over the order stream writes to one output."""
-    inv = _invoice_stream(spark, sf_dir)
+    """The rows that the fan-out over the invoice stream writes to one output."""
+    # only store sales have a watermark: the other outputs are the same in any order
+    inv = _invoice_stream(spark, sf_dir, in_time=name == STORE_SALES_OUTPUT)
     paths = run_fanout(inv, scratch_path(spark, f"fanout-{name}"), outputs=(name,))
     return spark.read.parquet(paths.out(name))
 

@@ -18,6 +18,8 @@ def batch_dir_writer(path: str, fmt: str = "parquet", partition_by: tuple[str, .
     changelogs can be written to files (the file sink has no update mode)."""
     def write(batch: DataFrame, batch_id: int):
         w = batch.write.mode("overwrite")
+        if fmt == "parquet":
+            w = w.option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.format(fmt).save(f"{path}/batch_id={batch_id}")
