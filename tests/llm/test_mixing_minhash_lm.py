@@ -381,3 +381,20 @@ def test_the_tree_grows_with_the_corpus(spark):
                 F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
             assert held[0] / held[2] > -4.0 > held[1] / held[2]
     assert size["sf0.1"] > 4 * size["sf0.01"] > 10_000
+
+
+def test_scores_do_not_depend_on_what_is_broadcast(spark, scored, monkeypatch):
+    """Contexts and next symbols below the rates are counted all the same, in many buckets."""
+    _, model, got = scored
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    tail = sorted(map(str, suffix_lm.tail_contexts(model).collect()))
+    for contexts, pairs, bucket in ((1e-3, 1e-3, 9_000), (2e-4, 0, 500_000), (0, 4e-5, 30_000)):
+        monkeypatch.setattr(suffix_lm, "CONTEXT_RATE", contexts)
+        monkeypatch.setattr(suffix_lm, "PAIR_RATE", pairs)
+        monkeypatch.setattr(suffix_lm, "BUCKET_TOKENS", bucket)
+        few = suffix_lm.learn(docs, crc_remainder("doc_id", 7) == 2)
+        assert sum(len(lv["pairs"]) for lv in few["levels"]) < sum(
+            len(lv["pairs"]) for lv in model["levels"])
+        for r in suffix_lm.scores(few).collect():
+            assert abs(r.score - got[r.doc_id].score) < 1e-9 * abs(r.score)
+        assert sorted(map(str, suffix_lm.tail_contexts(few).collect())) == tail
