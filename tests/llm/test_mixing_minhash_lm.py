@@ -1,10 +1,15 @@
+import glob
 import hashlib
 import math
+import os
+import tempfile
+import time
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -398,3 +403,35 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark, scored, monkeypatch):
         for r in suffix_lm.scores(few).collect():
             assert abs(r.score - got[r.doc_id].score) < 1e-9 * abs(r.score)
         assert sorted(map(str, suffix_lm.tail_contexts(few).collect())) == tail
+
+
+def test_learning_leaves_no_shuffle_files(spark):
+    """A step's shuffle files go with the step: the disk holds one step's, not all steps'."""
+    root = os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", tempfile.gettempdir())
+
+    def files():
+        return set(glob.glob(f"{root}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+    docs = spark.createDataFrame([(i, f"a b c d{i % 7} a b " * 9) for i in range(50)],
+                                 "doc_id bigint, text string").repartition(3)
+    docs.groupBy("text").count().write.format("noop").mode("overwrite").save()
+    before = files()
+    assert before, "no shuffle file is seen here"
+    model = suffix_lm.learn(docs, crc_remainder("doc_id", 7) == 2)
+    until = time.time() + 20  # files go in the background
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert suffix_lm.scores(model).count() == 50
+
+
+def test_words_and_hashes_of_odd_bytes():
+    texts = [b"", b" \t ", b"\x0bAb  \xc3\x84B\xff\r\ncd\x0c", b"one", b"\xc2\xa0x \x1fy"]
+    column = pa.array([b"cut off", *texts], pa.binary()).slice(1)
+    words, sizes = suffix_lm._words(column)
+    assert words.to_pylist() == [w for t in texts for w in t.lower().split()]
+    assert sizes.tolist() == [len(t.split()) for t in texts]
+    names = [b"x" * i for i in range(1, 140)] + [b"\0" * i for i in range(1, 140)] + [
+        b"x" * 8 + bytes([i]) for i in range(100)]
+    hashes = suffix_lm._hashes(pa.array([b"zz", *names, b"x"], pa.binary()).slice(1))
+    assert len(set(hashes.tolist())) == len(set(names)) and hashes[0] == hashes[-1]
+    assert (hashes >= suffix_lm._WORD_FLAG).all()
