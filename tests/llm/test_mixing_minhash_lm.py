@@ -293,8 +293,8 @@ def test_texts_of_one_signature_are_all_linked(spark, odd, none, monkeypatch):
     assert split[50] == split[52] == split[53] != split[51]
 
 
-def plain_scores(rows, model, fold):
-    """Score and tail contexts of every text, token by token, from the head's levels."""
+def every_context(rows, model, fold):
+    """Score of every text, token by token, from the head's levels, and the retained contexts with a rarer word."""
     bits, other, end = suffix_lm._BITS, model["other"], model["end"]
     texts = [tokens_of(r.text) for r in rows]
     train = [zlib.crc32(str(r.doc_id).encode()) % 7 != fold for r in rows]
@@ -303,11 +303,21 @@ def plain_scores(rows, model, fold):
         w for w, n in counts.items() if w and n >= model["head_min"]))} | {b"": end}
     levels = [({k: i for i, k in enumerate(lv["keys"].tolist())},
                dict(zip(lv["pairs"].tolist(), lv["n"].tolist())), lv) for lv in model["levels"]]
+    rare = sorted({w for t in texts for w in t} - head.keys())
+    symbol = head | {w: other - h % model["classes"] for w, h in zip(
+        rare, suffix_lm._hashes(pa.array(rare, pa.binary())).tolist())}
+    total, discount = model["tokens"] + 2, model["discount"]
+    unseen = (discount * model["other_types"] + 1) / total
+    mass = Counter()
+    for w in counts.keys() - head.keys():
+        mass[symbol[w]] += (counts[w] - discount) / total
+    for x in range(end + 1, other + 1):
+        assert abs(mass[x] + unseen / model["classes"] - model["first"][x]) < 1e-9
 
     def from_head(sym, i):
         p = model["first"][sym[i]]
         for d, (keys, pairs, lv) in enumerate(levels, 1):
-            if i < d or other in sym[i - d:i]:
+            if i < d or max(sym[i - d:i]) > end:
                 break
             key = 0
             for x in sym[i - d:i]:
@@ -317,38 +327,42 @@ def plain_scores(rows, model, fold):
                 n = pairs.get(at << bits | sym[i], 0)
                 p = (max(n - suffix_lm.DISCOUNT, 0) + lv["down"][at] * p) / (lv["total"][at] + 1)
         return p
-    symbols = [[head.get(w, other) for w in t] for t in texts]
-    lower = [[from_head(s, i) for i in range(len(s))] for s in symbols]
-    follow, given = {}, {}
-    for t, s, p, own in zip(texts, symbols, lower, train):
-        for i, x in enumerate(s):
-            for c, j in (((t[i],), i + 1), ((t[i], s[i + 1] if i + 1 < len(s) else end), i + 2)):
-                if x == other and (len(c) == 1 or c[1] < end):
+    symbols = [[symbol[w] for w in t] for t in texts]
+    places = [[from_head(s, i) for i in range(len(s))] for s in symbols]
+    every, w = {}, suffix_lm.TAIL_WEIGHT
+    for depth in range(1, len(levels) + 1):
+        follow, given = {}, {}
+        for t, s, p, own in zip(texts, symbols, places, train):
+            for j in range(depth, len(s)):
+                if max(s[j - depth:j]) > end:
+                    c = tuple(t[j - depth:j])
                     given[c, s[j]] = p[j]
                     if own:
                         follow.setdefault(c, Counter())[s[j]] += 1
-    kept = {}
-    for c, nxt in follow.items():
-        total, k = sum(nxt.values()), len(nxt)
-        d = sum(n * math.log(n / total / given[c, x]) for x, n in nxt.items())
-        stored = {x: n - suffix_lm.DISCOUNT for x, n in nxt.items() if n >= suffix_lm.TAIL_PAIR}
-        if total >= suffix_lm.TAIL_CONTEXT and stored and d >= 0.01 * total and (
-                2 * d > k + 3 * math.sqrt(2 * k)):
-            kept[c] = total, stored
-    w, mass, out = suffix_lm.TAIL_WEIGHT, model["other_tokens"] + 1, []
-    for t, s, p in zip(texts, symbols, lower):
-        p, score = list(p), 0.0
-        for i, x in enumerate(s):
-            if x == other:
-                n = counts[t[i]]
-                score += math.log10((n - model["discount"]) / mass if n else (
-                    model["discount"] * model["other_types"] + 1) / mass / (model["types"] + 1))
-                for c, j in (((t[i],), i + 1), ((t[i], s[i + 1]), i + 2)):
-                    if c in kept:
-                        total, stored = kept[c]
-                        p[j] = (stored.get(s[j], 0) + (total - sum(stored.values()) + w) * p[j]) / (total + w)
-        out.append(score + sum(map(math.log10, p)))
-    return out, {c: total for c, (total, _) in kept.items()}
+        kept = {}
+        for c, nxt in follow.items():
+            n, k = sum(nxt.values()), len(nxt)
+            d = sum(x * math.log(x / n / given[c, y]) for y, x in nxt.items())
+            stored = {y: x - suffix_lm.DISCOUNT for y, x in nxt.items() if x >= suffix_lm.TAIL_PAIR}
+            if n >= suffix_lm.TAIL_CONTEXT and stored and d >= 0.01 * n and 2 * d > k + 3 * math.sqrt(2 * k):
+                kept[c] = n, stored
+        for t, s, p in zip(texts, symbols, places):
+            for j in range(depth, len(s)):
+                if (c := tuple(t[j - depth:j])) in kept:
+                    n, stored = kept[c]
+                    p[j] = (stored.get(s[j], 0) + (n - sum(stored.values()) + w) * p[j]) / (n + w)
+        every |= {c: n for c, (n, _) in kept.items()}
+    out = [sum(map(math.log10, p)) + sum(math.log10(
+        (counts[x] - discount if counts[x] else unseen * total / (model["types"] + 1)) / total / model["first"][y])
+        for x, y in zip(t, s) if y > end) for t, s, p in zip(texts, symbols, places)]
+    return out, every, head
+
+
+def plain_scores(rows, model, fold):
+    """Score and tail contexts of every text."""
+    out, every, head = every_context(rows, model, fold)
+    return out, {c[:1] + tuple(head[x] for x in c[1:]): n for c, n in every.items()
+                 if len(c) < 3 and c[0] not in head and (len(c) == 1 or c[1] in head)}
 
 
 def test_scores_and_tail_contexts_equal_brute_force(spark, scored):
@@ -362,6 +376,40 @@ def test_scores_and_tail_contexts_equal_brute_force(spark, scored):
             for r in tail} == kept and len(tail) == len(kept)
 
 
+def test_rarer_words_anywhere_in_contexts(spark):
+    """Rarer words count at every place of a context, and as what follows it."""
+    rng = np.random.default_rng(5)
+    frequent, rare = [f"f{i}" for i in range(12)], [f"r{i}" for i in range(900)]
+    texts = [" ".join(rng.choice(frequent, 30)) for _ in range(60)] + [
+        "f1 ra rb f3", "f2 ra rb f4", "rc ra rb f5"] * 3
+    mixed = [[str(rng.choice(frequent if rng.random() < 0.6 else rare)) for _ in range(40)] for _ in range(30)]
+    again = [" ".join(t) for t in mixed for _ in range(2)]
+    once = [" ".join(rng.permutation(t)) for t in mixed]
+    rows = [(i, t) for i, t in enumerate(texts + again + once)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = suffix_lm.learn(docs, crc_remainder("doc_id", 7) == 9)
+    got = {r.doc_id: r.score for r in suffix_lm.scores(model).collect()}
+    want, kept, head = every_context(docs.collect(), model, 9)
+    shapes = {"".join("fr"[x not in head] for x in c) for c in kept}
+    assert shapes == {"r", "fr", "rf", "rr", "ffr", "frf", "frr", "rff", "rfr", "rrf", "rrr"}
+    for (i, t), x in zip(rows, want):
+        assert abs(got[i] - x) < 1e-5 * len(t.split())
+    # a text that occurs twice scores apart from the same words in another order
+    first = len(texts) + len(again)
+    assert min(got[i] for i in range(len(texts), first)) > max(got[i] for i in range(first, len(rows)))
+
+
+def test_seldom_contexts_of_frequent_words_count(spark):
+    """Two occurrences of a context are enough, whether its words are frequent or not."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"f{x}" for x in rng.integers(0, 120, 40)) for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts + texts[:20])), "doc_id bigint, text string")
+    model = suffix_lm.learn(docs, crc_remainder("doc_id", 7) == 9)
+    got = {r.doc_id: r.score / r.n_tokens for r in suffix_lm.scores(model).collect()}
+    assert model["end"] == 120
+    assert min(got[i] for i in range(20)) > max(got[i] for i in range(20, 120)) + 0.5
+
+
 def test_tail_over_small_batches_and_ties(spark, scored):
     """The groups of a word may reach over several Arrow batches."""
     _, model, got = scored
